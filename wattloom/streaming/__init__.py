@@ -1,0 +1,5 @@
+"""Intentionally empty: the workload rebuilt here is batch only.
+
+None of its stages has event time, watermarks or state, so no streaming
+operator is offered (see README, "What is not here").
+"""
