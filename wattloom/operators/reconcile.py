@@ -15,7 +15,7 @@ from wattloom.functions.numbers import (
     zero_if_null,
 )
 from wattloom.functions.text import col, cols
-from wattloom.operators.joins import full_join, join_null_safe
+from wattloom.operators.joins import join_null_safe
 
 
 def multiplier_sums(
@@ -44,16 +44,23 @@ def reaggregate(
 ) -> DataFrame:
     """Sums of several tables on shared keys, side by side.
 
-    ``levels`` maps result column -> (table, value column).  Each table is summed
-    on its own; the joins see one row per key.  A key found in only one table is
-    kept with its own key values.
+    ``levels`` maps result column -> (table, value column).  The tables are
+    stacked with one value column each and summed in one aggregation: one
+    shuffle of map-side sums instead of a chain of full joins, and a key found
+    in only one table (or a NULL key) keeps its row.
     """
-    out: DataFrame | None = None
+    stacked: DataFrame | None = None
     for name, (table, value) in levels.items():
-        summed = table.groupBy(*cols(keys)).agg(F.sum(col(value)).alias(name))
-        out = summed if out is None else full_join(out, summed, keys)
-    assert out is not None, "at least one level is needed"
-    return out
+        part = table.select(
+            *cols(keys),
+            *[
+                (col(value) if n == name else F.lit(None)).cast("double").alias(n)
+                for n in levels
+            ],
+        )
+        stacked = part if stacked is None else stacked.unionByName(part)
+    assert stacked is not None, "at least one level is needed"
+    return stacked.groupBy(*cols(keys)).agg(*[F.sum(col(n)).alias(n) for n in levels])
 
 
 def reconcile(
@@ -93,28 +100,32 @@ def conservation(
     after: DataFrame,
     keys: Sequence[str],
     value: str,
-    scope: str,
+    scopes: Mapping[str, Column],
 ) -> DataFrame:
-    """Before/after sums per key with deltas, plus one totals row (keys ``ALL``).
+    """Before/after sums per key and scope with deltas, plus a totals row per scope.
 
-    The totals are summed from the per-key sums, not from the detail again.
+    ``scopes`` maps a scope's name to a condition on the keys.  Both tables are
+    read once: scopes and totals (keys ``ALL``) are built from the per-key sums.
     """
-    joined = reaggregate(
+    pairs = reaggregate(
         {"kwh_before": (before, value), "kwh_after": (after, value)}, keys
     )
-    pairs = joined.select(
+    named = F.array(*[F.when(hit, F.lit(name)) for name, hit in scopes.items()])
+    scoped = pairs.select(
         *[col(k).cast("string").alias(k) for k in keys],
         zero_if_null(col("kwh_before")).alias("kwh_before"),
         zero_if_null(col("kwh_after")).alias("kwh_after"),
-        F.lit(scope).alias("scope"),
+        F.explode(F.filter(named, lambda s: s.isNotNull())).alias("scope"),
     )
-    totals = pairs.agg(
+    totals = scoped.groupBy("scope").agg(
+        F.sum("kwh_before").alias("kwh_before"), F.sum("kwh_after").alias("kwh_after")
+    ).select(
         *[F.lit("ALL").alias(k) for k in keys],
-        F.sum("kwh_before").alias("kwh_before"),
-        F.sum("kwh_after").alias("kwh_after"),
-        F.lit(scope + "_TOTAL").alias("scope"),
+        "kwh_before",
+        "kwh_after",
+        F.concat(col("scope"), F.lit("_TOTAL")).alias("scope"),
     )
-    both = totals.unionByName(pairs)
+    both = totals.unionByName(scoped)
     return both.select(
         *cols(keys),
         *cols(["kwh_before", "kwh_after"]),
@@ -165,22 +176,12 @@ def compare_sources(
 
     A source without a row for a key counts as 0.
     """
-    tagged: DataFrame | None = None
-    for name, (table, value) in sources.items():
-        # Summed before the union: only one row per key and source is shuffled on.
-        part = (
-            table.filter(is_number(col(value)))
-            .groupBy(*cols(keys))
-            .agg(F.sum(col(value)).alias("__v"))
-            .withColumn("__source", F.lit(name))
-        )
-        tagged = part if tagged is None else tagged.unionByName(part)
-    assert tagged is not None, "at least one source is needed"
-    wide = tagged.groupBy(*cols(keys)).agg(
-        *[
-            F.sum(F.when(col("__source") == n, col("__v")).otherwise(0.0)).alias(n)
-            for n in sources
-        ]
+    known = {
+        name: (table.filter(is_number(col(value))), value)
+        for name, (table, value) in sources.items()
+    }
+    wide = reaggregate(known, keys).select(
+        *cols(keys), *[zero_if_null(col(n)).alias(n) for n in sources]
     )
     diffs = [
         relative_difference(col(a), col(b)).alias(name)

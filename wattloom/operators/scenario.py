@@ -270,9 +270,13 @@ def split_conservation(
     affected=None,
     scopes: tuple[str, str] = ("ALL_ROWS", "COM_ELECTRIC_ONLY"),
 ) -> DataFrame:
-    """Before/after comparison over all rows and over the affected rows."""
+    """Before/after comparison over all rows and over the affected rows.
+
+    ``affected`` must depend on the keys alone.
+    """
     if affected is None:
         affected = (col("sector") == "com") & (col("fuel") == "Electric")
-    return conservation(before, after, keys, value, scopes[0]).unionByName(
-        conservation(before.filter(affected), after.filter(affected), keys, value, scopes[1])
+    hit = F.coalesce(affected, F.lit(False))
+    return conservation(
+        before, after, keys, value, {scopes[0]: F.lit(True), scopes[1]: hit}
     )

@@ -72,7 +72,7 @@ def building_shapes(
     maps: Mapping[str, DataFrame],
     profiles: Sequence[HourlyProfile],
     keep: Sequence[str],
-    bldg: str = "bldg_id",
+    on: Sequence[str] = ("bldg_id", "upgrade"),
     upgrade: str = "upgrade",
 ) -> DataFrame:
     """(building, upgrade) -> profile and shape, one row per profile it feeds.
@@ -81,7 +81,7 @@ def building_shapes(
     joins its small map.
     """
     base = buildings.withColumn(upgrade, col(upgrade).cast("string"))
-    kept = [bldg, upgrade, *keep]
+    kept = list(dict.fromkeys([*on, *keep]))
     frames = []
     literal = [p for p in profiles if p.shape]
     if literal:
@@ -117,26 +117,30 @@ def hourly_sums(
     place: Sequence[str],
     hour: Column,
     weight: str | None = None,
-    bldg: str = "bldg_id",
+    on: Sequence[str] = ("bldg_id", "upgrade"),
     upgrade: str = "upgrade",
+    extra: Sequence[str] = (),
 ) -> DataFrame:
     """Hourly kWh of every profile from one scan of the series.
 
     The series is by far the largest table, so it is scanned and shuffled once
-    for all profiles instead of once per profile and state.
+    for all profiles instead of once per profile and state.  ``extra`` are
+    attributes of the place that are carried along (a county's state).
     """
     keyed = series.select(
-        col(bldg),
-        col(upgrade).cast("string").alias(upgrade),
+        *[
+            col(k).cast("string").alias(k) if k == upgrade else col(k)
+            for k in on
+        ],
         hour.alias(HOUR),
         *_measures(profiles),
     )
-    joined = keyed.join(shapes, [bldg, upgrade], "inner")
+    joined = keyed.join(shapes, list(on), "inner")
     factor = col(weight) if weight else F.lit(1.0)
     picked = {"primary": _pick(profiles, "p"), "secondary": _pick(profiles, "s")}
     return sum_by(
         joined,
-        [*place, "profile", "shape_ts", HOUR],
+        [*place, *extra, "profile", "shape_ts", HOUR],
         {name: expr * factor for name, expr in picked.items()},
     )
 
@@ -184,7 +188,7 @@ def hourly_multipliers(
             *[
                 F.struct(
                     F.lit(t.end_use).alias("end_use"),
-                    F.lit(t.fuel).alias("fuel"),
+                    F.lit(t.fuel).cast("string").alias("fuel"),
                     col(t.measure).alias("kwh"),
                     safe_ratio(col(t.measure), col(t.measure + TOTAL)).alias(
                         "multiplier_hourly"

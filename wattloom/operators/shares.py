@@ -29,12 +29,12 @@ class Target:
 
     measure: str
     end_use: str
-    fuel: str
+    fuel: str | None
     guard: bool = False  # drop the row unless the group total is positive
 
 
 def targets(
-    measure: str, end_use: str, fuels: Sequence[str], guard: bool = False
+    measure: str, end_use: str, fuels: Sequence[str | None], guard: bool = False
 ) -> tuple[Target, ...]:
     return tuple(Target(measure, end_use, fuel, guard) for fuel in fuels)
 
@@ -94,7 +94,7 @@ def fan_out(
     for t in rows:
         fields = [
             F.lit(t.end_use).alias("end_use"),
-            F.lit(t.fuel).alias("fuel"),
+            F.lit(t.fuel).cast("string").alias("fuel"),
             safe_ratio(col(t.measure), col(t.measure + TOTAL)).alias(share_name),
         ]
         if value_name:
