@@ -75,8 +75,8 @@ def disaggregate_hourly(
 ) -> DataFrame:
     """Place kWh x hourly multiplier, summed over measures and stages.
 
-    Rows are pre-summed by shape before they meet 8,760 hours, and shapes nobody
-    uses never leave the multiplier scan.  After the pre-sum both sides hold at
+    Rows are pre-summed by shape before they meet 8,760 hours, and shapes the
+    map does not name never leave the multiplier scan.  After the pre-sum both sides hold at
     most one row per key and hour, so no key can be larger than the calendar
     allows.  Both sides are clustered on (place, match), a subset of the join
     keys that is also a subset of the result keys: the exploded product is
@@ -92,13 +92,7 @@ def disaggregate_hourly(
     stage = ["meas", "end_use", "tech_stage"]
     numbered = annual.filter(is_number(col(value)))
     presummed = sum_by(numbered.join(shapes, stage, "inner"), keys, {value: col(value)})
-    used = (
-        numbered.select(*cols(stage))
-        .distinct()
-        .join(shapes, stage, "inner")
-        .select("shape_ts", "end_use")
-        .distinct()
-    )
+    used = shapes.select("shape_ts", "end_use").distinct()
     hours = (
         multipliers.filter(non_negative(col("multiplier_hourly")))
         .join(used, ["shape_ts", "end_use"], "left_semi")

@@ -27,7 +27,7 @@ GROUPS_SQL = "groups(o_orderpriority, o_orderstatus, group_ann) AS (VALUES " + "
 
 
 def group_map(t: Tables):
-    return t.spark.createDataFrame(
+    return t.literal(
         list(GROUPS), "o_orderpriority string, o_orderstatus string, group_ann string"
     )
 

@@ -45,7 +45,7 @@ def _values(rows) -> str:
 
 
 def measure_map(t: Tables, shift: int = 0) -> DataFrame:
-    return t.spark.createDataFrame(_rows(shift), MAP_SCHEMA)
+    return t.literal(_rows(shift), MAP_SCHEMA)
 
 
 def projection(t: Tables) -> DataFrame:

@@ -183,7 +183,7 @@ def _maps(t: Tables, sector: str) -> dict[str, DataFrame]:
             names = [*entry.keys, "upgrade", group]
             schema = ", ".join(f"`{n}` string" for n in names)
             rows = _map_rows(sector, entry.keys, entry.map_name)
-            out[entry.map_name] = t.spark.createDataFrame(rows, schema)
+            out[entry.map_name] = t.literal(rows, schema)
     return out
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.text import col
 from wattloom.session import tune
+from wattloom.sources.readers import literal_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -20,9 +21,16 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = tune(spark)
         self.folder = folder
+        self._read: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:  # a footer is read once per query
+            path = f"{self.folder}/{name}.parquet"
+            self._read[name] = self.spark.read.parquet(path)
+        return self._read[name]
+
+    def literal(self, rows, schema: str) -> DataFrame:
+        return literal_table(self.spark, rows, schema)
 
     def places(self) -> DataFrame:
         """County (customer) with its state (nation)."""

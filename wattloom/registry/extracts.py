@@ -242,7 +242,7 @@ def examples(t: Tables):
     changes = peaks.change_between(
         mapping.keep_known(live, sampled, ["in.county"]), ["in.county"], CAL, 1996, 2000
     )
-    fixed = t.spark.createDataFrame(list(FIXED), "`in.county` string, example_type string")
+    fixed = t.literal(list(FIXED), "`in.county` string, example_type string")
     return peaks.example_places(changes, "in.county", fixed)
 
 
@@ -445,7 +445,7 @@ FROM totals WHERE description IN (SELECT description FROM big)
 )
 def tech_enrich_totals(t: Tables):
     """National sums by technology description; descriptions below 1 are left out."""
-    names = t.spark.createDataFrame(
+    names = t.literal(
         list(DESCRIPTIONS), "meas string, original string, changed string"
     )
     stage = F.when(col("l_linenumber") <= 3, "original_ann").otherwise("measure_ann")

@@ -285,7 +285,7 @@ def hourly_profiles(t: Tables):
         (col("c_custkey") % 2).cast("int").alias("upgrade"),
     )
     maps = {
-        "segments": t.spark.createDataFrame(
+        "segments": t.literal(
             list(SEGMENTS), "c_mktsegment string, upgrade string, shape_ts string"
         )
     }

@@ -201,7 +201,7 @@ def flatten_json_props(t: Tables):
 
 
 def package_map(t: Tables) -> DataFrame:
-    return t.spark.createDataFrame(
+    return t.literal(
         list(PACKAGES), "meas string, meas_separated string, component string"
     )
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from wattloom.functions.text import col
 from wattloom.operators.joins import rename
@@ -101,8 +103,17 @@ def register(tables: Mapping[str, DataFrame]) -> None:
 def literal_table(
     spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType
 ) -> DataFrame:
-    """A small inline table (hand-picked places, what-if map rows)."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small inline table (hand-picked places, what-if map rows).
+
+    Passed as an Arrow table it becomes a local relation whose size the
+    optimiser knows; a list of rows would be an RDD of unknown size, and the
+    fact table would be shuffled to meet it.
+    """
+    struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    names = struct.fieldNames()
+    records = [dict(zip(names, row, strict=True)) for row in rows]
+    table = pa.Table.from_pylist(records, schema=to_arrow_schema(struct))
+    return spark.createDataFrame(table, struct)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
