@@ -23,10 +23,15 @@ def prefixed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def right(name: str) -> Column:
+    """A key column of a ``prefixed`` frame."""
+    return col(_RIGHT + name)
+
+
 def null_safe_condition(left: DataFrame, keys: Sequence[str]) -> Column:
     """``left.key <=> right.key`` for every key, right side from ``prefixed``."""
     return reduce(
-        lambda a, b: a & b, [col(k).eqNullSafe(col(_RIGHT + k)) for k in keys]
+        lambda a, b: a & b, [col(k).eqNullSafe(right(k)) for k in keys]
     )
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.numbers import mmbtu_to_kwh, zero_if_null
 from wattloom.functions.text import col, cols, sector_of
-from wattloom.operators.joins import require_unique
+from wattloom.operators.joins import prefixed, require_unique, right
 from wattloom.operators.reconcile import conservation
 
 # Names used in scenario files.
@@ -111,6 +111,24 @@ def metric_columns(
     )
 
 
+def _stage_values(component: Column) -> tuple[Column, Column]:
+    """(original, measure) kWh of one component of a package."""
+    whole, part = col("efficient_mmbtu"), col("efficient_measure_mmbtu")
+    env = col("efficient_measure_env_mmbtu")
+    equipment = component == "equipment"
+    both = component == "equipment + env"
+    return (
+        F.when(equipment, mmbtu_to_kwh(whole - part)).when(both, F.lit(0.0)),
+        F.when(equipment, mmbtu_to_kwh(part - env)).when(both, mmbtu_to_kwh(env)),
+    )
+
+
+def _single_values() -> tuple[Column, Column]:
+    """(original, measure) kWh of a measure that is one technology."""
+    whole, part = col("efficient_mmbtu"), col("efficient_measure_mmbtu")
+    return mmbtu_to_kwh(whole - part), mmbtu_to_kwh(part)
+
+
 def package_split(
     wide: DataFrame, package_map: DataFrame, index: Sequence[str]
 ) -> DataFrame:
@@ -118,77 +136,23 @@ def package_split(
 
     A row without an envelope value is one technology.  A row with one is joined
     to the component rows of its package: the equipment component carries what
-    the package saves beyond the envelope, the other one the envelope part.
+    the package saves beyond the envelope, the other one the envelope part.  A
+    package the map does not name keeps its row with no name and no energy.
     """
-    whole = col("efficient_mmbtu")
-    part = col("efficient_measure_mmbtu")
-    env = col("efficient_measure_env_mmbtu")
-    single = wide.filter(env.isNull()).select(
-        *cols(index),
-        mmbtu_to_kwh(whole - part).alias("original_ann"),
-        mmbtu_to_kwh(part).alias("measure_ann"),
+    packaged = col("efficient_measure_env_mmbtu").isNotNull()
+    joined = wide.join(
+        prefixed(package_map, ["meas"]), (col("meas") == right("meas")) & packaged, "left"
     )
-    joined = wide.filter(env.isNotNull()).join(package_map, "meas", "left")
-    equipment = col("component") == "equipment"
-    both = col("component") == "equipment + env"
-    split = joined.select(
+    split, single = _stage_values(col("component")), _single_values()
+    return joined.select(
         *[
-            col("meas_separated").alias("meas") if n == "meas" else col(n)
+            F.when(packaged, col("meas_separated")).otherwise(col("meas")).alias("meas")
+            if n == "meas"
+            else col(n)
             for n in index
         ],
-        F.when(equipment, mmbtu_to_kwh(whole - part))
-        .when(both, F.lit(0.0))
-        .alias("original_ann"),
-        F.when(equipment, mmbtu_to_kwh(part - env))
-        .when(both, mmbtu_to_kwh(env))
-        .alias("measure_ann"),
-    )
-    return single.unionByName(split)
-
-
-def stage_rows(
-    split: DataFrame, index: Sequence[str], turnover: str
-) -> DataFrame:
-    return split.select(
-        *cols(index),
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(stage).alias("tech_stage"),
-                        col(stage).alias("state_ann_kwh"),
-                    )
-                    for stage in ("original_ann", "measure_ann")
-                ]
-            )
-        ),
-        F.lit(turnover).alias("turnover"),
-    )
-
-
-def baseline_rows(
-    rows: DataFrame, index: Sequence[str], package_map: DataFrame | None
-) -> DataFrame:
-    """Baseline energy as its own scenario; packages go under their equipment name."""
-    summed = (
-        rows.filter(col("metric") == BASELINE)
-        .groupBy(*cols(index))
-        .agg(F.sum(zero_if_null(col("value"))).alias("__mmbtu"))
-    )
-    if package_map is not None:
-        equipment = package_map.filter(col("component") == "equipment").select(
-            "meas", "meas_separated"
-        )
-        summed = (
-            summed.join(equipment, "meas", "left")
-            .withColumn("meas", F.coalesce(col("meas_separated"), col("meas")))
-            .drop("meas_separated")
-        )
-    return summed.select(
-        *cols(index),
-        F.lit("original_ann").alias("tech_stage"),
-        mmbtu_to_kwh(col("__mmbtu")).alias("state_ann_kwh"),
-        F.lit("baseline").alias("turnover"),
+        F.when(packaged, split[0]).otherwise(single[0]).alias("original_ann"),
+        F.when(packaged, split[1]).otherwise(single[1]).alias("measure_ann"),
     )
 
 
@@ -202,28 +166,80 @@ def annual_long(
 ) -> DataFrame:
     """Flattened scenario rows -> (keys, stage, kWh, scenario, sector, run).
 
-    ``package_map=None`` means the scenario has no envelope packages.
+    All metrics are summed in one aggregation and every output row of a key
+    (stages, package components, baseline) is an array element of that key's
+    row, so the scenario is read once.  Baseline energy of a package goes under
+    the name of its equipment component.  ``package_map=None`` means the
+    scenario has no envelope packages.
     """
     index = ["meas", "reg", *(["bldg_type"] if include_bldg_type else []), "end_use", "fuel", "year"]
     metrics = {EFFICIENT: "efficient_mmbtu", MEASURE: "efficient_measure_mmbtu"}
     if package_map is not None:
         metrics[ENVELOPE] = "efficient_measure_env_mmbtu"
+    live = list(metrics.values())
+    if include_baseline:
+        metrics[BASELINE] = "baseline_mmbtu"
     wide = metric_columns(rows.filter(col("metric").isin(*metrics)), index, metrics)
+    single = _entries(col("meas"), _single_values(), turnover)
+    names = F.array(col("meas"))
     if package_map is None:
-        split = wide.select(
-            *cols(index),
-            mmbtu_to_kwh(
-                col("efficient_mmbtu") - col("efficient_measure_mmbtu")
-            ).alias("original_ann"),
-            mmbtu_to_kwh(col("efficient_measure_mmbtu")).alias("measure_ann"),
-        )
+        staged = single
     else:
-        split = package_split(wide, package_map, index)
-    out = stage_rows(split, index, turnover)
+        parts = package_map.groupBy("meas").agg(
+            F.collect_list(F.struct("meas_separated", "component")).alias("__parts")
+        )
+        wide = wide.join(parts, "meas", "left")
+        unnamed = F.array(
+            F.struct(
+                F.lit(None).cast("string").alias("meas_separated"),
+                F.lit(None).cast("string").alias("component"),
+            )
+        )
+        split = F.flatten(
+            F.transform(
+                F.coalesce(col("__parts"), unnamed),
+                lambda p: _entries(
+                    p["meas_separated"], _stage_values(p["component"]), turnover
+                ),
+            )
+        )
+        staged = F.when(col("efficient_measure_env_mmbtu").isNull(), single).otherwise(split)
+        equipment = F.transform(
+            F.filter(col("__parts"), lambda p: p["component"] == "equipment"),
+            lambda p: F.coalesce(p["meas_separated"], col("meas")),
+        )
+        names = F.when(F.size(equipment) > 0, equipment).otherwise(names)
+    present = F.coalesce(*cols(live)).isNotNull()
+    groups = [F.when(present, staged)]
     if include_baseline:
-        out = out.unionByName(baseline_rows(rows, index, package_map))
-    return out.withColumn("sector", sector_of(col("meas"))).withColumn(
-        "run_id", F.lit(run)
+        energy = mmbtu_to_kwh(col("baseline_mmbtu"))
+        based = F.transform(
+            names, lambda n: _entry(n, "original_ann", energy, "baseline")
+        )
+        groups.append(F.when(col("baseline_mmbtu").isNotNull(), based))
+    every = F.flatten(F.filter(F.array(*groups), lambda g: g.isNotNull()))
+    rest = [n for n in index if n != "meas"]
+    out = wide.select(*cols(rest), F.inline(every))
+    return out.select(
+        *cols([*index, "tech_stage", "state_ann_kwh", "turnover"]),
+        sector_of(col("meas")).alias("sector"),
+        F.lit(run).alias("run_id"),
+    )
+
+
+def _entry(name: Column, stage: str, energy: Column, turnover: str) -> Column:
+    return F.struct(
+        name.alias("meas"),
+        F.lit(stage).alias("tech_stage"),
+        energy.alias("state_ann_kwh"),
+        F.lit(turnover).alias("turnover"),
+    )
+
+
+def _entries(name: Column, values: tuple[Column, Column], turnover: str) -> Column:
+    return F.array(
+        _entry(name, "original_ann", values[0], turnover),
+        _entry(name, "measure_ann", values[1], turnover),
     )
 
 
@@ -246,20 +262,30 @@ def weighted_split(
         affected = (col("sector") == "com") & (col("fuel") == "Electric")
     hit = F.coalesce(affected, F.lit(False))
     unique = require_unique(weights.select(*cols([*keys, weight])), keys, "split weights")
-    joined = long.filter(hit).join(unique, list(keys), "left")
+    # Rows that are not affected pass through the same join: the table is read
+    # once and stays in one branch.
+    joined = long.join(unique, list(keys), "left")
     w = zero_if_null(col(weight))
+
+    def half(label: Column, amount: Column) -> Column:
+        return F.struct(label.alias("__n"), amount.alias("__v"))
+
+    pieces = F.when(
+        hit,
+        F.array(
+            half(col(name), (F.lit(1.0) - w) * col(value)),
+            half(F.lit(split_name), w * col(value)),
+        ),
+    ).otherwise(F.array(half(col(name), col(value))))
     names = long.columns
-    pair = F.array(
-        F.struct(col(name).alias("__n"), ((F.lit(1.0) - w) * col(value)).alias("__v")),
-        F.struct(F.lit(split_name).alias("__n"), (w * col(value)).alias("__v")),
-    )
     rest = [n for n in names if n not in (name, value)]
-    halves = (
-        joined.select(*cols(rest), F.inline(pair))
-        .withColumnRenamed("__n", name)
-        .withColumnRenamed("__v", value)
+    out = joined.select(*cols(rest), F.inline(pieces))
+    return out.select(
+        *[
+            col("__n").alias(n) if n == name else col("__v").alias(n) if n == value else col(n)
+            for n in names
+        ]
     )
-    return long.filter(~hit).unionByName(halves.select(*cols(names)))
 
 
 def split_conservation(

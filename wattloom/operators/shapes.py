@@ -12,7 +12,6 @@ from wattloom.functions.calendar import align_hour
 from wattloom.functions.numbers import safe_ratio
 from wattloom.functions.text import col, cols
 from wattloom.operators.joins import join_null_safe
-from wattloom.operators.mapping import attach_groups
 from wattloom.operators.shares import (
     TOTAL,
     Target,
@@ -75,39 +74,42 @@ def building_shapes(
     on: Sequence[str] = ("bldg_id", "upgrade"),
     upgrade: str = "upgrade",
 ) -> DataFrame:
-    """(building, upgrade) -> profile and shape, one row per profile it feeds.
+    """(building, upgrade) -> ``shapes``, an array of (profile, shape).
 
-    Literal profiles share one pass over the building table; each mapped profile
-    joins its small map.
+    One pass over the building table: every mapped profile adds an array column
+    from its small map (a map may list a characteristic under several shapes).
+    Buildings that feed no profile are dropped.
     """
-    base = buildings.withColumn(upgrade, col(upgrade).cast("string"))
-    kept = list(dict.fromkeys([*on, *keep]))
-    frames = []
+    out = buildings.withColumn(upgrade, col(upgrade).cast("string"))
+    listed = []
     literal = [p for p in profiles if p.shape]
     if literal:
-        entries = F.array(
-            *[
-                F.struct(F.lit(p.name).alias("profile"), F.lit(p.shape).alias("shape_ts"))
-                for p in literal
-            ]
-        )
-        frames.append(
-            base.filter(col(upgrade) == "0").select(*cols(kept), F.inline(entries))
+        entries = [_entry(p.name, F.lit(p.shape)) for p in literal]
+        listed.append(F.when(col(upgrade) == "0", F.array(*entries)))
+    for i, p in enumerate(profiles):
+        if not p.map_name:
+            continue
+        keys, name = [*p.keys, upgrade], f"__shapes{i}"
+        chars = (
+            maps[p.map_name]
+            .withColumn(upgrade, col(upgrade).cast("string"))
+            .groupBy(*cols(keys))
+            .agg(F.collect_list(col("shape_ts")).alias(name))
         )
-    for p in profiles:
-        if p.map_name:
-            mapped = attach_groups(
-                base, maps[p.map_name], p.keys, "shape_ts", upgrade, keep_upgrade=True
-            )
-            frames.append(
-                mapped.select(
-                    *cols(kept), F.lit(p.name).alias("profile"), col("shape_ts")
-                )
-            )
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+        out = out.join(chars, keys, "left")
+        listed.append(_entries(p.name, col(name)))
+    empty = F.array().cast("array<struct<profile:string,shape_ts:string>>")
+    joined = F.concat(*[F.coalesce(entries, empty) for entries in listed])
+    kept = list(dict.fromkeys([*on, *keep]))
+    return out.select(*cols(kept), joined.alias("shapes")).filter(F.size("shapes") > 0)
+
+
+def _entries(profile: str, shapes: Column) -> Column:
+    return F.transform(shapes, lambda shape: _entry(profile, shape))
+
+
+def _entry(profile: str, shape: Column) -> Column:
+    return F.struct(F.lit(profile).alias("profile"), shape.alias("shape_ts"))
 
 
 def hourly_sums(
@@ -120,22 +122,32 @@ def hourly_sums(
     on: Sequence[str] = ("bldg_id", "upgrade"),
     upgrade: str = "upgrade",
     extra: Sequence[str] = (),
+    collapse: bool = False,
 ) -> DataFrame:
     """Hourly kWh of every profile from one scan of the series.
 
     The series is by far the largest table, so it is scanned and shuffled once
-    for all profiles instead of once per profile and state.  ``extra`` are
-    attributes of the place that are carried along (a county's state).
+    for all profiles instead of once per profile and state; rows are multiplied
+    by profile only between the join and the map-side sum.  ``collapse`` adds a
+    building's readings of one hour up before the join, which for quarter-hourly
+    data cuts the rows that are shuffled to a quarter.  ``extra`` are attributes
+    of the place that are carried along (a county's state).
     """
+    measures = _measures(profiles)
     keyed = series.select(
         *[
             col(k).cast("string").alias(k) if k == upgrade else col(k)
             for k in on
         ],
         hour.alias(HOUR),
-        *_measures(profiles),
+        *[value.alias(name) for name, value in measures.items()],
+    )
+    if collapse:
+        keyed = sum_by(keyed, [*on, HOUR], {name: col(name) for name in measures})
+    carried = list(dict.fromkeys([*place, *extra, *([weight] if weight else [])]))
+    joined = keyed.join(shapes, list(on), "inner").select(
+        *cols([*carried, HOUR, *measures]), F.inline(col("shapes"))
     )
-    joined = keyed.join(shapes, list(on), "inner")
     factor = col(weight) if weight else F.lit(1.0)
     picked = {"primary": _pick(profiles, "p"), "secondary": _pick(profiles, "s")}
     return sum_by(
@@ -145,12 +157,12 @@ def hourly_sums(
     )
 
 
-def _measures(profiles: Sequence[HourlyProfile]) -> list[Column]:
-    out = []
+def _measures(profiles: Sequence[HourlyProfile]) -> dict[str, Column]:
+    out = {}
     for i, p in enumerate(profiles):
-        out.append(F.expr(p.primary).cast("double").alias(f"__p{i}"))
+        out[f"__p{i}"] = F.expr(p.primary).cast("double")
         if p.secondary:
-            out.append(F.expr(p.secondary).cast("double").alias(f"__s{i}"))
+            out[f"__s{i}"] = F.expr(p.secondary).cast("double")
     return out
 
 

@@ -111,7 +111,12 @@ def hourly_res(b: Buildings, maps: Mapping[str, DataFrame]) -> DataFrame:
     series = b.ts_res.withColumn("timestamp", epoch_nanos_to_timestamp(col("timestamp")))
     linked = shapes.building_shapes(b.meta_res, maps, res.HOURLY, res.WEATHER)
     sums = shapes.hourly_sums(
-        series, linked, res.HOURLY, res.WEATHER, shapes.aligned(spill_year=b.spill_year)
+        series,
+        linked,
+        res.HOURLY,
+        res.WEATHER,
+        shapes.aligned(spill_year=b.spill_year),
+        collapse=True,
     )
     return shapes.hourly_multipliers(sums, res.HOURLY, res.WEATHER, "res")
 
@@ -130,9 +135,10 @@ def hourly_com(b: Buildings, maps: Mapping[str, DataFrame]) -> DataFrame:
         weight="weight",
         on=on,
         extra=("in.state",),
+        collapse=True,
     )
     profiles = shapes.hourly_multipliers(
-        sums, com.HOURLY, [*com.PLACE, "in.state"], "com"
+        sums, com.HOURLY, com.PLACE, "com", extra=("in.state",)
     )
     columns = profiles.columns
     return (

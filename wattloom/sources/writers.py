@@ -1,8 +1,8 @@
 """Writing partitioned Parquet and delimited extracts.
 
-Every writer repartitions on the folder columns before it writes, so each
-folder is written by few tasks and holds few files.  A hot folder (one state
-with a third of the rows) is split over ``spread`` tasks.
+Every partitioned write asks for ``REBALANCE`` on its folder columns: rows of
+one folder meet in few tasks, small folders share a task, and a hot folder (one
+state with a third of the rows) is split by size, so no task grows with it.
 """
 
 from __future__ import annotations
@@ -10,9 +10,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from wattloom.functions.text import cols
+from wattloom.functions.text import col, cols
 
 
 def write_partitioned(
@@ -20,34 +19,18 @@ def write_partitioned(
     path: str,
     by: Sequence[str],
     mode: str = "overwrite",
-    spread: int | None = None,
     sort: Sequence[str] = (),
     compression: str = "snappy",
-    max_records: int = 0,
 ) -> None:
     """Parquet in folders ``by``.
 
-    ``spread=None`` lets adaptive execution size the tasks: ``REBALANCE`` splits
-    a folder that is too large for one task and merges small ones.  ``spread=1``
-    forces one file per folder.  ``sort`` clusters rows inside a file, so that
-    row-group statistics prune on those columns.
+    ``sort`` clusters rows inside a file, so that row-group statistics prune on
+    those columns.  File size follows the session's advisory partition size.
     """
-    if spread is None:
-        laid_out = df.hint("rebalance", *cols(by))
-    elif spread == 1:
-        laid_out = df.repartition(*cols(by))
-    else:
-        salt = F.pmod(F.xxhash64(*cols(df.columns)), F.lit(spread))
-        laid_out = (
-            df.withColumn("__salt", salt).repartition(*cols(by), "__salt").drop("__salt")
-        )
+    laid_out = df.hint("rebalance", *cols(by))
     if sort:
         laid_out = laid_out.sortWithinPartitions(*cols([*by, *sort]))
-    writer = (
-        laid_out.write.mode(mode)
-        .option("compression", compression)
-        .option("maxRecordsPerFile", max_records)
-    )
+    writer = laid_out.write.mode(mode).option("compression", compression)
     writer.partitionBy(*by).parquet(path)
 
 
@@ -72,15 +55,16 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
 
 def export_per_key(df: DataFrame, path: str, key: str, folder: str) -> None:
     """One folder per key value (one write, not one query per key)."""
-    named = df.withColumn(folder, F.col(f"`{key}`"))
-    write_partitioned(named, path, [folder])
+    write_partitioned(df.withColumn(folder, col(key)), path, [folder])
 
 
-def compact(
-    df: DataFrame, path: str, by: Sequence[str], mode: str = "errorifexists"
-) -> None:
-    """One file per folder, written to a new path; the source is left alone."""
-    write_partitioned(df, path, by, mode=mode, spread=1)
+def compact(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Many part files rewritten as one file per folder.
+
+    Only a folder larger than the advisory partition size gets more than one.
+    The result goes to a new path; the source is left alone.
+    """
+    write_partitioned(df, path, by, mode="errorifexists")
 
 
 def write_extract(
