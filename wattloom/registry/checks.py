@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wattloom.functions.text import col
 from wattloom.operators import calibrate, mapping, reconcile, shares
 from wattloom.operators.shares import targets
-from wattloom.registry.core import ORDERS_SQL, PLACES_SQL, Tables, query, rounded
+from wattloom.registry.core import ORDERS_SQL, PLACES_SQL, Tables, nudged, query, rounded
 from wattloom.registry.longtables import FACTS_SQL, PROJECTION_SQL, facts, projection
 
 GROUP = ["state", "group_ann", "end_use", "fuel"]
@@ -370,7 +370,8 @@ hours AS (
   SELECT "in.county", "in.state", timestamp_hour, turnover, sector, fuel,
     SUM(county_hourly_uncal_kwh) AS county_hourly_uncal_kwh
   FROM facts GROUP BY ALL)
-SELECT h.*, ROUND(county_hourly_uncal_kwh * COALESCE(r, 1), 4) AS county_hourly_cal_kwh
+SELECT h.*, ROUND(county_hourly_uncal_kwh * COALESCE(r, 1) * (1 + 1e-12), 4)
+  AS county_hourly_cal_kwh
 FROM hours h LEFT JOIN ratios q ON q.sector = h.sector AND q."in.state" = h."in.state"
   AND q.month = MONTH(h.timestamp_hour) AND q.fuel = h.fuel
 WHERE timestamp_hour IS NOT NULL
@@ -383,7 +384,7 @@ def calibrated_hourly(t: Tables):
     ).agg(F.sum("county_hourly_uncal_kwh").alias("county_hourly_uncal_kwh"))
     known = ratios(t).filter(col("in.state") != "ASIA")
     out = calibrate.calibrate_hours(hours, known)
-    return rounded(out, {"county_hourly_cal_kwh": 4})
+    return rounded(nudged(out, "county_hourly_cal_kwh"), {"county_hourly_cal_kwh": 4})
 
 
 @query(

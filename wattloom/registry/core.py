@@ -103,5 +103,10 @@ def rounded(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:
     )
 
 
-def years(ts: str):
-    return F.year(col(ts)).cast("int")
+def nudged(df: DataFrame, name: str) -> DataFrame:
+    """Move exact decimal ties off the rounding boundary.
+
+    Engines round a tie such as 0.00005 by the double or by its decimal text;
+    the SQL text multiplies by the same ``1 + 1e-12``.
+    """
+    return df.withColumn(name, col(name) * (1 + 1e-12))

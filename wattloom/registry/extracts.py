@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wattloom.functions.text import col
 from wattloom.operators import calibrate, mapping, peaks
 from wattloom.plans import workflow
-from wattloom.registry.core import Tables, query, rounded
+from wattloom.registry.core import Tables, nudged, query, rounded
 from wattloom.registry.longtables import FACTS_SQL, PROJECTION_SQL, facts, projection
 
 CAL, UNCAL = "county_hourly_cal_kwh", "county_hourly_uncal_kwh"
@@ -206,8 +206,7 @@ def measure_with_ratio(t: Tables):
         ["meas", "in.state", "year", "end_use", "fuel", "turnover", "sector"],
         ["in.state", "year", "end_use", "turnover", "sector"],
     )
-    # The nudge keeps exact decimal ties from rounding by the engine's own rule.
-    out = out.withColumn("state_ann_kwh_cal", col("state_ann_kwh_cal") * (1 + 1e-12))
+    out = nudged(out, "state_ann_kwh_cal")
     return rounded(out, {"state_ann_kwh_uncal": 2, "state_ann_kwh_cal": 4})
 
 

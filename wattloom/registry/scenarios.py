@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.text import col
 from wattloom.operators import scenario, stock, wide
-from wattloom.registry.core import LINES_SQL, Tables, query, rounded
+from wattloom.registry.core import LINES_SQL, Tables, nudged, query, rounded
 
 METRICS = (scenario.EFFICIENT, scenario.MEASURE, scenario.ENVELOPE, scenario.BASELINE)
 KEYS = ["meas", "reg", "bldg_type", "end_use", "fuel", "year"]
@@ -485,8 +485,7 @@ def electric_share_buildings(t: Tables):
         allocation,
         ["o_orderpriority"],
     )
-    # The nudge keeps exact decimal ties from rounding by the engine's own rule.
-    out = out.withColumn("N_bldgs_elec_heat", col("N_bldgs_elec_heat") * (1 + 1e-12))
+    out = nudged(out, "N_bldgs_elec_heat")
     return rounded(out, {"N_bldgs": 4, "N_bldgs_elec_heat": 5})
 
 
