@@ -175,6 +175,6 @@ def test_coverage_and_status(frame):
 def test_compare_sources(frame):
     a = frame([("x", 1.0), ("y", float("nan"))], "k string, v double")
     b = frame([("x", 4.0), ("z", 2.0)], "k string, v double")
-    out = reconcile.compare_sources({"a": (a, "v"), "b": (b, "v")}, ["k"], {"d": ("a", "b")})
+    out = reconcile.compare_sources({"a": (a, "v", col("k") != "q"), "b": (b, "v", col("k") != "q")}, ["k"], {"d": ("a", "b")})
     got = {r.k: (r.a, r.b, r.d) for r in out.collect()}
     assert got == {"x": (1.0, 4.0, 0.75), "z": (0.0, 2.0, 1.0)}

@@ -30,7 +30,7 @@ def test_delimited_types(spark, tmp_path):
 
 
 def test_measure_map_column_is_named_end_use(spark, tmp_path):
-    path = tmp_path / "measure_map.tsv"
+    path = tmp_path / "measures.tsv"
     path.write_text("meas\tModel_end_use\toriginal_ann\nm\tCooking\tg\n")
     assert readers.read_measure_map(spark, str(path)).columns == ["meas", "end_use", "original_ann"]
 

@@ -40,7 +40,7 @@ def join_null_safe(
 ) -> DataFrame:
     """Equi-join in which a NULL key matches a NULL key (as in a GROUP BY)."""
     if not keys:
-        return left.crossJoin(right)
+        raise ValueError("a join needs at least one key")
     joined = left.join(prefixed(right, keys), null_safe_condition(left, keys), how)
     if how in ("left_semi", "left_anti"):
         return joined

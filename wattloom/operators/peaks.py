@@ -289,8 +289,10 @@ def rows_of_maximum_day(
     ``candidates`` limits which rows may set the maximum; the rows returned are
     of the same group and day, whatever they are.  Tied days all stay.
     """
-    pool = df if candidates is None else df.filter(candidates)
-    per_day = pool.groupBy(*cols([*group, day])).agg(F.max(col(value)).alias("__day_max"))
+    # The condition is part of the maximum, not a filter: all three uses of ``df``
+    # then share one computation of it.
+    pool = col(value) if candidates is None else F.when(candidates, col(value))
+    per_day = df.groupBy(*cols([*group, day])).agg(F.max(pool).alias("__day_max"))
     best = per_day.groupBy(*cols(group)).agg(F.max("__day_max").alias("__max"))
     days = (
         per_day.join(best, list(group), "inner")

@@ -168,20 +168,32 @@ def missing_multipliers(
 
 
 def compare_sources(
-    sources: Mapping[str, tuple[DataFrame, str]],
+    sources: Mapping[str, tuple[DataFrame, str, Column]],
     keys: Sequence[str],
     pairs: Mapping[str, tuple[str, str]] | None = None,
 ) -> DataFrame:
-    """One column of sums per tagged source, and ``1 - a / b`` for chosen pairs.
+    """One column of sums per source, and ``1 - a / b`` for chosen pairs.
 
-    A source without a row for a key counts as 0.
+    ``sources`` maps result column -> (table, value column, condition).  Sources
+    of the same table are summed conditionally in one scan of it.  A source
+    without a row for a key counts as 0.
     """
-    known = {
-        name: (table.filter(is_number(col(value))), value)
-        for name, (table, value) in sources.items()
-    }
-    wide = reaggregate(known, keys).select(
-        *cols(keys), *[zero_if_null(col(n)).alias(n) for n in sources]
+    tables: dict[int, DataFrame] = {id(df): df for df, _, _ in sources.values()}
+    stacked: DataFrame | None = None
+    for ident, table in tables.items():
+        columns, used = [], F.lit(False)
+        for name, (df, value, hit) in sources.items():
+            if id(df) == ident:
+                counts = F.coalesce(hit, F.lit(False)) & is_number(col(value))
+                columns.append(F.when(counts, col(value)).cast("double").alias(name))
+                used = used | counts
+            else:
+                columns.append(F.lit(None).cast("double").alias(name))
+        part = table.filter(used).select(*cols(keys), *columns)
+        stacked = part if stacked is None else stacked.unionByName(part)
+    assert stacked is not None, "at least one source is needed"
+    wide = stacked.groupBy(*cols(keys)).agg(
+        *[zero_if_null(F.sum(col(n))).alias(n) for n in sources]
     )
     diffs = [
         relative_difference(col(a), col(b)).alias(name)

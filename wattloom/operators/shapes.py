@@ -47,6 +47,7 @@ def hourly_shape(
     hour: Column,
     values: Mapping[str, Column],
     rows: Sequence[Target],
+    drop_null: Sequence[str] = (),
 ) -> DataFrame:
     """Hourly sums by place and shape, each divided by its total over all hours.
 
@@ -63,6 +64,7 @@ def hourly_shape(
         rows,
         value_name="kwh",
         share_name="multiplier_hourly",
+        drop_null=drop_null,
     )
 
 

@@ -118,13 +118,21 @@ def share_of_group(
     rows: Sequence[Target],
     value_name: str | None = None,
     share_name: str = "multiplier",
+    drop_null: Sequence[str] = (),
 ) -> DataFrame:
     """Sum by place, share within the group, fan out to (end use, fuel) rows.
 
     ``place`` are the detail keys, ``within`` the group keys (state, technology
     group ...).  Keys named in both are kept once.
+
+    ``drop_null`` names keys that must not be NULL.  Use it when the shares are
+    joined on those keys in the same plan: the optimiser would otherwise push
+    the NULL check into the detail but not into the totals, the two would no
+    longer share an exchange, and the fact table would be read twice.
     """
     keys = list(dict.fromkeys([*place, *within]))
+    for key in drop_null:
+        df = df.filter(col(key).isNotNull())
     detail = sum_by(df, keys, values)
     totalled = with_group_totals(detail, within, list(values))
     return fan_out(totalled, keys, rows, value_name, share_name)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,17 +44,14 @@ def household_counts(
     heating = rows.filter(
         col("metric").contains(UNITS_MARK) & (col("end_use") == HEATING)
     )
-    total = (
-        heating.filter(col("metric") == BASE_UNITS)
-        .groupBy(*cols(by))
-        .agg(F.sum(col("value")).alias("heating_units_total"))
-    )
     cell = [*by, "meas", "bldg_type", "end_use", "fuel"]
-    complete = heating.dropna(subset=[n for n in cell if n in heating.columns])
-    cells = complete.groupBy(*cols(cell)).agg(
+    cells = heating.groupBy(*cols(cell)).agg(
+        F.sum(_metric(BASE_UNITS)).alias("units"),
         F.min(_metric(BASE_UNITS)).alias("base"),
         F.min(_metric(MEASURE_UNITS)).alias("measure"),
     )
+    # Electric and cooling units count complete cells only, the total all rows.
+    complete = reduce(lambda a, b: a & b, [col(n).isNotNull() for n in cell])
     electric = F.when(col("base") > 0, col("base")).when(col("base") == 0, col("measure"))
     no_cool = col("meas").contains(NO_COOL_MARK)
     cooling = (
@@ -62,20 +60,19 @@ def household_counts(
         .when(no_cool & (col("fuel") == "Non-Electric"), F.lit(0.0))
         .otherwise(col("base"))
     )
-    is_electric = col("fuel") == "Electric"
-    summed = cells.groupBy(*cols(by)).agg(
+    is_electric = complete & (col("fuel") == "Electric")
+    counts = cells.groupBy(*cols(by)).agg(
+        F.sum(col("units")).alias("heating_units_total"),
         F.sum(F.when(is_electric, zero_if_null(electric))).alias("heating_units_elec"),
-        F.sum(zero_if_null(cooling)).alias("cooling_units"),
+        F.sum(F.when(complete, zero_if_null(cooling))).alias("cooling_units"),
+        F.count(col("units")).alias("__based"),
     )
+    total = col("heating_units_total")
     return (
-        total.join(summed, by, "left")
-        .withColumn(
-            "share_elec_heat",
-            safe_ratio(col("heating_units_elec"), col("heating_units_total")),
-        )
-        .withColumn(
-            "share_cooling", safe_ratio(col("cooling_units"), col("heating_units_total"))
-        )
+        counts.filter(col("__based") > 0)  # a state needs a baseline to be listed
+        .drop("__based")
+        .withColumn("share_elec_heat", safe_ratio(col("heating_units_elec"), total))
+        .withColumn("share_cooling", safe_ratio(col("cooling_units"), total))
         .withColumnRenamed("reg", "state")
     )
 

@@ -82,6 +82,7 @@ def annual_table(t: Tables) -> DataFrame:
         {"v": col("o_totalprice")},
         rows,
         share_name="multiplier_annual",
+        drop_null=["county", "in.state", "group_ann"],
     )
 
 
@@ -99,6 +100,7 @@ def hourly_table(t: Tables) -> DataFrame:
         align_hour(col("ts"), None),
         {"v": col("value")},
         rows,
+        drop_null=["county", "shape_ts"],
     )
     return out.withColumn("sector", F.lit("com"))
 
@@ -290,6 +292,7 @@ def hourly_by_place_variant(t: Tables):
         align_hour(col("ts"), None),
         {"v": col("value")},
         tuple(Target("v", use, "Electric") for use in FLAGS),
+        drop_null=["weather", "shape_ts"],
     ).withColumn("sector", F.lit("res"))
     out = disagg.disaggregate_hourly(
         annual,

@@ -287,14 +287,15 @@ FROM (
 
 
 def _compare(t: Tables, keys: list[str]):
-    f, p = facts(t), projection(t).filter(col("fuel") == "Electric")
+    f, p = facts(t), projection(t)
     uncal, ann = "county_hourly_uncal_kwh", "state_ann_kwh"
+    com, res, electric = col("sector") == "com", col("sector") == "res", col("fuel") == "Electric"
     out = reconcile.compare_sources(
         {
-            "commercial_sum": (f.filter(col("sector") == "com"), uncal),
-            "residential_sum": (f.filter(col("sector") == "res"), uncal),
-            "planned_commercial_sum": (p.filter(col("sector") == "com"), ann),
-            "planned_residential_sum": (p.filter(col("sector") == "res"), ann),
+            "commercial_sum": (f, uncal, com),
+            "residential_sum": (f, uncal, res),
+            "planned_commercial_sum": (p, ann, com & electric),
+            "planned_residential_sum": (p, ann, res & electric),
         },
         keys,
         {
