@@ -284,3 +284,39 @@ def test_residential_gap_shape(tables):
     out = workflow.gap_shape_res(tables[0])
     sums = out.groupBy(col("in.weather_file_city")).sum("multiplier_hourly").collect()
     assert all(r[1] == pytest.approx(1.0) for r in sums) and len(sums) == 2
+
+
+def test_coverage_and_split_checks(written, tables, frame):
+    _, _, measure_map, packages, scenarios, _ = tables
+    annual = {s: written[f"annual_multipliers_{s}"] for s in ("res", "com")}
+    counties = {s: written[f"county_annual_{s}"] for s in ("res", "com")}
+    hourly = {s: written[f"hourly_multipliers_{s}"] for s in ("res", "com")}
+    checks = workflow.coverage_checks(
+        written["projection"], measure_map, annual, counties, hourly
+    )
+    for name, bad in checks.items():
+        assert bad.collect() == [], name
+    # Without the gap group its combinations show up.
+    annual["com"] = annual["com"].filter(col("group_ann") != "com_gap_ann_1")
+    bad = workflow.coverage_checks(
+        written["projection"], measure_map, annual, counties, hourly
+    )["annual"].collect()
+    assert {r.group_ann for r in bad} == {"com_gap_ann_1"}
+    split = workflow.split_check(scenarios["ref"], packages, "ref", "r1").collect()
+    assert split and all(abs(r.delta) < 1e-6 for r in split)
+
+
+def test_publication(spark, written, tmp_path):
+    paths = workflow.publish(
+        written["long_county_hourly"],
+        written["wide_county_hourly"],
+        written["hourly_multipliers_com"],
+        workflow.Layout(str(tmp_path)),
+    )
+    back = {n: spark.read.parquet(p) for n, p in paths.items()}
+    assert back["published_county_hourly"].count() == written["wide_county_hourly"].count()
+    electric = written["long_county_hourly"].selectExpr("sum(county_hourly_cal_kwh)").first()[0]
+    total = back["published_totals"].selectExpr("sum(buildings_kwh)").first()[0]
+    assert total == pytest.approx(electric)
+    assert back["multipliers_by_county"].select("in_county").distinct().count() == 3
+    assert back["air_quality"].filter(col("turnover") == "baseline").count() == 0

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.functions.numbers import safe_ratio
+from wattloom.functions.numbers import is_number, relative_difference, safe_ratio
 from wattloom.functions.text import col, cols
+from wattloom.operators.joins import full_join
 from wattloom.operators.shapes import HOUR
 
 CAL_KEYS = ("sector", "in.state", "month", "fuel")
@@ -77,9 +78,6 @@ def calibration_audit(
     factor: str = "calibration_multiplier",
 ) -> DataFrame:
     """Multiplier implied by the results next to the mean of the given ratios."""
-    from wattloom.functions.numbers import is_number, relative_difference
-    from wattloom.operators.joins import full_join
-
     by = [*tags, *keys]
     modelled = hourly.filter(is_number(col(uncal))).groupBy(*cols(by)).agg(
         F.sum(col(uncal)).alias("kwh_uncal"), F.sum(col(cal)).alias("kwh_cal")

@@ -86,6 +86,17 @@ def projection_checks(
     }
 
 
+def split_check(
+    documents: DataFrame, package_map: DataFrame | None, turnover: str, run: str
+) -> DataFrame:
+    """Sums before and after the split of unmodelled energy, with totals rows."""
+    rows = scenario.flatten_scenario(documents)
+    before = scenario.annual_long(rows, package_map, turnover, run)
+    after = scenario.weighted_split(before, scenario.gap_weights(documents))
+    keys = [n for n in before.columns if n not in ("meas", "state_ann_kwh")]
+    return scenario.split_conservation(before, after, keys)
+
+
 # --- multipliers -------------------------------------------------------------
 
 
@@ -298,6 +309,39 @@ def county_checks(
     return out
 
 
+def coverage_checks(
+    projected: DataFrame,
+    measure_map: DataFrame,
+    annual: Mapping[str, DataFrame],
+    counties: Mapping[str, DataFrame],
+    hourly: Mapping[str, DataFrame],
+) -> dict[str, DataFrame]:
+    """Combinations that hold energy but whose multipliers are missing or not 1."""
+    group = ["in.state", "group_ann", "end_use", "fuel"]
+    known = calibrate.combine(list(annual.values()), [*group, "multiplier_annual"])
+    out = {
+        "annual": reconcile.missing_multipliers(
+            projected.withColumnRenamed("reg", "in.state"),
+            disagg.stage_groups(measure_map, ("meas", "end_use")),
+            known,
+            group,
+            "state_ann_kwh",
+            "multiplier_annual",
+        )
+    }
+    places = {"res": list(res.WEATHER), "com": ["in.county", "in.state"]}
+    for sector, place in places.items():
+        out[f"hourly_{sector}"] = reconcile.missing_multipliers(
+            counties[sector],
+            disagg.stage_shapes(measure_map),
+            hourly[sector],
+            [*place, "shape_ts", "end_use", "fuel"],
+            "county_ann_kwh",
+            "multiplier_hourly",
+        )
+    return {name: reconcile.off_by(t, "mult_sum") for name, t in out.items()}
+
+
 def extracts(hourly: DataFrame, base_year: int, last_year: int) -> dict[str, DataFrame]:
     """The standard analytic extracts of one combined hourly table."""
     cal = "county_hourly_cal_kwh"
@@ -338,6 +382,48 @@ def air_quality(hourly: DataFrame) -> DataFrame:
     )
 
 
+def county_totals(hourly: DataFrame) -> DataFrame:
+    """Electricity of all buildings per county and hour."""
+    return peaks.totals(
+        hourly.filter(col("fuel") == "Electric"),
+        ["timestamp_hour", "turnover", "in.county", "year", "in.state"],
+        {"county_hourly_cal_kwh": "buildings_kwh"},
+    ).select(
+        col("timestamp_hour"),
+        col("turnover"),
+        col("in.county").alias("county"),
+        col("buildings_kwh"),
+        col("year"),
+        col("in.state").alias("state"),
+    )
+
+
+def publish(
+    long_hourly: DataFrame,
+    wide_hourly: DataFrame,
+    hourly_com: DataFrame,
+    layout: Layout,
+) -> dict[str, str]:
+    """Write the published tables; each is one partitioned write, not one per key."""
+    tables = {
+        "published_county_hourly": (wide_hourly, ["scenario", "sector", "year", "state"]),
+        "published_totals": (county_totals(long_hourly), ["turnover", "year", "state"]),
+        "air_quality": (air_quality(long_hourly), schemas.PARTITIONS["air_quality"]),
+    }
+    for name, (df, by) in tables.items():
+        writers.write_partitioned(df, layout(name), by)
+    multipliers = layout("multipliers_by_county")
+    writers.export_per_key(
+        hourly_com.select(
+            *cols(["in.county", "shape_ts", "timestamp_hour", "multiplier_hourly", "in.state"])
+        ),
+        multipliers,
+        "in.county",
+        "in_county",
+    )
+    return {**{n: layout(n) for n in tables}, "multipliers_by_county": multipliers}
+
+
 # --- everything --------------------------------------------------------------
 
 
