@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import bpe, chat, exact_dedup, langid, pack, quality
+from wattloom.llm import ann, bpe, chat, exact_dedup, langid, lm, near_dedup, pack, quality, suffix_dedup
 from wattloom.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,27 @@ def op7_langid(spark: SparkSession, folder: str) -> DataFrame:
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded and decoded again."""
     return bpe.digests(table(spark, folder, "documents"), _tokens("byte_bpe_50k.tiktoken"))
+
+
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Strings of 200 bytes that repeat anywhere in all documents."""
+    return suffix_dedup.summary(table(spark, folder, "documents"), 200)
+
+
+@query("op3_lm_score")
+def op3_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents under a model of six sevenths of them."""
+    return lm.score_texts(table(spark, folder, "documents"), 7, 2)
+
+
+@query("op6_near_dedup")
+def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose four-word shingle sets are 80 % alike."""
+    return near_dedup.find_groups(table(spark, folder, "documents"), 4, 80)
+
+
+@query("op10_ann")
+def op10_ann(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, 10)
