@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,7 @@ from wattloom.llm.common import quoted, text_or_empty
 CHARS = 1 << 20
 BLOCK = 256
 #: Cached pieces in each of two generations; the older one is dropped when the younger is full.
-CACHE = 200_000
+CACHE = 400_000
 
 # Codepoint classes.
 LETTER, NUMBER, OTHER, SPACE, WHITE = range(5)
@@ -163,18 +165,28 @@ class PieceCache:
     def look_up(self, items: list[str]) -> list[bytes]:
         """Ids of each piece as little-endian unsigned 32-bit numbers."""
         got = list(map(self.young.get, items))
-        missing = {items[k] for k, x in enumerate(got) if x is None} if None in got else ()
-        if missing:
+        if None in got:
+            gaps = [k for k, x in enumerate(got) if x is None]
+            missing = dict.fromkeys([items[k] for k in gaps])
             if len(self.young) > self.size:
                 self.old, self.young = self.young, {}
-            known = {x: self.old[x] for x in missing if x in self.old}
-            new = [x for x in missing if x not in known]
-            fresh = known | dict(zip(new, self.encode(new)))
-            self.young |= fresh
-            got = [fresh[items[k]] if x is None else x for k, x in enumerate(got)]
+            fresh = {x: self.old[x] for x in missing if x in self.old}
+            new = [x for x in missing if x not in fresh]
+            fresh.update(zip(new, self.encode(new)))
+            self.young.update(fresh)
+            for k in gaps:
+                got[k] = fresh[items[k]]
         return got
 
 
+def little_endian(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 def load_ranks(path: str) -> dict[bytes, int]:
     """A rank file: base64 of a token's bytes, and its rank, on each line."""
     with open(path, "rb") as lines:
@@ -243,7 +255,7 @@ class Encoder:
 
     def _encode(self, items: list[str]) -> list[bytes]:
         ranks = self.ranks
-        return [np.array(merge(x.encode(), ranks), "<u4").tobytes() for x in items]
+        return [little_endian(merge(x.encode("utf-8", "surrogatepass"), ranks)) for x in items]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.bpe import PieceCache, pieces
+from wattloom.llm.bpe import PieceCache, little_endian, pieces
 from wattloom.llm.common import quoted, text_or_empty, written
 
 #: Open windows in a task.
@@ -128,7 +128,7 @@ def _tokenizer(path: str) -> PieceCache:
 
         def encode(items: list[str]) -> list[bytes]:
             got = tokenizer.encode_batch_fast(items, add_special_tokens=False)
-            return [np.array(x.ids, "<u4").tobytes() for x in got]
+            return [little_endian(x.ids) for x in got]
 
         _caches[path] = PieceCache(encode)
     return _caches[path]
@@ -136,7 +136,7 @@ def _tokenizer(path: str) -> PieceCache:
 
 def tokenise(texts: list[str], path: str, end_id: int) -> Iterator[np.ndarray]:
     """Each text's ids with ``end_id`` after them."""
-    cache, end = _tokenizer(path), np.array([end_id], "<u4").tobytes()
+    cache, end = _tokenizer(path), little_endian([end_id])
     for _, _, items, counts in pieces(texts):
         got, at = cache.look_up(items), 0
         for n in counts.tolist():
