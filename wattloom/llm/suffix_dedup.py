@@ -174,7 +174,7 @@ def _ranges(row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     new = np.ones(len(row), bool)
     new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)
     begun = np.flatnonzero(new)
-    ended = np.append(begun[1:], len(row)) - 1
+    ended = np.append(begun[1:], len(row))[: len(begun)] - 1
     return row[begun], start[begun], start[ended]
 
 
