@@ -76,6 +76,18 @@ def deduplicate(
     than all others; repeated rows with one id are one document and share its
     decision.  An empty batch leaves the index as it is.
     """
+    thin, decided = _decide(docs, index, id_col, text_col)
+    return thin.join(decided, "digest").select(
+        "doc_id",
+        "keep_id",
+        "group_size",
+        (F.col("new") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"),
+        F.lower(F.hex("digest")).alias("text_sha256"),
+    )
+
+
+def _decide(docs: DataFrame, index: DigestIndex, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The batch's ``doc_id, digest`` rows, and ``digest, group_size, keep_id, new``."""
     spark = docs.sparkSession
     batch = uuid.uuid4().hex
     thin = written(
@@ -90,28 +102,24 @@ def deduplicate(
     )
     fresh = groups.join(index.read(spark).select("digest").hint("merge"), "digest", "left_anti")
     index.append(fresh.withColumn("batch", F.lit(batch)).select("digest", "keep_id", "n", "batch"))
-    known = index.read(spark).select("digest", "keep_id", "batch")
-    decided = groups.select("digest", F.col("n").alias("group_size")).join(
-        known.hint("merge"), "digest"
-    )
-    return thin.join(decided, "digest").select(
-        "doc_id",
-        "keep_id",
-        "group_size",
-        ((F.col("batch") == batch) & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"),
-    )
+    known = index.read(spark).select("digest", "keep_id", (F.col("batch") == batch).alias("new"))
+    sizes = groups.select("digest", F.col("n").alias("group_size"))
+    return thin, sizes.join(known.hint("merge"), "digest")
 
 
 def keep_new(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
+    """The rows of ``docs`` that stay, with all their columns; one row for each new text.
 
-    Rows are matched by digest and id, so ids need not be unique.
+    Rows are matched by digest and id, so ids need not be unique; of rows that
+    repeat both, one stays.
     """
-    stay = deduplicate(docs, index, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")
-    ).distinct()
-    same = quoted(id_col).cast("long").eqNullSafe(F.col("__id")) & (
-        F.sha2(text_or_empty(text_col), 256) == F.col("__sha")
-    )
-    return docs.join(stay, same, "left_semi")
+    thin, decided = _decide(docs, index, id_col, text_col)
+    stay = decided.filter("new").select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__id"))
+    sha = F.unhex(F.sha2(text_or_empty(text_col), 256))
+    same = quoted(id_col).cast("long").eqNullSafe(F.col("__id")) & (sha == F.col("__digest"))
+    kept = docs.join(stay, same, "left_semi")
+    repeated = thin.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if repeated.isEmpty():
+        return kept
+    keys = [quoted(id_col).cast("long").alias("__a"), sha.alias("__b")]
+    return kept.select("*", *keys).dropDuplicates(["__a", "__b"]).drop("__a", "__b")

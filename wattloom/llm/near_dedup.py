@@ -272,6 +272,38 @@ def find_groups(
     component's id unless all its ids are null; rows with equal ids are all
     reported.  ``kept`` marks the row(s) whose id is the component's.
     """
+    rows = _grouped(docs, width, percent, id_col, text_col)
+    smallest = rows.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("least"))
+    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least"))
+    return rows.join(smallest, "comp", "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        component.alias("component_id"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"),
+    )
+
+
+def keep_one(
+    docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one text of each group.
+
+    It is the one with the smallest id (null is larger than all; of equal ids the
+    text with the smaller hash).  Rows without words all stay; rows that repeat both
+    id and text of one that stays do, too.
+    """
+    rows = _grouped(docs, width, percent, id_col, text_col)
+    order = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "k1", "k2")
+    firsts = rows.filter("comp IS NOT NULL").groupBy("comp").agg(F.min(order).alias("m")).select("m.doc_id", "m.k1", "m.k2")
+    stay = firsts.unionByName(rows.filter("n = 0").select("doc_id", "k1", "k2").distinct())
+    stay = stay.select(F.struct("k1", "k2").alias("__k"), F.col("doc_id").alias("__id"))
+    key = text_key(text_or_empty(text_col))
+    same = (key["k1"] == F.col("__k.k1")) & (key["k2"] == F.col("__k.k2"))
+    return docs.join(stay, same & quoted(id_col).cast("long").eqNullSafe(F.col("__id")), "left_semi")
+
+
+def _grouped(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, k1, k2, n, comp`` of every row; ``comp`` is null for empty sets."""
     texts = docs.select(
         quoted(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")
     ).select("doc_id", "text", text_key(F.col("text")).alias("k")).select("doc_id", "text", "k.*")
@@ -340,12 +372,4 @@ def find_groups(
 
     nodes = sets.select(*key, "node").join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     nodes = nodes.join(second, "comp", "left").select(*key, F.coalesce("last", "comp").alias("comp"))
-    rows = sketched.select("doc_id", *key).join(nodes, key, "left")
-    smallest = rows.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("least"))
-    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least"))
-    return rows.join(smallest, "comp", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
-    )
+    return sketched.select("doc_id", "k1", "k2", *key).join(nodes, key, "left").select("doc_id", "k1", "k2", "n", "comp")
