@@ -111,8 +111,18 @@ def test_export_per_key_and_extracts(spark, frame, tmp_path):
     assert csv.columns == ["in.state", "v", "year"]
 
 
-def test_checkpoint_dir_prefers_the_session(spark, tmp_path):
-    from wattloom.session import checkpoint_dir
+def test_shared_folder_is_the_session_s(spark):
+    from wattloom.session import shared_folder
 
     named = spark.conf.get("spark.checkpoint.dir", None)
-    assert checkpoint_dir(spark, str(tmp_path)) == (named or str(tmp_path))
+    folder = shared_folder(spark)
+    assert folder == named.rstrip("/") if named else folder.startswith("file:///tmp/run-")
+    assert shared_folder(spark) == folder
+
+
+def test_rerun_leaves_no_old_folders(spark, tmp_path):
+    rows = table(spark, 90)
+    path = f"{tmp_path}/rerun"
+    writers.write_partitioned(rows, path, ["in.state"])
+    writers.write_partitioned(rows.filter("`in.state` = 'A'"), path, ["in.state"])
+    assert [r[0] for r in spark.read.parquet(path).select("`in.state`").distinct().collect()] == ["A"]

@@ -144,7 +144,8 @@ def disaggregate_hourly(
 
 
 def _block(blocks: int) -> Column:
-    return F.pmod(F.dayofyear(col(HOUR)), F.lit(blocks)).cast("int")
+    """The block of an hour; rows without an hour are in the first one."""
+    return F.coalesce(F.pmod(F.dayofyear(col(HOUR)), F.lit(blocks)), F.lit(0)).cast("int")
 
 
 def annual_variant(

@@ -31,24 +31,45 @@ def measure_objects(
 ) -> DataFrame:
     """One row per measure of a scenario document: name and the measure's JSON.
 
-    The last top-level key of a document describes the run and is skipped.  Each
-    document is parsed once, at its top level only; the nested text is parsed by
-    the tasks that receive the measures.
+    The last top-level key of a document describes the run and is skipped.  A
+    document is parsed at its top level by the task that read it; the measures are
+    then dealt out, so the nested text of one document is parsed by many tasks.
+    A text that is not a complete JSON object fails the job.
     """
     names = F.json_object_keys(col(text))
-    parsed = documents.select(
+    parsed = documents.filter(col(text).isNotNull()).select(
         *cols(keep),
-        F.from_json(col(text), TEXT_MAP).alias("__doc"),
-        F.slice(names, 1, F.greatest(F.size(names) - 1, F.lit(0))).alias("__names"),
+        _parsed(col(text), TEXT_MAP, "document").alias("__doc"),
+        F.element_at(names, -1).alias("__last"),
     )
-    return parsed.select(
-        *cols(keep), col("__doc"), F.explode(col("__names")).alias("meas")
-    ).select(
-        *cols([*keep, "meas"]),
-        F.from_json(F.element_at(col("__doc"), col("meas")), TEXT_MAP).alias("body"),
+    measures = parsed.select(*cols(keep), col("__last"), F.explode("__doc").alias("meas", "__text"))
+    return (
+        measures.filter(col("meas") != col("__last"))
+        .select(*cols([*keep, "meas"]), col("__text"))
+        .repartition(*cols([*keep, "meas"]))
+        .select(*cols([*keep, "meas"]), _parsed(col("__text"), TEXT_MAP, "measure").alias("body"))
     )
 
 
+def _parsed(text: Column, schema: str, what: str) -> Column:
+    """JSON text as ``schema``; text that does not parse is an error, never a NULL.
+
+    Whole documents are checked by their keys as well: the parser would keep the
+    part of a truncated object that it has read.
+    """
+    bad = F.raise_error(F.concat(F.lit(f"not a JSON object ({what}): "), F.substring(text, 1, 200)))
+    whole = F.get_json_object(text, "$").isNotNull()
+    value = F.when(whole, F.from_json(text, schema))
+    return F.when(text.isNotNull() & (F.trim(text) != "null"), F.coalesce(value, bad.cast(schema)))
+
+
+def _number(text: Column, where: Column) -> Column:
+    """A leaf as a number; ``NaN`` is one, ``null`` is NULL, other text is an error."""
+    value = text.try_cast("double")
+    bad = F.raise_error(F.concat(F.lit("not a number: "), text, F.lit(" in "), where))
+    return F.when(text.isNotNull() & (text != "null"), F.coalesce(value, bad.cast("double")))
+
+
 def flatten_scenario(
     documents: DataFrame, text: str = "value", keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -59,7 +80,7 @@ def flatten_scenario(
     """
     out = measure_objects(documents, text, keep).select(
         *cols([*keep, "meas"]),
-        F.from_json(F.element_at(col("body"), F.lit(CATEGORIES)), CATEGORY_MAP).alias(
+        _parsed(F.try_element_at(col("body"), F.lit(CATEGORIES)), CATEGORY_MAP, "categories").alias(
             "__rest"
         ),
     )
@@ -67,36 +88,67 @@ def flatten_scenario(
     for level in CATEGORY_LEVELS:
         out = out.select(*cols(done), F.explode(col("__rest")).alias(level, "__rest"))
         done.append(level)
-    leaf = F.from_json(col("__rest"), TEXT_MAP)
+    leaf = _parsed(col("__rest"), TEXT_MAP, "end use")
     out = out.select(*cols(done), F.explode(leaf).alias("__key", "__leaf"))
-    by_fuel = F.from_json(col("__leaf"), "map<string,double>")
-    by_year = F.create_map(col("__key"), col("__leaf").try_cast("double"))
+    by_fuel = _parsed(col("__leaf"), TEXT_MAP, "fuel")
+    by_year = F.create_map(col("__key"), col("__leaf"))
     has_fuel = F.ltrim(col("__leaf")).startswith("{")
     return out.select(
         *cols(done),
         F.when(has_fuel, col("__key")).otherwise(F.lit("Electric")).alias("fuel"),
         F.explode(F.when(has_fuel, by_fuel).otherwise(by_year)).alias("year", "value"),
-    ).withColumn("year", col("year").cast("int"))
+    ).withColumns({"year": col("year").cast("int"), "value": _number(col("value"), col("meas"))})
 
 
 def gap_weights(
-    documents: DataFrame, text: str = "value", keep: Sequence[str] = ()
+    documents: DataFrame, text: str = "value", keep: Sequence[str] = (), key: str | None = None
 ) -> DataFrame:
-    """(measure, building type, year) -> share not covered by the building models."""
+    """(measure, building type, year) -> share not covered by the building models.
+
+    ``key`` is the name under which a measure holds its weights.  Without it that is
+    the one name ending in ``WEIGHTS_SUFFIX``; several such names are an error.
+    """
     bodies = measure_objects(documents, text, keep)
-    weights = bodies.select(
-        *cols([*keep, "meas"]), F.explode(col("body")).alias("__key", "__text")
-    ).filter(col("__key").endswith(WEIGHTS_SUFFIX))
+    named = F.map_filter(
+        col("body"), lambda k, _: k == key if key else k.endswith(WEIGHTS_SUFFIX)
+    )
+    many = F.raise_error(F.concat(F.lit("several weight tables in "), col("meas")))
+    texts = F.when(F.size(named) > 1, many.cast("map<string,string>")).otherwise(named)
+    weights = bodies.select(*cols([*keep, "meas"]), F.explode(texts).alias("__key", "__text"))
     types = weights.select(
         *cols([*keep, "meas"]),
-        F.explode(F.from_json(col("__text"), "map<string,map<string,double>>")).alias(
+        F.explode(_parsed(col("__text"), "map<string,map<string,string>>", "weights")).alias(
             "bldg_type", "__years"
         ),
     )
     return types.select(
         *cols([*keep, "meas", "bldg_type"]),
         F.explode(col("__years")).alias("year", "gap_weight"),
-    ).withColumn("year", col("year").cast("int"))
+    ).withColumns(
+        {"year": col("year").cast("int"), "gap_weight": _number(col("gap_weight"), col("meas"))}
+    )
+
+
+def merge_baselines(rows: DataFrame, value: str = "state_ann_kwh") -> DataFrame:
+    """One baseline for all scenarios: equal keys once, others united.
+
+    Where scenarios disagree on a key the smallest value is taken, whatever their
+    order; ``baseline_conflicts`` lists such keys.
+    """
+    keys = [c for c in rows.columns if c != value]
+    baseline = col("turnover").eqNullSafe("baseline")
+    agreed = rows.filter(baseline).groupBy(*cols(keys)).agg(F.min(col(value)).alias(value))
+    return rows.filter(~baseline).unionByName(agreed.select(*cols(rows.columns)))
+
+
+def baseline_conflicts(rows: DataFrame, value: str = "state_ann_kwh") -> DataFrame:
+    """Baseline keys whose values differ between scenarios by over one part in a million."""
+    keys = [c for c in rows.columns if c != value]
+    spread = rows.filter(col("turnover") == "baseline").groupBy(*cols(keys)).agg(
+        F.min(col(value)).alias("least"), F.max(col(value)).alias("most")
+    )
+    size = F.greatest(F.abs(col("least")), F.abs(col("most")))
+    return spread.filter(col("most") - col("least") > 1e-6 * size)
 
 
 def metric_columns(

@@ -100,6 +100,15 @@ def split_check(
 # --- multipliers -------------------------------------------------------------
 
 
+def res_buildings(b: Buildings) -> DataFrame:
+    """Residential buildings with the weather place as text.
+
+    A double inside a join key is normalised by the join and would not match the
+    clustering the inputs already have.
+    """
+    return b.meta_res.withColumns({c: col(c).cast("string") for c in res.WEATHER})
+
+
 def com_buildings(b: Buildings) -> DataFrame:
     """Commercial buildings with the county under its common name."""
     return b.meta_com.withColumn("in.county", col(com.COUNTY))
@@ -113,14 +122,14 @@ def annual_tables(
     modelled = annual_multipliers(com_buildings(b), maps, com.ANNUAL, com.PLACE, "com")
     gap = gap_annual(b.gap_com, states, com.GAP_VALUE, com.GAP_END_USES)
     return {
-        "res": annual_multipliers(b.meta_res, maps, res.ANNUAL, res.PLACE, "res"),
+        "res": annual_multipliers(res_buildings(b), maps, res.ANNUAL, res.PLACE, "res"),
         "com": modelled.unionByName(gap),
     }
 
 
 def hourly_res(b: Buildings, maps: Mapping[str, DataFrame]) -> DataFrame:
     series = b.ts_res.withColumn("timestamp", epoch_nanos_to_timestamp(col("timestamp")))
-    linked = shapes.building_shapes(b.meta_res, maps, res.HOURLY, res.WEATHER)
+    linked = shapes.building_shapes(res_buildings(b), maps, res.HOURLY, res.WEATHER)
     sums = shapes.hourly_sums(
         series,
         linked,
@@ -172,7 +181,9 @@ def cooking_shape(b: Buildings) -> DataFrame:
             & col("upgrade").isin(*upgrades)
         )
         .join(b.zones.select(*cols(["in.county", "tz"])), ["in.county"], "inner")
-        .select("bldg_id", "weight", "tz")
+        # one row per building and zone: a reading is never multiplied by metadata rows
+        .groupBy("bldg_id", "tz")
+        .agg(F.sum("weight").alias("weight"))
     )
     used = b.ts_com.filter(
         col("upgrade").cast("string").isin(*[str(u) for u in upgrades])
@@ -215,7 +226,7 @@ def gap_shape(b: Buildings) -> DataFrame:
 
 def gap_shape_res(b: Buildings) -> DataFrame:
     """The same series as a residential shape by weather place (not in a run)."""
-    weather = place_lookup(b.meta_res, [*res.WEATHER, "in.county"])
+    weather = place_lookup(res_buildings(b), [*res.WEATHER, "in.county"])
     placed = b.gap_com.join(weather, ["in.county"], "left")
     shared = shapes.series_share(
         placed,
@@ -437,9 +448,14 @@ def run_all(
     ratios: DataFrame,
     layout: Layout,
     run: str,
+    hour_blocks: int = 4,
 ) -> dict[str, str]:
     """Run every stage and return the paths written.
 
+    ``hour_blocks`` splits the year of one place over so many tasks, as one
+    weather place may serve many counties.  ``baseline_conflicts`` lists baseline
+    values on which scenarios disagree, ``unstampable_hours`` counts the hours
+    whose day the projection year lacks; they are not in the wide table.
     ``scenarios`` maps a scenario name to its documents.  All scenarios, years
     and sectors go through one plan per stage.
     """
@@ -451,10 +467,11 @@ def run_all(
         return spark.read.parquet(written[name])
 
     projected = None
-    for i, (turnover, documents) in enumerate(scenarios.items()):
-        part = projection(documents, package_map, turnover, run, include_baseline=i == 0)
+    for turnover, documents in scenarios.items():
+        part = projection(documents, package_map, turnover, run)
         projected = part if projected is None else projected.unionByName(part)
-    projected = stage("projection", projected, ["turnover"])
+    stage("baseline_conflicts", scenario.baseline_conflicts(projected), [])
+    projected = stage("projection", scenario.merge_baselines(projected), ["turnover"])
 
     annual = {
         s: stage(f"annual_multipliers_{s}", t, schemas.PARTITIONS["annual_multipliers"])
@@ -483,7 +500,8 @@ def run_all(
         for s in ("res", "com")
     }
     hours = [
-        county_hourly(counties[s], measure_map, hourly[s], s) for s in ("res", "com")
+        county_hourly(counties[s], measure_map, hourly[s], s, hour_blocks)
+        for s in ("res", "com")
     ]
     by = schemas.PARTITIONS["long_county"]
     stage("long_county_annual", combined_annual(list(counties.values())), by)
@@ -491,5 +509,11 @@ def run_all(
         "long_county_hourly", combined_hourly(hours, ratios), by, sort=["in.county"]
     )
     stage("wide_county_hourly", wide.wide_hourly(long_hourly), ["sector", "year", "state"])
+    stage(
+        "wide_county_hourly_baseline",
+        wide.wide_hourly(long_hourly, baseline=True),
+        ["sector", "year", "state"],
+    )
+    stage("unstampable_hours", wide.unstampable(long_hourly), [])
     stage("wide_annual_state", wide.wide_annual(projected, long_hourly, years=None), ["scenario"])
     return written

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -12,6 +11,7 @@ from wattloom.operators import calibrate, wide
 from wattloom.plans import workflow
 from wattloom.registry.core import LINES_SQL, ORDERS_SQL, Tables, query, rounded
 from wattloom.registry.longtables import FACTS_SQL, PROJECTION_SQL, facts, projection
+from wattloom.session import shared_folder
 from wattloom.sources import writers
 
 CAL, UNCAL = "county_hourly_cal_kwh", "county_hourly_uncal_kwh"
@@ -240,11 +240,8 @@ def combined_sectors(t: Tables):
 
 
 def _scratch(t: Tables) -> str:
-    """A new folder all executors can reach; a local one only without a cluster."""
-    shared = t.spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/export-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    """A new folder all executors can reach."""
+    return f"{shared_folder(t.spark)}/export-{uuid.uuid4().hex}"
 
 
 ROUNDTRIP_SQL = f"""

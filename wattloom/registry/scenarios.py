@@ -332,7 +332,7 @@ pairs AS ({_conservation_sql("ALL_ROWS", "TRUE")} UNION ALL
   {_conservation_total("ALL_ROWS", "TRUE")} UNION ALL
   {_conservation_total("COM_ELECTRIC_ONLY", AFFECTED)})
 SELECT {", ".join(CONSERVED)}, ROUND(b, 1) AS kwh_before, ROUND(a, 1) AS kwh_after,
-  ABS(ROUND(a - b, 1)) AS delta, CASE WHEN b = 0 THEN 0 ELSE ABS(ROUND((a - b) / b, 6)) END AS pct_delta, scope
+  ROUND(a - b, 1) + 0.0 AS delta, CASE WHEN b = 0 THEN 0 ELSE ROUND((a - b) / b, 6) + 0.0 END AS pct_delta, scope
 FROM pairs
 """,
 )
@@ -344,7 +344,8 @@ def split_conservation(t: Tables):
         scenario.split_conservation(before, after, CONSERVED),
         {"kwh_before": 1, "kwh_after": 1, "delta": 1, "pct_delta": 6},
     )
-    return out.withColumns({"delta": F.abs("delta"), "pct_delta": F.abs("pct_delta")})
+    # adding zero clears the sign of a negative zero, nothing else
+    return out.withColumns({"delta": F.col("delta") + 0.0, "pct_delta": F.col("pct_delta") + 0.0})
 
 
 # --- stock -------------------------------------------------------------------

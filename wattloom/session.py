@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -16,8 +17,6 @@ RUNTIME_SETTINGS = {
     # Lets a join and the aggregate above it share one exchange when they
     # are clustered on a subset of the join keys (see operators.disagg).
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
-    # A rerun of one stage replaces only the partitions it writes.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -46,13 +45,21 @@ def local_session(
     return tune(spark)
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Folder for ``DataFrame.checkpoint``: the cluster's own where it names one."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    target = configured or fallback
-    if target is None:
-        raise ValueError(
-            "spark.checkpoint.dir is not set; pass a folder all executors share"
-        )
-    spark.sparkContext.setCheckpointDir(target)
-    return target
+# The folder of a process without a cluster.
+_own: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share (``spark.checkpoint.dir``).
+
+    Only where the setting is missing and everything runs in one process (tests)
+    is a new local folder made; a cluster without the setting is an error.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        if "folder" not in _own:
+            _own["folder"] = f"file://{tempfile.mkdtemp(prefix='run-', dir='/tmp')}"
+        folder = _own["folder"]
+    return folder.rstrip("/")

@@ -87,19 +87,6 @@ def read_documents(
     return df.select(col("value"), stem.alias(name))
 
 
-def read_tables(
-    spark: SparkSession, folder: str, names: Sequence[str]
-) -> dict[str, DataFrame]:
-    """Parquet tables ``<folder>/<name>.parquet``."""
-    return {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names}
-
-
-def register(tables: Mapping[str, DataFrame]) -> None:
-    """Make DataFrames addressable from ``spark.sql`` under their names."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-
-
 def literal_table(
     spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType
 ) -> DataFrame:

@@ -28,7 +28,7 @@ PROJECTION = _schema(
 ANNUAL_MULTIPLIERS = {
     "res": _schema(
         "in.county string, in.weather_file_city string, "
-        "in.weather_file_longitude double, group_ann string, "
+        "in.weather_file_longitude string, group_ann string, "
         "multiplier_annual double, sector string, in.state string, "
         "end_use string, fuel string"
     ),
@@ -41,7 +41,7 @@ HOURLY_MULTIPLIERS = {
     "res": _schema(
         "in.weather_file_city string, shape_ts string, timestamp_hour timestamp, "
         "kwh double, multiplier_hourly double, sector string, "
-        "in.weather_file_longitude double, fuel string, end_use string"
+        "in.weather_file_longitude string, fuel string, end_use string"
     ),
     "com": _schema(
         "in.county string, shape_ts string, timestamp_hour timestamp, kwh double, "

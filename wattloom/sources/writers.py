@@ -22,16 +22,19 @@ def write_partitioned(
     sort: Sequence[str] = (),
     compression: str = "snappy",
 ) -> None:
-    """Parquet in folders ``by``.
+    """Parquet in folders ``by``; an overwrite replaces the whole table.
 
+    Folders of an earlier run go as well, whatever the session's overwrite mode:
+    a rerun without a scenario or year must not read back its old rows.
     ``sort`` clusters rows inside a file, so that row-group statistics prune on
     those columns.  File size follows the session's advisory partition size.
     """
-    laid_out = df.hint("rebalance", *cols(by))
+    laid_out = df.hint("rebalance", *cols(by)) if by else df.hint("rebalance")
     if sort:
         laid_out = laid_out.sortWithinPartitions(*cols([*by, *sort]))
     writer = laid_out.write.mode(mode).option("compression", compression)
-    writer.partitionBy(*by).parquet(path)
+    writer = writer.option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
 def append_by_name(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
