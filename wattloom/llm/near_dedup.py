@@ -30,6 +30,8 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.02, 20.0, 32_000
 #: A pair is hopeless when the likelihood of the threshold is below exp(-SLACK) of the best.
 SLACK = 12.0
+#: Chance below which a number of equal registers is ruled out at the threshold.
+NEVER = 1e-10
 #: Members of a block in the comparison of mixed buckets.
 BLOCK = 256
 
@@ -117,7 +119,8 @@ def hopeful(more: np.ndarray, less: np.ndarray, a: np.ndarray, b: np.ndarray, pe
         return more * np.log(p) + less * np.log(q) + same * np.log(r)
 
     best, at = np.full(len(u), -np.inf), np.zeros(len(u))
-    for step in np.linspace(0, 1, 33):
+    # a coarse grid can only understate the best, so it never drops more
+    for step in np.linspace(0, 1, 13):
         j = step * most
         value = likelihood(j)
         better = value > best
@@ -127,6 +130,22 @@ def hopeful(more: np.ndarray, less: np.ndarray, a: np.ndarray, b: np.ndarray, pe
     return fits & ((at >= limit) | (best - floor <= SLACK)), at
 
 
+def least_same(percent: int) -> int:
+    """Equal registers that a pair at the threshold has but for a chance of ``NEVER``.
+
+    By the Chernoff bound for independent registers.
+    """
+    p = percent / 100
+    for same in range(REGISTERS + 1):
+        x = min(max(same / REGISTERS, 1e-9), 1 - 1e-9)
+        if x >= p:
+            return same
+        far = x * np.log(x / p) + (1 - x) * np.log((1 - x) / (1 - p)) if p < 1 else np.inf
+        if np.exp(-REGISTERS * far) >= NEVER:
+            return same
+    return REGISTERS
+
+
 def _sketch_rows(width: int):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,6 +197,7 @@ def _estimated(percent: int):
 
 def _blocks_compared(percent: int):
     """Hopeful pairs between two blocks of a bucket, of different components."""
+    least = least_same(percent)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,14 +207,19 @@ def _blocks_compared(percent: int):
                 same_block = row["bx"] == row["by"]
                 rx, ry = (np.frombuffer(b"".join(m["sketch"] for m in s), np.int16).reshape(-1, REGISTERS) for s in (x, y))
                 nx, ny, cx, cy, ix, iy = (np.array([m[k] for m in s]) for k in ("n", "comp", "node") for s in (x, y))
-                for k in range(len(x)):
-                    rest = np.flatnonzero((cy != cx[k]) & ((iy > ix[k]) if same_block else True))
-                    rest = rest[100 * np.minimum(ny[rest], nx[k]) >= percent * np.maximum(ny[rest], nx[k])]
-                    if len(rest):
-                        more, less = (rx[k] > ry[rest]).sum(axis=1), (rx[k] < ry[rest]).sum(axis=1)
-                        keep, _ = hopeful(more, less, np.full(len(rest), nx[k]), ny[rest], percent)
-                        other = iy[rest[keep]]
-                        found.append((np.minimum(other, ix[k]), np.maximum(other, ix[k])))
+                fits = 100 * np.minimum.outer(nx, ny) >= percent * np.maximum.outer(nx, ny)
+                fits &= cx[:, None] != cy[None, :]
+                if same_block:
+                    fits &= ix[:, None] < iy[None, :]
+                i, j = np.nonzero(fits)
+                for lo in range(0, len(i), 16_384):
+                    p, q = i[lo : lo + 16_384], j[lo : lo + 16_384]
+                    same = (rx[p] == ry[q]).sum(axis=1)
+                    p, q = p[same >= least], q[same >= least]
+                    more, less = (rx[p] > ry[q]).sum(axis=1), (rx[p] < ry[q]).sum(axis=1)
+                    keep, _ = hopeful(more, less, nx[p], ny[q], percent)
+                    p, q = ix[p[keep]], iy[q[keep]]
+                    found.append((np.minimum(p, q), np.maximum(p, q)))
             a, b = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.int64)]) for i in (0, 1))
             pairs = np.unique(np.stack([a, b], axis=1), axis=0)
             yield pa.record_batch({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
