@@ -112,11 +112,11 @@ def county_annual(t: Tables) -> DataFrame:
 
 
 def county_hourly(t: Tables, **options) -> DataFrame:
-    shift = options.pop("shift", 0)
+    shift, hours = options.pop("shift", 0), options.pop("hours", None)
     return disagg.disaggregate_hourly(
         county_annual(t),
         disagg.stage_shapes(measure_map(t, shift)),
-        hourly_table(t),
+        hourly_table(t) if hours is None else hours,
         ["county"],
         carry=("county", "in.state", "year", "turnover", "run_id"),
         **options,
@@ -231,6 +231,28 @@ def disaggregate_hourly_blocks(t: Tables):
     return rounded(county_hourly(t, hour_blocks=4), {"county_hourly_uncal_kwh": 4})
 
 
+def _some_hours_unknown(hourly: DataFrame) -> DataFrame:
+    unknown = F.hour("timestamp_hour") == 5
+    return hourly.withColumn("timestamp_hour", F.when(~unknown, col("timestamp_hour")))
+
+
+@query(
+    "hourly_blocks_null_hours",
+    f"""
+WITH {HOURLY_SQL},
+dated AS (
+  SELECT * REPLACE (CASE WHEN HOUR(timestamp_hour) = 5 THEN NULL ELSE timestamp_hour END AS timestamp_hour)
+  FROM exploded)
+SELECT {RESULT_SQL}, ROUND(SUM(kwh), 4) AS county_hourly_uncal_kwh
+FROM dated GROUP BY county, reg, year, turnover, run_id, end_use, fuel, timestamp_hour, sector
+""",
+)
+def hourly_blocks_null_hours(t: Tables):
+    """Multipliers without an hour keep their energy, however a year is split over tasks."""
+    out = county_hourly(t, hours=_some_hours_unknown(hourly_table(t)), hour_blocks=4)
+    return rounded(out, {"county_hourly_uncal_kwh": 4})
+
+
 @query(
     "hourly_ungrouped",
     f"""

@@ -274,6 +274,16 @@ def partitioned_roundtrip(t: Tables):
     return _summary(t.spark.read.parquet(path))
 
 
+@query("rerun_drops_old_folders", ROUNDTRIP_SQL.replace("GROUP BY", "WHERE o_orderstatus = 'F' GROUP BY"))
+def rerun_drops_old_folders(t: Tables):
+    """A rerun with fewer statuses leaves none of the earlier folders."""
+    path = _scratch(t) + "/orders"
+    by = ["state", "o_orderstatus"]
+    writers.write_partitioned(_dated(t), path, by)
+    writers.write_partitioned(_dated(t).filter(col("o_orderstatus") == "F"), path, by)
+    return _summary(t.spark.read.parquet(path))
+
+
 @query(
     "per_key_export",
     f"""

@@ -102,14 +102,14 @@ weights AS (
   GROUP BY ALL)"""
 
 
-def documents(t: Tables) -> DataFrame:
+def documents(t: Tables, given: DataFrame | None = None) -> DataFrame:
     """One JSON document per state, nested like a scenario file.
 
     A document's size is fixed by its dimensions (types x uses x years), not by
     the number of line items behind it.
     """
     levels = ["adoption_scn", "metric", "reg", "bldg_type", "end_use"]
-    rows = scenario_rows(t).withColumns(
+    rows = (scenario_rows(t) if given is None else given).withColumns(
         {
             "adoption_scn": F.lit("Max"),
             "doc": col("reg"),
@@ -174,6 +174,24 @@ def flatten_scenario(t: Tables):
     return rounded(out, {"value": 4})
 
 
+@query(
+    "flatten_scenario_dirty",
+    f"""
+WITH {ROWS_SQL}
+SELECT reg AS scenario, meas, 'Max' AS adoption_scn, metric, reg, bldg_type, end_use, fuel,
+  year, CASE WHEN year % 4 > 1 THEN ROUND(value, 4) END AS value, year % 4 = 0 AS not_a_number
+FROM ({UNPIVOT_SQL.format(", ".join(KEYS))})
+""",
+)
+def flatten_scenario_dirty(t: Tables):
+    """A year that is ``null`` or the text ``NaN`` leaves the other years alone."""
+    value = F.when(col("year") % 4 == 0, float("nan")).when(col("year") % 4 > 1, col("value"))
+    rows = scenario_rows(t).withColumn("value", value)
+    out = scenario.flatten_scenario(documents(t, rows), keep=["scenario"])
+    no_number = F.coalesce(F.isnan("value"), F.lit(False))
+    return out.withColumns({"not_a_number": no_number, "value": F.when(~no_number, F.round("value", 4))})
+
+
 @query(
     "scenario_weights",
     f"""
@@ -272,6 +290,28 @@ def metric_pivot_melt(t: Tables):
     return rounded(long_rows(t), {"state_ann_kwh": 2})
 
 
+@query(
+    "baseline_every_scenario",
+    f"""
+WITH {LONG_SQL}
+SELECT * REPLACE (ROUND(state_ann_kwh, 2) AS state_ann_kwh) FROM long WHERE turnover = 'baseline'
+UNION ALL
+SELECT long.* REPLACE (ROUND(state_ann_kwh, 2) AS state_ann_kwh, t.turnover AS turnover)
+FROM long JOIN (VALUES ('early'), ('late')) t(turnover) ON long.turnover = 'ref'
+  AND CASE t.turnover WHEN 'early' THEN year <= 1996 ELSE year >= 1995 END
+""",
+)
+def baseline_every_scenario(t: Tables):
+    """Scenarios of different years: shared baseline rows once, the others united."""
+    rows, packages = scenario_rows(t), package_map(t)
+    parts = [
+        scenario.annual_long(rows.filter(kept), packages, name, "r1")
+        for name, kept in (("early", col("year") <= 1996), ("late", col("year") >= 1995))
+    ]
+    out = scenario.merge_baselines(parts[0].unionByName(parts[1]))
+    return rounded(out, {"state_ann_kwh": 2})
+
+
 SPLIT_ROWS_SQL = f"""{LONG_SQL}, {WEIGHTS_SQL},
 affected AS (
   SELECT l.*, COALESCE(gap_weight, 0) AS w
