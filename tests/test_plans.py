@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from wattloom.registry import QUERIES
 
@@ -53,3 +55,25 @@ def test_only_needed_columns_are_read(spark):
 
 def test_ranked_groups_are_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in final_plan(spark, "monthly_peak")
+
+
+def test_series_scan_opens_only_the_upgrades_in_use(spark, tmp_path):
+    """The folder filter does not depend on the size of the building table."""
+    from wattloom.operators import shapes
+    from wattloom.operators.shapes import HourlyProfile
+    from wattloom.sources.readers import literal_table
+
+    rows = [(f"{b}", f"{u}", datetime(2018, 1, 1), 1.0) for b in range(3) for u in range(5)]
+    literal_table(spark, rows, "bldg_id string, upgrade string, ts timestamp, v double").write.partitionBy(
+        "upgrade"
+    ).parquet(f"{tmp_path}/series")
+    series = spark.read.parquet(f"{tmp_path}/series")
+    maps = {"m": literal_table(spark, [("x", 3, "s")], "kind string, upgrade int, shape_ts string")}
+    profiles = [HourlyProfile("p", "v", (), map_name="m", keys=("kind",))]
+    used = shapes.used_upgrades(maps, profiles)
+    assert used == ["3"]
+    places = literal_table(spark, [("1", "3", "c", "x")], "bldg_id string, upgrade string, place string, kind string")
+    linked = shapes.building_shapes(places, maps, profiles, ["place"])
+    sums = shapes.hourly_sums(series, linked, profiles, ["place"], F.col("ts"), upgrades=used)
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*upgrade", plan)

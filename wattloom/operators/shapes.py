@@ -106,6 +106,17 @@ def building_shapes(
     return out.select(*cols(kept), joined.alias("shapes")).filter(F.size("shapes") > 0)
 
 
+def used_upgrades(
+    maps: Mapping[str, DataFrame], profiles: Sequence[HourlyProfile], upgrade: str = "upgrade"
+) -> list[str]:
+    """The upgrades that any profile uses, from the small maps (a few values)."""
+    found = {"0"} if any(p.shape for p in profiles) else set()
+    for name in sorted({p.map_name for p in profiles if p.map_name}):
+        values = maps[name].select(col(upgrade).cast("string")).distinct().dropna()
+        found |= {row[0] for row in values.collect()}
+    return sorted(found)
+
+
 def _entries(profile: str, shapes: Column) -> Column:
     return F.transform(shapes, lambda shape: _entry(profile, shape))
 
@@ -125,9 +136,14 @@ def hourly_sums(
     upgrade: str = "upgrade",
     extra: Sequence[str] = (),
     collapse: bool = False,
+    upgrades: Sequence[str] | None = None,
 ) -> DataFrame:
     """Hourly kWh of every profile from one scan of the series.
 
+    ``upgrades`` (see ``used_upgrades``) limits the scan itself: other folders of
+    the series are not opened, or their rows dropped before any shuffle, however
+    large the building table is.
+
     The series is by far the largest table, so it is scanned and shuffled once
     for all profiles instead of once per profile and state; rows are multiplied
     by profile only between the join and the map-side sum.  ``collapse`` adds a
@@ -136,6 +152,8 @@ def hourly_sums(
     of the place that are carried along (a county's state).
     """
     measures = _measures(profiles)
+    if upgrades is not None:
+        series = series.filter(col(upgrade).cast("string").isin(list(upgrades)))
     keyed = series.select(
         *[
             col(k).cast("string").alias(k) if k == upgrade else col(k)

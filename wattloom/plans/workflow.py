@@ -137,6 +137,7 @@ def hourly_res(b: Buildings, maps: Mapping[str, DataFrame]) -> DataFrame:
         res.WEATHER,
         shapes.aligned(spill_year=b.spill_year),
         collapse=True,
+        upgrades=shapes.used_upgrades(maps, res.HOURLY),
     )
     return shapes.hourly_multipliers(sums, res.HOURLY, res.WEATHER, "res")
 
@@ -156,6 +157,7 @@ def hourly_com(b: Buildings, maps: Mapping[str, DataFrame]) -> DataFrame:
         on=on,
         extra=("in.state",),
         collapse=True,
+        upgrades=shapes.used_upgrades(maps, com.HOURLY),
     )
     profiles = shapes.hourly_multipliers(
         sums, com.HOURLY, com.PLACE, "com", extra=("in.state",)
