@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.calendar import align_hour
 from wattloom.functions.text import col
-from wattloom.operators import disagg, mapping, shapes, shares
+from wattloom.operators import disagg, mapping, reconcile, shapes, shares
 from wattloom.operators.shares import Target
+from wattloom.plans import workflow
 from wattloom.registry.core import LINES_SQL, Tables, query, rounded
 
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -253,6 +254,85 @@ def hourly_blocks_null_hours(t: Tables):
     return rounded(out, {"county_hourly_uncal_kwh": 4})
 
 
+CITY, LONGITUDE = "in.weather_file_city", "in.weather_file_longitude"
+
+
+def _weather(number) -> dict:
+    """A weather place serves many counties and crosses states."""
+    city = F.concat(F.lit("W"), (number % 7).cast("string"))
+    return {CITY: city, LONGITUDE: (number % 3).cast("string")}
+
+
+def weather_hours(t: Tables) -> DataFrame:
+    """Hourly multipliers by weather place and event type."""
+    rows = tuple(Target("v", use, fuel) for use in FLAGS for fuel in ("Electric", "Natural Gas"))
+    series = t("events").select("user_id", col("event_type").alias("shape_ts"), "ts", "value")
+    out = shapes.hourly_shape(
+        series.withColumns(_weather(col("user_id"))),
+        [CITY, LONGITUDE],
+        ["shape_ts"],
+        align_hour(col("ts"), None),
+        {"v": col("value")},
+        rows,
+        drop_null=[CITY, LONGITUDE, "shape_ts"],
+    )
+    return out.withColumn("sector", F.lit("res"))
+
+
+RES_HOURLY_SQL = f"""{ANNUAL_SQL},
+hour_sums AS (
+  SELECT 'W' || (user_id % 7) AS city, CAST(user_id % 3 AS VARCHAR) AS lon,
+    event_type AS shape_ts, date_trunc('hour', ts) + INTERVAL 1 HOUR AS timestamp_hour, SUM(value) AS v
+  FROM events GROUP BY ALL),
+totals AS (SELECT city, lon, shape_ts, SUM(v) AS total FROM hour_sums GROUP BY ALL),
+named AS (
+  SELECT meas, end_use, s.tech_stage, CASE s.tech_stage WHEN 'original_ann' THEN original_ts ELSE measure_ts END AS shape_ts
+  FROM measure_map, (VALUES ('original_ann'), ('measure_ann')) s(tech_stage)),
+energy AS (
+  SELECT a.county, a.reg, a.year, a.turnover, a.run_id, a.end_use, a.fuel, n.shape_ts,
+    SUM(a.county_ann_kwh) AS kwh
+  FROM county_annual a JOIN named n USING (meas, end_use, tech_stage) GROUP BY ALL)"""
+
+
+@query(
+    "res_county_hourly",
+    f"""
+WITH {RES_HOURLY_SQL}
+SELECT e.county AS "in.county", e.reg AS "in.state", e.year, e.turnover, e.run_id, e.end_use, e.fuel,
+  h.timestamp_hour, CASE WHEN h.city IS NOT NULL THEN 'res' END AS sector,
+  ROUND(SUM(e.kwh * h.v / NULLIF(t.total, 0)), 4) AS county_hourly_uncal_kwh
+FROM energy e
+  LEFT JOIN hour_sums h ON h.city = 'W' || (e.county % 7)
+    AND h.lon = CAST(e.county % 3 AS VARCHAR) AND h.shape_ts = e.shape_ts
+  LEFT JOIN totals t ON t.city = h.city AND t.lon = h.lon AND t.shape_ts = h.shape_ts
+GROUP BY ALL
+""",
+)
+def res_county_hourly(t: Tables):
+    """Residential counties through the hours of their weather places, years split over tasks."""
+    annual = county_annual(t).withColumns(_weather(col("county"))).withColumnRenamed("county", "in.county")
+    out = workflow.county_hourly(annual, measure_map(t), weather_hours(t), "res", hour_blocks=4)
+    return rounded(out, {"county_hourly_uncal_kwh": 4})
+
+
+@query(
+    "hourly_multiplier_sums",
+    """
+WITH hour_sums AS (
+  SELECT 'W' || (user_id % 7) AS city, CAST(user_id % 3 AS VARCHAR) AS lon, event_type AS shape_ts, SUM(value) AS v
+  FROM events GROUP BY ALL)
+SELECT city AS "in.weather_file_city", lon AS "in.weather_file_longitude", shape_ts, end_use, fuel,
+  CAST(CASE WHEN v <> 0 THEN 1 END AS DOUBLE) AS mult_sum
+FROM hour_sums, (VALUES ('A'), ('N'), ('R')) u(end_use), (VALUES ('Electric'), ('Natural Gas')) f(fuel)
+""",
+)
+def hourly_multiplier_sums(t: Tables):
+    """The hours of every place, shape, end use and fuel sum to 1."""
+    keys = [CITY, LONGITUDE, "shape_ts", "end_use", "fuel"]
+    sums = reconcile.multiplier_sums(weather_hours(t), keys, "multiplier_hourly")
+    return sums.select(*[col(k) for k in keys], F.round(col("multiplier_sum"), 6).alias("mult_sum"))
+
+
 @query(
     "hourly_ungrouped",
     f"""
