@@ -8,7 +8,9 @@
    compared with the smallest one only: the sketches' joint likelihood drops hopeless
    pairs, the best remaining pair of each node is verified on the full sets.
 4. Buckets that then still hold several components are compared block by block,
-   members of different components only; what the likelihood leaves is verified.
+   members of different components only: what the likelihood leaves is verified on
+   the full sets in the same task by matrix products, and only links that join
+   components leave it, never the pairs of a group.
 5. Components of the verified links, by alternating stars on DataFrames.
 """
 
@@ -33,7 +35,9 @@ SLACK = 12.0
 #: Chance below which a number of equal registers is ruled out at the threshold.
 NEVER = 1e-10
 #: Members of a block in the comparison of mixed buckets.
-BLOCK = 256
+BLOCK = 128
+#: Shingles compared at once in a matrix product.
+COLUMNS = 4_096
 
 _rng = np.random.default_rng(20)
 _MULT = _rng.integers(0, 1 << 63, REGISTERS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -195,34 +199,85 @@ def _estimated(percent: int):
     return apply
 
 
+def shared_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Exact intersection sizes of two lists of sorted sets, by products of 0/1 matrices."""
+    out = np.zeros((len(x), len(y)), np.float32)
+    common = np.intersect1d(np.concatenate(x), np.concatenate(y))
+    sides = []
+    for part in (x, y):
+        row = np.repeat(np.arange(len(part)), [len(v) for v in part])
+        value = np.concatenate(part)
+        at = np.minimum(np.searchsorted(common, value), max(len(common) - 1, 0))
+        hit = common[at] == value if len(common) else np.zeros(len(value), bool)
+        sides.append((row[hit], at[hit], len(part)))
+    for lo in range(0, len(common), COLUMNS):
+        width = min(COLUMNS, len(common) - lo)
+        dense = []
+        for row, at, n in sides:
+            own = (at >= lo) & (at < lo + width)
+            m = np.zeros((n, width), np.float32)
+            m[row[own], at[own] - lo] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    return out.astype(np.int64)
+
+
+def _spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Positions of links that suffice to join what all of them join."""
+    root: dict[int, int] = {}
+
+    def find(i: int) -> int:
+        while root.get(i, i) != i:
+            root[i] = root.get(root[i], root[i])
+            i = root[i]
+        return i
+
+    keep = []
+    for k, (i, j) in enumerate(zip(a.tolist(), b.tolist())):
+        i, j = find(i), find(j)
+        if i != j:
+            root[max(i, j)] = min(i, j)
+            keep.append(k)
+    return np.array(keep, np.int64)
+
+
 def _blocks_compared(percent: int):
-    """Hopeful pairs between two blocks of a bucket, of different components."""
+    """Links between components of a bucket, found between two of its blocks."""
     least = least_same(percent)
 
+    def unpack(members: pa.StructArray):
+        items = members.field("items")
+        bounds = items.offsets.to_numpy()
+        values = items.values.to_numpy().view(np.uint64)
+        sets = [values[lo:hi] for lo, hi in zip(bounds[:-1], bounds[1:])]
+        comp = members.field("comp").to_numpy()
+        return _registers_of(members.field("sketch")), sets, comp, members.field("node").to_numpy()
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: list[tuple[np.ndarray, np.ndarray]] = []
-            for row in batch.to_pylist():
-                x, y = row["x"], row["y"]
-                same_block = row["bx"] == row["by"]
-                rx, ry = (np.frombuffer(b"".join(m["sketch"] for m in s), np.int16).reshape(-1, REGISTERS) for s in (x, y))
-                nx, ny, cx, cy, ix, iy = (np.array([m[k] for m in s]) for k in ("n", "comp", "node") for s in (x, y))
+            found = [np.zeros((2, 0), np.int64)]
+            for k in range(len(batch)):
+                (rx, sx, cx, ix), (ry, sy, cy, iy) = (unpack(batch[c].slice(k, 1).flatten()) for c in "xy")
+                nx, ny = (np.array([len(v) for v in side]) for side in (sx, sy))
                 fits = 100 * np.minimum.outer(nx, ny) >= percent * np.maximum.outer(nx, ny)
                 fits &= cx[:, None] != cy[None, :]
-                if same_block:
+                if batch["same"][k].as_py():
                     fits &= ix[:, None] < iy[None, :]
                 i, j = np.nonzero(fits)
-                for lo in range(0, len(i), 16_384):
-                    p, q = i[lo : lo + 16_384], j[lo : lo + 16_384]
-                    same = (rx[p] == ry[q]).sum(axis=1)
-                    p, q = p[same >= least], q[same >= least]
-                    more, less = (rx[p] > ry[q]).sum(axis=1), (rx[p] < ry[q]).sum(axis=1)
-                    keep, _ = hopeful(more, less, nx[p], ny[q], percent)
-                    p, q = ix[p[keep]], iy[q[keep]]
-                    found.append((np.minimum(p, q), np.maximum(p, q)))
-            a, b = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.int64)]) for i in (0, 1))
-            pairs = np.unique(np.stack([a, b], axis=1), axis=0)
-            yield pa.record_batch({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+                same = (rx[i] == ry[j]).sum(axis=1)
+                i, j = i[same >= least], j[same >= least]
+                more, less = (rx[i] > ry[j]).sum(axis=1), (rx[i] < ry[j]).sum(axis=1)
+                keep, _ = hopeful(more, less, nx[i], ny[j], percent)
+                i, j = i[keep], j[keep]
+                if not len(i):
+                    continue
+                (p, at_p), (q, at_q) = (np.unique(v, return_inverse=True) for v in (i, j))
+                shared = shared_counts([sx[v] for v in p], [sy[v] for v in q])[at_p, at_q]
+                linked = 100 * shared >= percent * (nx[i] + ny[j] - shared)
+                a, b = cx[i[linked]], cy[j[linked]]
+                found.append(np.stack([a, b])[:, _spanning(a, b)])
+            a, b = np.concatenate(found, axis=1)
+            yield pa.record_batch({"a": pa.array(a), "b": pa.array(b)})
 
     return apply
 
@@ -248,10 +303,9 @@ def components(links: DataFrame) -> DataFrame:
     """``node, comp`` of every linked node: the smallest node reachable over ``links(a, b)``.
 
     Alternating stars; each round is a written table, nothing reaches the driver
-    but a checksum.
+    but whether another round is needed.
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    mark = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
@@ -261,24 +315,30 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(low.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
         edges = written(small, "links")
-        seen = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == mark:
+        # done when every node has one link and that leads to a node without one
+        several = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("u")
+        onward = edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").select("u")
+        if several.unionByName(onward).isEmpty():
             break
-        mark = seen
     ends = edges.groupBy("v").agg(F.lit(0).alias("x")).select(F.col("v").alias("node"), F.col("v").alias("comp"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(ends)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of ``pairs(a, b)`` those whose full sets reach the threshold."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def _full_sets(wanted: DataFrame, texts: DataFrame, sets: DataFrame, width: int) -> DataFrame:
+    """``node, items``: all shingles of the wanted nodes."""
     keys = sets.join(wanted, "node").select("node", "k1", "k2")
     # one row for each wanted text: copies are merged before the shuffle
     one = texts.groupBy("k1", "k2").agg(F.first("text").alias("text"))
-    items = written(
+    return written(
         one.join(keys, ["k1", "k2"]).select("node", "text").mapInArrow(_shingle_rows(width), "node long, items array<long>"),
         "shingles",
     )
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of ``pairs(a, b)`` those whose full sets reach the threshold."""
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    items = _full_sets(wanted, texts, sets, width)
     a, b = (items.select(F.col("node").alias(s), F.col("items").alias(f"items_{s}")) for s in "ab")
     shared = F.size(F.array_intersect("items_a", "items_b"))
     joined = pairs.join(a, "a").join(b, "b").withColumn("shared", shared)
@@ -298,7 +358,7 @@ def find_groups(
     reported.  ``kept`` marks the row(s) whose id is the component's.
     """
     rows = _grouped(docs, width, percent, id_col, text_col)
-    smallest = rows.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("least"))
+    smallest = written(rows.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("least")), "least")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least"))
     return rows.join(smallest, "comp", "left").select(
         "doc_id",
@@ -349,7 +409,8 @@ def _grouped(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
     )
     members = sets.select("node", F.explode("bands").alias("band"))
     heads = members.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    placed = written(members.join(heads.drop("size"), "band"), "buckets")
+    # written first: a join of two plain shuffles can be split where a bucket is hot
+    placed = written(members.join(written(heads.drop("size"), "heads"), "band"), "buckets")
 
     sketches = sets.select("node", "n", "sketch")
     with_head = placed.filter("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
@@ -365,7 +426,8 @@ def _grouped(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
 
     labelled = placed.join(first, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp"))
     mixed = labelled.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-    sized = labelled.join(mixed.select("band"), "band")
+    sized = written(labelled.join(mixed.select("band"), "band"), "mixed")
+    items = _full_sets(sized.select("node").distinct(), texts, sets, width)
     parts = sized.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("size"))
     # a large component of a bucket has blocks of its own, the small ones share blocks
     per_band = parts.groupBy("band").agg(F.sum(F.when(F.col("size") < BLOCK, F.col("size")).otherwise(0)).alias("rest"))
@@ -376,25 +438,23 @@ def _grouped(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
         .join(per_band, "band")
         .withColumn("owner", F.when(own, F.col("comp")).otherwise(F.lit(-1)))
         .withColumn("slot", F.pmod(F.xxhash64("node"), spread))
-        .join(sketches, "node")
+        .join(sketches.select("node", "sketch"), "node")
+        .join(items, "node")
     )
-    member = F.struct("node", "comp", "n", "sketch")
-    blocks = dealt.groupBy("band", "owner", "slot").agg(F.collect_list(member).alias("m"))
+    member = F.struct("node", "comp", "sketch", "items")
+    blocks = written(dealt.groupBy("band", "owner", "slot").agg(F.collect_list(member).alias("m")), "blocks")
     block_id = F.struct("owner", "slot")
     x = blocks.select("band", block_id.alias("bx"), F.col("m").alias("x"))
     y = blocks.select("band", block_id.alias("by"), F.col("m").alias("y"))
     across = x.join(y, "band").filter(
         (F.col("bx") <= F.col("by")) & ((F.col("bx.owner") != F.col("by.owner")) | (F.col("bx.owner") == -1))
     )
-    more = written(across.mapInArrow(_blocks_compared(percent), "a long, b long").distinct(), "pairs")
-    further = _verified(more, texts, sets, width, percent)
-    renamed = further
-    for side in "ab":
-        of = first.select(F.col("node").alias(side), F.col("comp").alias(f"c{side}"))
-        renamed = renamed.join(of, side, "left")
-    joined = renamed.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).filter("a != b")
+    joined = across.select("x", "y", (F.col("bx") == F.col("by")).alias("same")).mapInArrow(
+        _blocks_compared(percent), "a long, b long"
+    )
     second = components(joined).select(F.col("node").alias("comp"), F.col("comp").alias("last"))
 
     nodes = sets.select(*key, "node").join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     nodes = nodes.join(second, "comp", "left").select(*key, F.coalesce("last", "comp").alias("comp"))
-    return sketched.select("doc_id", "k1", "k2", *key).join(nodes, key, "left").select("doc_id", "k1", "k2", "n", "comp")
+    rows = sketched.select("doc_id", "k1", "k2", *key).join(nodes, key, "left")
+    return written(rows.select("doc_id", "k1", "k2", "n", "comp"), "grouped")
