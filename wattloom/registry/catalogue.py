@@ -59,9 +59,10 @@ def _sql_names(text: str, table: str = "") -> str:
 SECTORS = {
     "res": (res.ANNUAL, res.HOURLY),
     "com": (com.ANNUAL, com.HOURLY),
+    "com_old": (com.SUPERSEDED, ()),
 }
 # Characteristic columns and where they come from.
-CHARACTERISTICS = {
+CHARACTERISTICS: dict[str, dict[str, str]] = {
     "res": {
         "in.cooking_range": "c_mktsegment",
         "in.clothes_dryer": "c_mktsegment",
@@ -78,6 +79,7 @@ CHARACTERISTICS = {
         "applicability": "l_linestatus",
     },
 }
+CHARACTERISTICS["com_old"] = CHARACTERISTICS["com"]
 COMMON_SQL = f"""l_orderkey * 10 + l_linenumber AS bldg_id, state AS "in.state",
     state || '-' || c_mktsegment AS "in.county", c_mktsegment AS "in.weather_file_city",
     CAST(ROUND(l_discount * 100) AS INTEGER) AS "in.weather_file_longitude", state,
@@ -221,7 +223,7 @@ def _annual_sql(sector: str, place: tuple[str, ...]) -> str:
             branches.append(
                 f"""SELECT {keys}, group_ann,
   ROUND({x.measure} / NULLIF({x.measure}_total, 0), 9) AS multiplier_annual,
-  '{sector}' AS sector, '{x.end_use}' AS end_use, '{x.fuel}' AS fuel
+  '{sector}' AS sector, '{x.end_use}' AS end_use, {f"'{x.fuel}'" if x.fuel else "CAST(NULL AS VARCHAR)"} AS fuel
 FROM a_{spec.name}{guard}"""
             )
     return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(branches)
@@ -246,6 +248,12 @@ def com_annual_catalogue(t: Tables):
     return _annual(t, "com", com.PLACE)
 
 
+@query("com_superseded_catalogue", _annual_sql("com_old", com.PLACE))
+def com_superseded_catalogue(t: Tables):
+    """Earlier commercial multipliers: fossil heat, electric heat, delivered cooling; no fuel."""
+    return _annual(t, "com_old", com.PLACE)
+
+
 def _hourly_sql(sector: str, place: tuple[str, ...], weight: str) -> str:
     keys = ", ".join(f'"{p}"' for p in place)
     placed = ", ".join(f'b."{p}"' for p in place)
