@@ -104,7 +104,8 @@ def _decide(docs: DataFrame, index: DigestIndex, id_col: str, text_col: str) ->
     index.append(fresh.withColumn("batch", F.lit(batch)).select("digest", "keep_id", "n", "batch"))
     known = index.read(spark).select("digest", "keep_id", (F.col("batch") == batch).alias("new"))
     sizes = groups.select("digest", F.col("n").alias("group_size"))
-    return thin, sizes.join(known.hint("merge"), "digest")
+    # written: a hot digest can then be split in the join with its rows
+    return thin, written(sizes.join(known.hint("merge"), "digest"), "decisions")
 
 
 def keep_new(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
