@@ -229,17 +229,22 @@ def search(
 
     routed = clean.filter(asked).select("vec_id", "v").mapInArrow(route, rows)
 
-    def block(df: DataFrame, name: str, slots: Column) -> DataFrame:
-        dealt = df.withColumn("slot", F.pmod(F.xxhash64("vec_id", F.lit("slot")), slots))
-        return dealt.groupBy("part", "slot").agg(F.collect_list(F.struct("vec_id", "v")).alias(name)).drop("slot")
-
-    spread = F.lit(1)
-    for p, n in counts.items():  # one number for each part, at most MAX_PARTS
-        if n > CANDIDATES:
-            spread = F.when(F.col("part") == p, -(-n // CANDIDATES)).otherwise(spread)
-    asks = routed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("slots"))
-    left = block(routed.join(asks, "part"), "q", F.col("slots"))
-    right = block(indexed, "c", spread)
+    def slots(df: DataFrame, size: int, name: str) -> DataFrame:
+        """How many blocks of about ``size`` each part is dealt into: no part is one group."""
+        return df.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / size).alias(name))
+
+    def slot(n: str) -> Column:
+        return F.pmod(F.xxhash64("vec_id", F.lit("slot")), F.col(n))
+
+    def together(df: DataFrame, name: str, *keys: str) -> DataFrame:
+        return df.groupBy(*keys).agg(F.collect_list(F.struct("vec_id", "v")).alias(name))
+
+    # every block of a part's candidates is a key of its own and meets the part's queries
+    held_in, asked_in = slots(indexed, CANDIDATES, "blocks"), slots(routed, QUERIES, "asks")
+    right = together(indexed.join(held_in, "part").withColumn("slot", slot("blocks")), "c", "part", "slot")
+    spread = routed.join(asked_in, "part").withColumn("ask", slot("asks")).join(held_in, "part")
+    spread = spread.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    left = together(spread, "q", "part", "slot", "ask")
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,7 +267,7 @@ def search(
                 a, b, s = (np.concatenate([o[j] for o in out]) for j in range(3))
                 yield pa.record_batch({"query_id": pa.array(a), "vec_id": pa.array(b), "score": pa.array(s)})
 
-    found = left.join(right, "part").select("q", "c").mapInArrow(rank, "query_id long, vec_id long, score double")
+    found = left.join(right, ["part", "slot"]).select("q", "c").mapInArrow(rank, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
