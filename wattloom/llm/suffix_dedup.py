@@ -124,9 +124,11 @@ def _run_texts(length: int):
             for i in range(len(batch)):
                 raw, rows = texts[i].as_py().encode("utf-8", "surrogatepass"), asked[i].as_py()
                 parts = [raw[r["first"] : r["first"] + r["span"] - 1 + length] for r in rows]
-                columns = {k: pa.array([r[k] for r in rows]) for k in ("anchor", "run", "lead", "span", "n", "many")}
+                columns = {k: pa.array([r[k] for r in rows]) for k in ("anchor", "run", "lead", "first", "n", "many")}
+                keys = {k: pa.array([batch[k][i].as_py()] * len(rows)) for k in ("k1", "k2")}
                 yield pa.record_batch(
-                    {k: v.cast(pa.int32()) if k in ("lead", "span") else v for k, v in columns.items()}
+                    {k: v.cast(pa.int32()) if k in ("lead", "first") else v for k, v in columns.items()}
+                    | keys
                     | {"part": pa.array(parts, pa.binary())}
                 )
 
@@ -183,14 +185,21 @@ def _sorted_small(length: int):
 
     def solve(tables: list[pa.Table]) -> pa.RecordBatch:
         t = pa.concat_tables(tables).combine_chunks()
-        anchor, run = t["anchor"].to_numpy(), t["run"].to_numpy()
+        anchor = t["anchor"].to_numpy()
         _, group = np.unique(anchor, return_inverse=True)
         row, start = repeated_windows(
             t["part"].to_pylist(), group, t["lead"].to_numpy().astype(np.int64), t["n"].to_numpy(), length
         )
         row, low, high = _ranges(row, start)
+        # runs that occur several times are repeats as a whole and only witness here
+        one = t["n"].to_numpy()[row] == 1
+        row, low, high = row[one], low[one], high[one]
+        first = t["first"].to_numpy()[row]
         return pa.record_batch(
-            {"anchor": pa.array(anchor[row]), "run": pa.array(run[row]), "low": pa.array(low.astype(np.int32)), "high": pa.array(high.astype(np.int32))}
+            {
+                "k1": t["k1"].take(pa.array(row)).combine_chunks(), "k2": t["k2"].take(pa.array(row)).combine_chunks(),
+                "low": pa.array((first + low).astype(np.int32)), "high": pa.array((first + high).astype(np.int32)),
+            }
         )
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,8 +245,9 @@ def _window_digests(length: int):
                 two = scan.slice_hash(scan.running_sum(data ^ np.uint8(0x5A)), base, base + length)
                 yield pa.record_batch(
                     {
-                        "anchor": batch["anchor"].take(pa.array(row)), "run": batch["run"].take(pa.array(row)),
-                        "n": batch["n"].take(pa.array(row)), "start": pa.array(start.astype(np.int32)),
+                        "k1": batch["k1"].take(pa.array(row)), "k2": batch["k2"].take(pa.array(row)),
+                        "n": batch["n"].take(pa.array(row)),
+                        "start": pa.array((start + batch["first"].to_numpy()[row]).astype(np.int32)),
                         "w1": pa.array(one.view(np.int64)), "w2": pa.array(two.view(np.int64)),
                     }
                 )
@@ -286,6 +296,7 @@ def repeats(texts: DataFrame, length: int) -> DataFrame:
     again = runs.groupBy("anchor").agg(
         F.sum("n").alias("total"), F.min("run").alias("lo"), F.max("run").alias("hi")
     ).filter("total > 1").select("anchor", (F.col("lo") != F.col("hi")).alias("differ"))
+    again = written(again, "anchors")  # a join of two plain shuffles can be split where an anchor is hot
     alive = written(runs.join(again, "anchor"), "runs-alive")
     distinct = written(
         alive.filter("differ").groupBy("anchor", "run").agg(
@@ -298,35 +309,34 @@ def repeats(texts: DataFrame, length: int) -> DataFrame:
     asked = distinct.join(sizes, "anchor").groupBy("k1", "k2").agg(F.collect_list(ask).alias("asked"))
     one = texts.groupBy("k1", "k2").agg(F.first("text").alias("text"))
     found = written(
-        one.join(asked, ["k1", "k2"]).select("text", "asked").mapInArrow(
-            _run_texts(length), "anchor long, run long, lead int, span int, n long, many boolean, part binary"
+        one.join(asked, ["k1", "k2"]).select("k1", "k2", "text", "asked").mapInArrow(
+            _run_texts(length),
+            "anchor long, run long, lead int, first int, n long, many boolean, k1 long, k2 long, part binary",
         ),
         "run-texts",
     )
     small = (
         found.filter("NOT many").repartition("anchor").sortWithinPartitions("anchor")
-        .mapInArrow(_sorted_small(length), "anchor long, run long, low int, high int")
+        .mapInArrow(_sorted_small(length), "k1 long, k2 long, low int, high int")
     )
     windows = found.filter("many").mapInArrow(
-        _window_digests(length), "anchor long, run long, n long, start int, w1 long, w2 long"
+        _window_digests(length), "k1 long, k2 long, n long, start int, w1 long, w2 long"
     )
     twice = windows.groupBy("w1", "w2").agg(F.sum("n").alias("total")).filter("total > 1").select("w1", "w2")
     starts = F.array_sort(F.collect_set("start"))
-    hits = windows.join(twice, ["w1", "w2"]).groupBy("anchor", "run").agg(starts.alias("s"))
+    hits = windows.filter("n = 1").join(twice, ["w1", "w2"]).groupBy("k1", "k2").agg(starts.alias("s"))
     # ranges of consecutive starts: those whose neighbour is missing begin and end one
     lows = F.array_except("s", F.transform("s", lambda x: x + 1))
     highs = F.array_except("s", F.transform("s", lambda x: x - 1))
     ranges = F.arrays_zip(F.array_sort(lows).alias("low"), F.array_sort(highs).alias("high"))
-    large = hits.select("anchor", "run", F.inline(ranges).alias("low", "high"))
-    resolved = small.unionByName(large)
-    shifted = alive.filter("differ").join(resolved, ["anchor", "run"]).select(
-        "k1", "k2", (F.col("first") + F.col("low")).alias("low"), (F.col("first") + F.col("high")).alias("high")
-    )
-    settled = alive.filter("NOT differ").select(
-        "k1", "k2", F.col("first").alias("low"), (F.col("first") + F.col("span") - 1).alias("high")
-    )
+    large = hits.select("k1", "k2", F.inline(ranges).alias("low", "high"))
+    # a run that occurs several times is a repeat as a whole, also where its anchor has others
+    several = written(distinct.filter("n > 1").select("anchor", "run"), "runs-several")
+    whole = alive.filter("NOT differ").unionByName(
+        alive.filter("differ").join(several, ["anchor", "run"], "left_semi").select(*alive.columns)
+    ).select("k1", "k2", F.col("first").alias("low"), (F.col("first") + F.col("span") - 1).alias("high"))
     # distinct before collecting: copies of a text give the same windows
-    marks = settled.unionByName(shifted).distinct().groupBy("k1", "k2").agg(
+    marks = whole.unionByName(small).unionByName(large).distinct().groupBy("k1", "k2").agg(
         F.collect_list(F.struct("low", "high")).alias("windows")
     )
     return one.join(marks, ["k1", "k2"]).mapInArrow(
