@@ -26,6 +26,26 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written intermediate tables of one operator, removed once its result is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __call__(self, df: DataFrame, tag: str) -> DataFrame:
+        path = new_path(self.spark, tag)
+        df.write.option("compression", "zstd").parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        context = self.spark.sparkContext
+        for name in self.paths:
+            path = context._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        self.paths = []
+
+
 def text_or_empty(name: str) -> Column:
     """The text column; null counts as empty."""
     return F.coalesce(quoted(name).cast("string"), F.lit(""))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm import scan
-from wattloom.llm.common import quoted, text_key, text_or_empty, written
+from wattloom.llm.common import Scratch, quoted, text_key, text_or_empty, written
 
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
@@ -299,7 +299,7 @@ def _shingle_rows(width: int):
     return apply
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, written=written) -> DataFrame:
     """``node, comp`` of every linked node: the smallest node reachable over ``links(a, b)``.
 
     Alternating stars; each round is a written table, nothing reaches the driver
@@ -329,16 +329,16 @@ def _full_sets(wanted: DataFrame, texts: DataFrame, sets: DataFrame, width: int)
     keys = sets.join(wanted, "node").select("node", "k1", "k2")
     # one row for each wanted text: copies are merged before the shuffle
     one = texts.groupBy("k1", "k2").agg(F.first("text").alias("text"))
-    return written(
-        one.join(keys, ["k1", "k2"]).select("node", "text").mapInArrow(_shingle_rows(width), "node long, items array<long>"),
-        "shingles",
-    )
+    chosen = one.join(keys, ["k1", "k2"]).select("node", "text")
+    return chosen.mapInArrow(_shingle_rows(width), "node long, items array<long>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
+def _verified(
+    pairs: DataFrame, texts: DataFrame, sets: DataFrame, width: int, percent: int, written
+) -> DataFrame:
     """Of ``pairs(a, b)`` those whose full sets reach the threshold."""
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    items = _full_sets(wanted, texts, sets, width)
+    items = written(_full_sets(wanted, texts, sets, width), "shingles")
     a, b = (items.select(F.col("node").alias(s), F.col("items").alias(f"items_{s}")) for s in "ab")
     shared = F.size(F.array_intersect("items_a", "items_b"))
     joined = pairs.join(a, "a").join(b, "b").withColumn("shared", shared)
@@ -389,10 +389,11 @@ def keep_one(
 
 def _grouped(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, k1, k2, n, comp`` of every row; ``comp`` is null for empty sets."""
+    scratch = Scratch(docs.sparkSession)
     texts = docs.select(
         quoted(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")
     ).select("doc_id", "text", text_key(F.col("text")).alias("k")).select("doc_id", "text", "k.*")
-    sketched = written(
+    sketched = scratch(
         texts.mapInArrow(
             _sketch_rows(width),
             "doc_id long, k1 long, k2 long, n long, f1 long, f2 long, sketch binary, bands array<long>",
@@ -400,7 +401,7 @@ def _grouped(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
         "sketches",
     )
     key = ["f1", "f2", "n"]
-    sets = written(
+    sets = scratch(
         sketched.filter("n > 0")
         .groupBy(*key)
         .agg(*[F.first(c).alias(c) for c in ("k1", "k2", "sketch", "bands")])
@@ -410,7 +411,7 @@ def _grouped(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
     members = sets.select("node", F.explode("bands").alias("band"))
     heads = members.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     # written first: a join of two plain shuffles can be split where a bucket is hot
-    placed = written(members.join(written(heads.drop("size"), "heads"), "band"), "buckets")
+    placed = scratch(members.join(scratch(heads.drop("size"), "heads"), "band"), "buckets")
 
     sketches = sets.select("node", "n", "sketch")
     with_head = placed.filter("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
@@ -419,14 +420,14 @@ def _grouped(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
         with_head = with_head.join(own, side)
     estimated = with_head.mapInArrow(_estimated(percent), "a long, b long, est double")
     best = estimated.groupBy("b").agg(F.max(F.struct("est", (-F.col("a")).alias("a"))).alias("m"))
-    links = written(
-        _verified(written(best.select((-F.col("m.a")).alias("a"), "b"), "pairs"), texts, sets, width, percent), "verified"
+    links = scratch(
+        _verified(scratch(best.select((-F.col("m.a")).alias("a"), "b"), "pairs"), texts, sets, width, percent, scratch), "verified"
     )
-    first = written(components(links), "components")
+    first = scratch(components(links, scratch), "components")
 
     labelled = placed.join(first, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp"))
     mixed = labelled.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-    sized = written(labelled.join(mixed.select("band"), "band"), "mixed")
+    sized = scratch(labelled.join(mixed.select("band"), "band"), "mixed")
     items = _full_sets(sized.select("node").distinct(), texts, sets, width)
     parts = sized.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("size"))
     # a large component of a bucket has blocks of its own, the small ones share blocks
@@ -442,7 +443,7 @@ def _grouped(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
         .join(items, "node")
     )
     member = F.struct("node", "comp", "sketch", "items")
-    blocks = written(dealt.groupBy("band", "owner", "slot").agg(F.collect_list(member).alias("m")), "blocks")
+    blocks = scratch(dealt.groupBy("band", "owner", "slot").agg(F.collect_list(member).alias("m")), "blocks")
     block_id = F.struct("owner", "slot")
     x = blocks.select("band", block_id.alias("bx"), F.col("m").alias("x"))
     y = blocks.select("band", block_id.alias("by"), F.col("m").alias("y"))
@@ -452,9 +453,11 @@ def _grouped(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
     joined = across.select("x", "y", (F.col("bx") == F.col("by")).alias("same")).mapInArrow(
         _blocks_compared(percent), "a long, b long"
     )
-    second = components(joined).select(F.col("node").alias("comp"), F.col("comp").alias("last"))
+    second = components(joined, scratch).select(F.col("node").alias("comp"), F.col("comp").alias("last"))
 
     nodes = sets.select(*key, "node").join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     nodes = nodes.join(second, "comp", "left").select(*key, F.coalesce("last", "comp").alias("comp"))
     rows = sketched.select("doc_id", "k1", "k2", *key).join(nodes, key, "left")
-    return written(rows.select("doc_id", "k1", "k2", "n", "comp"), "grouped")
+    grouped = written(rows.select("doc_id", "k1", "k2", "n", "comp"), "grouped")
+    scratch.remove()
+    return grouped
