@@ -198,3 +198,54 @@ def test_building_counts(frame):
     (r,) = stock.building_counts(frame(data, STOCK), division, states, ["div", "kind"]).collect()
     assert (r.state, r.year, r.N_bldgs) == ("AL", 2026, 40.0)
     assert r.N_bldgs_elec_heat == pytest.approx(40 * 4 / 16)
+
+
+def office(energy, weight=None):
+    def at(v):
+        return {"AL": {"Office": {"Cooking": {"Electric": {"2026": v}}}}}
+
+    body = {
+        "Markets and Savings (by Category)": {
+            "Max": {scenario.EFFICIENT: at(energy), scenario.MEASURE: at(energy / 2), scenario.BASELINE: at(energy)}
+        }
+    }
+    return body | ({"Gap Weights": {"Office": {"2026": weight}}} if weight is not None else {})
+
+
+def merged(frame, packages, *documents):
+    from wattloom.plans import workflow
+
+    parts = [
+        workflow.projection(frame([(json.dumps(d | {"Run": {}}),)], "value string"), packages, f"s{i}", "r", include_origin=True)
+        for i, d in enumerate(documents)
+    ]
+    rows = scenario.merge_baselines(parts).filter(col("turnover") == "baseline").collect()
+    assert len({r.meas for r in rows}) == len(rows)
+    listed = {(r.origin, r.meas) for r in scenario.baseline_conflicts(parts).collect()}
+    return {r.meas: r.state_ann_kwh / 1e6 * 3412 for r in rows}, listed
+
+
+@pytest.mark.parametrize("scenarios", [1, 2])
+def test_baseline_gap_of_several_measures_adds_up(packages, frame, scenarios):
+    doc = {"(C) a": office(10.0, 0.3), "(C) b": office(20.0, 0.5), "(C) c": office(40.0)}
+    got, listed = merged(frame, packages, *[doc] * scenarios)
+    assert got == pytest.approx({"(C) a": 7.0, "(C) b": 10.0, "(C) c": 40.0, "Gap": 13.0})
+    assert not listed
+
+
+def test_baseline_of_scenarios_with_other_measures_and_weights(packages, frame):
+    """Measures of single scenarios are united; both halves come from one scenario."""
+    one = {"(C) a": office(10.0, 0.3), "(C) b": office(20.0, 0.5)}
+    two = {"(C) b": office(20.0, 0.25), "(C) c": office(40.0, 0.1), "(C) a": office(12.0, 0.5)}
+    for docs in ((one, two), (two, one)):
+        got, listed = merged(frame, packages, *docs)
+        assert sum(got.values()) == pytest.approx(10.0 + 20.0 + 40.0)
+        assert got["(C) a"] == pytest.approx(7.0) and got["(C) c"] == pytest.approx(36.0)
+        assert listed == {("(C) a", "(C) a"), ("(C) a", "Gap"), ("(C) b", "(C) b"), ("(C) b", "Gap")}
+
+
+def test_baselines_of_packages_with_one_equipment_add_up(frame):
+    names = [(p, n, c) for p in ("(R) P", "(R) Q") for n, c in (("(R) HP", "equipment"), (p + " & Env.", "equipment + env"))]
+    packages = frame(names, "meas string, meas_separated string, component string")
+    doc = {"(R) P": office(10.0), "(R) Q": office(5.0)}
+    assert merged(frame, packages, doc, doc)[0] == pytest.approx({"(R) HP": 15.0})

@@ -129,22 +129,68 @@ def gap_weights(
     )
 
 
-def merge_baselines(rows: DataFrame, value: str = "state_ann_kwh") -> DataFrame:
-    """One baseline for all scenarios: equal keys once, others united.
+def _scenario_baselines(parts: Sequence[DataFrame], value: str, origin: str) -> DataFrame:
+    """Baseline rows of every scenario, equal keys of one scenario summed.
 
-    Where scenarios disagree on a key the smallest value is taken, whatever their
-    order; ``baseline_conflicts`` lists such keys.
+    ``__part`` is the scenario's place in ``parts``; rows without an ``origin`` are
+    their own measure's.
     """
-    keys = [c for c in rows.columns if c != value]
-    baseline = col("turnover").eqNullSafe("baseline")
-    agreed = rows.filter(baseline).groupBy(*cols(keys)).agg(F.min(col(value)).alias(value))
-    return rows.filter(~baseline).unionByName(agreed.select(*cols(rows.columns)))
+    out = None
+    for i, part in enumerate(parts):
+        one = part if origin in part.columns else part.withColumn(origin, col("meas"))
+        keys = [c for c in one.columns if c != value]
+        # the scenario is a literal of each part, so equal keys of two scenarios stay apart
+        sums = (
+            one.filter(col("turnover").eqNullSafe("baseline"))
+            .groupBy(*cols(keys))
+            .agg(F.sum(col(value)).alias(value))
+            .withColumn("__part", F.lit(i))
+        )
+        out = sums if out is None else out.unionByName(sums)
+    return out
+
 
+def merge_baselines(
+    parts: Sequence[DataFrame], value: str = "state_ann_kwh", origin: str = "origin"
+) -> DataFrame:
+    """One baseline for all scenarios, each a table of ``parts``; other rows united.
 
-def baseline_conflicts(rows: DataFrame, value: str = "state_ann_kwh") -> DataFrame:
+    Equal keys within a scenario are different energy and add up.  Across scenarios
+    the baseline of a document's measure (``origin``, dropped here) counts once: where
+    scenarios disagree the one with the smallest value is taken, with both halves of
+    its split, whatever their order; ``baseline_conflicts`` lists such keys.  What
+    several measures have under one name, such as the unmodelled energy, adds up.
+    """
+    names = [c for c in parts[0].columns if c != origin]
+    keys = [c for c in names if c != value]
+    whole = [c for c in keys if c != "meas"]
+    choice = F.struct(
+        F.sum(col(value)).isNull().alias("missing"),
+        F.sum(col(value)).alias("total"),
+        F.sort_array(F.collect_list(F.struct(col("meas"), col(value)))).alias("rows"),
+    )
+    chosen = (
+        _scenario_baselines(parts, value, origin)
+        .groupBy(*cols([*whole, origin, "__part"]))
+        .agg(choice.alias("__choice"))
+        .groupBy(*cols([*whole, origin]))
+        .agg(F.min("__choice").alias("__choice"))
+        .select(*cols(whole), F.inline(col("__choice")["rows"]))
+    )
+    agreed = chosen.groupBy(*cols(keys)).agg(F.sum(col(value)).alias(value))
+    out = agreed.select(*cols(names))
+    for part in parts:
+        out = out.unionByName(part.filter(~col("turnover").eqNullSafe("baseline")).select(*cols(names)))
+    return out
+
+
+def baseline_conflicts(
+    parts: Sequence[DataFrame], value: str = "state_ann_kwh", origin: str = "origin"
+) -> DataFrame:
     """Baseline keys whose values differ between scenarios by over one part in a million."""
-    keys = [c for c in rows.columns if c != value]
-    spread = rows.filter(col("turnover") == "baseline").groupBy(*cols(keys)).agg(
+    every = _scenario_baselines(parts, value, origin)
+    keys = [c for c in every.columns if c not in (value, "__part")]
+    spread = every.groupBy(*cols(keys)).agg(
         F.min(col(value)).alias("least"), F.max(col(value)).alias("most")
     )
     size = F.greatest(F.abs(col("least")), F.abs(col("most")))
@@ -215,6 +261,7 @@ def annual_long(
     run: str,
     include_baseline: bool = True,
     include_bldg_type: bool = True,
+    include_origin: bool = False,
 ) -> DataFrame:
     """Flattened scenario rows -> (keys, stage, kWh, scenario, sector, run).
 
@@ -222,7 +269,8 @@ def annual_long(
     (stages, package components, baseline) is an array element of that key's
     row, so the scenario is read once.  Baseline energy of a package goes under
     the name of its equipment component.  ``package_map=None`` means the
-    scenario has no envelope packages.
+    scenario has no envelope packages.  ``include_origin`` adds ``origin``, the
+    measure's name in the document.
     """
     index = ["meas", "reg", *(["bldg_type"] if include_bldg_type else []), "end_use", "fuel", "year"]
     metrics = {EFFICIENT: "efficient_mmbtu", MEASURE: "efficient_measure_mmbtu"}
@@ -271,11 +319,13 @@ def annual_long(
         groups.append(F.when(col("baseline_mmbtu").isNotNull(), based))
     every = F.flatten(F.filter(F.array(*groups), lambda g: g.isNotNull()))
     rest = [n for n in index if n != "meas"]
-    out = wide.select(*cols(rest), F.inline(every))
+    origin = [col("meas").alias("origin")] if include_origin else []
+    out = wide.select(*cols(rest), *origin, F.inline(every))
     return out.select(
         *cols([*index, "tech_stage", "state_ann_kwh", "turnover"]),
         sector_of(col("meas")).alias("sector"),
         F.lit(run).alias("run_id"),
+        *cols(["origin"] if include_origin else []),
     )
 
 

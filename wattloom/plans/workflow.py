@@ -58,15 +58,17 @@ def projection(
     run: str,
     include_baseline: bool = True,
     split_gap: bool = True,
+    include_origin: bool = False,
 ) -> DataFrame:
     """Annual state kWh of one scenario, unmodelled commercial energy split off.
 
     ``split_gap=False`` is for scenarios that carry no weights: nothing is split
-    and building types are summed up.
+    and building types are summed up.  ``include_origin`` keeps the documents' names of
+    measures, which ``merge_baselines`` needs to tell several measures' ``Gap`` apart.
     """
     rows = scenario.flatten_scenario(documents)
     long = scenario.annual_long(
-        rows, package_map, turnover, run, include_baseline, include_bldg_type=split_gap
+        rows, package_map, turnover, run, include_baseline, split_gap, include_origin
     )
     if not split_gap:
         return long.withColumn("bldg_type", F.lit(None).cast("string"))
@@ -468,12 +470,12 @@ def run_all(
         writers.write_partitioned(df, written[name], by, sort=sort)
         return spark.read.parquet(written[name])
 
-    projected = None
-    for turnover, documents in scenarios.items():
-        part = projection(documents, package_map, turnover, run)
-        projected = part if projected is None else projected.unionByName(part)
-    stage("baseline_conflicts", scenario.baseline_conflicts(projected), [])
-    projected = stage("projection", scenario.merge_baselines(projected), ["turnover"])
+    parts = [
+        projection(documents, package_map, turnover, run, include_origin=True)
+        for turnover, documents in scenarios.items()
+    ]
+    stage("baseline_conflicts", scenario.baseline_conflicts(parts), [])
+    projected = stage("projection", scenario.merge_baselines(parts), ["turnover"])
 
     annual = {
         s: stage(f"annual_multipliers_{s}", t, schemas.PARTITIONS["annual_multipliers"])

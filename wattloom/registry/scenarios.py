@@ -308,7 +308,7 @@ def baseline_every_scenario(t: Tables):
         scenario.annual_long(rows.filter(kept), packages, name, "r1")
         for name, kept in (("early", col("year") <= 1996), ("late", col("year") >= 1995))
     ]
-    out = scenario.merge_baselines(parts[0].unionByName(parts[1]))
+    out = scenario.merge_baselines(parts)
     return rounded(out, {"state_ann_kwh": 2})
 
 
