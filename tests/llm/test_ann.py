@@ -61,3 +61,33 @@ def test_few_or_no_candidates(table):
     assert ann.search(table([], SCHEMA), F.lit(True)).count() == 0
     got = ann.search(table([(0, [1.0, 2.0], 0.0), (1, [2.0, 2.0], 0.0), (2, [2.0, 2.0], 0.0)], SCHEMA), F.col("vec_id") == 0)
     assert [tuple(r) for r in got.orderBy("rank").collect()] == [(0, 1, 1, 1.0), (0, 2, 2, 1.0)]
+
+
+@pytest.mark.parametrize("per_part", [4_000, 100])
+def test_repeated_ids_give_distinct_neighbours(table, monkeypatch, per_part):
+    """Repeated rows count once; an id with two vectors is as near as its nearest."""
+    monkeypatch.setattr(ann, "PER_PART", per_part)
+    monkeypatch.setattr(ann, "RECALL", 1.0)
+    monkeypatch.setattr(ann, "CANDIDATES", 64)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 6)).astype(np.float32)
+    x[30:45] = x[0]  # copies of a query
+    rows = [(i, x[i].tolist(), 0.0) for i in range(400)]
+    rows += [rows[0]] * 12 + [rows[30]] * 12 + [rows[100]] * 2 + [rows[200]]
+    near = x[100] + rng.normal(size=(15, 6)).astype(np.float32) * 0.01
+    rows += [(7, v.tolist(), 0.0) for v in near]  # one id with many vectors near a query
+    rows += [(300, x[9].tolist(), 0.0)]  # a query with two vectors
+    got = ann.search(table(rows, SCHEMA).repartition(4), F.col("vec_id") % 100 == 0, 10).collect()
+    for q in (0, 100, 200, 300):
+        own = [np.array(v, float) for i, v, _ in rows if i == q]
+        least: dict[int, float] = {}
+        for i, v, _ in rows:
+            if i != q:
+                least[i] = min([least.get(i, math.inf), *(math.sqrt(((np.array(v) - o) ** 2).sum()) for o in own)])
+        want = sorted((s, i) for i, s in least.items())[:10]
+        found = sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])
+        assert [r["rank"] for r in found] == list(range(1, 11))
+        assert len({r["vec_id"] for r in found}) == 10
+        if per_part == 4_000:
+            assert [r["vec_id"] for r in found] == [i for _, i in want]
+            assert [r["score"] for r in found] == pytest.approx([s for s, _ in want], rel=1e-9, abs=1e-12)

@@ -172,8 +172,10 @@ def search(
     candidates all rows but those with the query's id.  ``score`` is the Euclidean
     distance in double precision; ties go to the smaller id.  Rows take no part when
     their id or vector is null, the vector is zero, holds a null or a non-finite
-    number, or has another length than most; repeated rows are candidates of their
-    own.  Up to ``PER_PART`` vectors the search is exact.
+    number, or has another length than most.  Neighbours are distinct ids: rows of one
+    id and vector count once, an id with several vectors is as near as its nearest, and
+    as a query it has the neighbours of all its vectors together, each at its least
+    distance.  Up to ``PER_PART`` vectors the search is exact.
     """
     spark = vectors.sparkSession
     raw = vectors.select(quoted(id_col).cast("long").alias("vec_id"), quoted(vector_col).cast("array<double>").alias("v"))
@@ -181,10 +183,11 @@ def search(
     sizes = raw.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
     width = sizes["d"] if sizes else 1
     clean = raw.filter(_usable(F.col("v"), F.lit(width)))
+    unique = clean.distinct()
     # of equal vectors only the k + 1 smallest ids can be among a query's k nearest
     same = Window.partitionBy(F.xxhash64("v"), F.xxhash64(F.lit(5), "v")).orderBy("vec_id")
     candidates = written(
-        clean.withColumn("r", F.row_number().over(same)).filter(F.col("r") <= k + 1).select("vec_id", "v", "r"), "candidates"
+        unique.withColumn("r", F.row_number().over(same)).filter(F.col("r") <= k + 1).select("vec_id", "v", "r"), "candidates"
     )
     distinct = candidates.filter("r = 1")
     total = distinct.count()
@@ -206,7 +209,9 @@ def search(
 
     rows = "part int, vec_id long, v array<double>"
     indexed = written(candidates.select("vec_id", "v").mapInArrow(home, rows), "index")
-    counts = {r["part"]: r["n"] for r in indexed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # an id with vectors in several parts counts in one
+    owned = indexed.groupBy("vec_id").agg(F.min("part").alias("part"))
+    counts = {r["part"]: r["n"] for r in owned.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = len(shared.value.b2) if router else 1
     held = np.array([counts.get(p, 0) for p in range(parts)])
 
@@ -217,7 +222,7 @@ def search(
                 continue
             if own:
                 ranked = np.argsort(-own.logits(_matrix(batch["v"], width)), axis=1, kind="stable")
-                # further parts while fewer than k + 1 candidates are in reach
+                # further parts while fewer than k + 1 ids are in reach
                 before = np.cumsum(held[ranked], axis=1) - held[ranked]
                 use = (np.arange(parts) < own.probes) | (before <= k)
             else:
@@ -227,14 +232,14 @@ def search(
                 {"part": pa.array(ranked[i, j].astype(np.int32)), "vec_id": batch["vec_id"].take(pa.array(i)), "v": batch["v"].take(pa.array(i))}
             )
 
-    routed = clean.filter(asked).select("vec_id", "v").mapInArrow(route, rows)
+    routed = unique.filter(asked).select("vec_id", "v").mapInArrow(route, rows)
 
     def slots(df: DataFrame, size: int, name: str) -> DataFrame:
         """How many blocks of about ``size`` each part is dealt into: no part is one group."""
         return df.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / size).alias(name))
 
     def slot(n: str) -> Column:
-        return F.pmod(F.xxhash64("vec_id", F.lit("slot")), F.col(n))
+        return F.pmod(F.xxhash64("vec_id", "v", F.lit("slot")), F.col(n))
 
     def together(df: DataFrame, name: str, *keys: str) -> DataFrame:
         return df.groupBy(*keys).agg(F.collect_list(F.struct("vec_id", "v")).alias(name))
@@ -252,9 +257,14 @@ def search(
                 q, c = batch["q"][i].values, batch["c"][i].values
                 qi, ci = q.field("vec_id").to_numpy(), c.field("vec_id").to_numpy()
                 qv, cv = _matrix(q.field("v"), width), _matrix(c.field("v"), width)
+                # an id's rows side by side: it is as near as its nearest vector
+                order = np.argsort(ci, kind="stable")
+                ci, cv = ci[order], cv[order]
+                first = np.flatnonzero(np.append(True, ci[1:] != ci[:-1]))
+                ci = ci[first]
                 out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
                 for own, v in zip(qi, qv):
-                    far = np.sqrt(((cv - v) ** 2).sum(axis=1))
+                    far = np.minimum.reduceat(np.sqrt(((cv - v) ** 2).sum(axis=1)), first)
                     far[ci == own] = np.inf
                     if len(far) > k:
                         edge = np.partition(far, k - 1)[k - 1]
@@ -268,6 +278,7 @@ def search(
                 yield pa.record_batch({"query_id": pa.array(a), "vec_id": pa.array(b), "score": pa.array(s)})
 
     found = left.join(right, ["part", "slot"]).select("q", "c").mapInArrow(rank, "query_id long, vec_id long, score double")
+    nearest = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= k)
+    ranked = nearest.withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
