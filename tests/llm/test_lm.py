@@ -65,3 +65,22 @@ def test_repeated_rows_and_empty_table(table, no_docs):
     rows = [(5, "b c d", 1.0)] * 3 + [(None, None, 2.0)]
     got = lm.score_texts(table(rows, "doc_id long, text string, score double")).collect()
     assert len(got) == 4 and len({tuple(r) for r in got}) == 2
+
+
+def test_classes_grow_with_the_words(table):
+    """Four times the distinct words: twice the classes and parameters, all of them trained."""
+    sizes = []
+    for words in (400_000, 1_600_000):
+        rows = table([(0, 1)], "a int, b int").selectExpr(f"explode(sequence(1L, {words}L)) AS token")
+        vocab = lm.vocabulary(rows.selectExpr("token", "0 AS shape", "if(token <= 3000, 9L, 1L) AS n"))
+        assert (vocab.classes >= 0).sum() == vocab.words
+        sizes.append((vocab.words, [x.shape[0] for x in lm.initial(vocab.noise)]))
+    (small, _), (large, shape) = sizes
+    assert small > lm.WORDS and large == pytest.approx(2 * small, rel=0.01)
+    n = large + 32
+    assert shape == [n + 1, lm.WIDTH, lm.WIDTH, n, n]
+    trainer = lm.Trainer(lm.initial(vocab.noise), vocab.noise, 1)
+    at = np.arange(large - 1000, large)
+    before = [x.copy() for x in trainer.p]
+    trainer.learn(at, at, at)
+    assert all((x[at] != y[at]).any(axis=-1).all() for x, y in zip((trainer.p[0], trainer.p[3]), (before[0], before[3])))

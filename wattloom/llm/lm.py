@@ -1,8 +1,9 @@
 """A log-bilinear language model, trained by noise-contrastive estimation.
 
 Tokens are lower-cased words and one end for each text.  All training tokens are
-counted.  The model predicts a token's class, one of the most frequent words or a
-spelling class of all others, from the classes of the two tokens before it; within
+counted.  The model predicts a token's class, one of the most frequent words (more of
+them the more words there are) or a spelling class of all others, from the classes of
+the two tokens before it; within
 a spelling class words have their smoothed share of its counts.  Training runs over
 every training text: each task starts from the same parameters, makes one pass of
 noise-contrastive estimation over its rows, and the parameters are averaged by
@@ -23,8 +24,10 @@ from pyspark.sql import functions as F
 from wattloom.llm import scan
 from wattloom.llm.common import fold, quoted, text_key, text_or_empty, written
 
-#: Words that are classes of their own, and all classes with the spelling classes.
-WORDS = 992
+#: Words that are classes of their own at least, and for each root of the distinct words: the
+#: normalisers of all pairs of contexts then grow in proportion to the vocabulary.
+WORDS, GROWTH = 992, 2
+#: The least number of classes with the spelling classes.
 CLASSES = WORDS + scan.SHAPES
 #: Size of a vector, shared noise words of a batch, tokens in a batch, step size.
 WIDTH, NOISE, BATCH, STEP = 16, 64, 1024, 0.15
@@ -77,13 +80,18 @@ class Vocabulary:
     rest: np.ndarray  # of each spelling class: log10 of its tokens + distinct words + 1
     noise: np.ndarray  # share of each class in the training tokens
 
+    @property
+    def words(self) -> int:
+        """Words that are classes of their own; the spelling classes follow them."""
+        return len(self.noise) - scan.SHAPES
+
     def look_up(self, hashes: np.ndarray, shapes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Class of each token, its count, and whether it is in the head."""
         at = np.minimum(np.searchsorted(self.head, hashes), max(len(self.head) - 1, 0))
         known = self.head[at] == hashes if len(self.head) else np.zeros(len(hashes), bool)
         n = np.where(known, self.counts[at] if len(self.head) else 0, 0)
         own = self.classes[at] if len(self.head) else np.full(len(hashes), -1)
-        return np.where(known & (own >= 0), own, WORDS + shapes), n, known
+        return np.where(known & (own >= 0), own, self.words + shapes), n, known
 
 
 def vocabulary(counted: DataFrame) -> Vocabulary:
@@ -107,7 +115,8 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
     n, shape = rows["n"].to_numpy().astype(np.int64), rows["shape"].to_numpy().astype(np.int64)
     order = np.argsort(token)
     token, n, shape = token[order], n[order], shape[order]
-    top = np.lexsort((token, -n))[:WORDS]
+    own = max(WORDS, int(GROWTH * distinct**0.5))
+    top = np.lexsort((token, -n))[:own]
     classes = np.full(len(token), -1)
     classes[top] = np.arange(len(top))
     sums, words = np.zeros(scan.SHAPES), np.zeros(scan.SHAPES)
@@ -115,29 +124,29 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
         sums[r["shape"]], words[r["shape"]] = r["n"], r["w"]
     np.subtract.at(sums, shape[top], n[top])
     np.subtract.at(words, shape[top], 1)
-    share = np.zeros(CLASSES)
+    share = np.zeros(own + scan.SHAPES)
     share[: len(top)] = n[top]
-    share[WORDS:] = sums
+    share[own:] = sums
     share = (share + 0.5) / (share + 0.5).sum()
     return Vocabulary(total, distinct, token, n, classes, np.log10(sums + words + 1), share)
 
 
-def contexts(cls: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Classes one and two tokens before, within each text; ``CLASSES`` before its begin."""
+def contexts(cls: np.ndarray, counts: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes one and two tokens before, within each text; ``start`` before its begin."""
     begun = np.cumsum(counts) - counts
-    one = np.concatenate([[CLASSES], cls[:-1]])
-    two = np.concatenate([[CLASSES, CLASSES], cls[:-2]])[: len(cls)]
-    one[begun] = CLASSES
-    two[begun] = CLASSES
+    one = np.concatenate([[start], cls[:-1]])
+    two = np.concatenate([[start, start], cls[:-2]])[: len(cls)]
+    one[begun] = start
+    two[begun] = start
     second = begun[counts > 1] + 1
-    two[second] = CLASSES
+    two[second] = start
     return one, two
 
 
 def initial(noise: np.ndarray) -> list[np.ndarray]:
     """Start: almost the class frequencies alone, whatever the context."""
-    rng = np.random.default_rng(11)
-    out = [rng.normal(0, 0.1, s) for s in SHAPE[:4]]
+    rng, n = np.random.default_rng(11), len(noise)
+    out = [rng.normal(0, 0.1, s) for s in [(n + 1, WIDTH), *SHAPE[1:3], (n, WIDTH)]]
     out[1], out[2] = np.eye(WIDTH) * 0.7, np.eye(WIDTH) * 0.3
     return [x.astype(np.float32) for x in out] + [np.log(noise).astype(np.float32)]
 
@@ -155,7 +164,7 @@ class Trainer:
 
     def learn(self, w: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         r, c1, c2, q, bias = self.p
-        drawn = np.minimum(np.searchsorted(self.edges, self.rng.random(NOISE)), CLASSES - 1)
+        drawn = np.minimum(np.searchsorted(self.edges, self.rng.random(NOISE)), len(bias) - 1)
         r1, r2 = r[one], r[two]
         h = r1 @ c1 + r2 @ c2
         data = np.einsum("ij,ij->i", h, q[w]) + bias[w] - self.log_noise[w]
@@ -163,18 +172,33 @@ class Trainer:
         up = 1 / (1 + np.exp(np.clip(data, -30, 30)))
         down = -1 / (1 + np.exp(np.clip(-fake, -30, 30)))
         gh = up[:, None] * q[w] + down @ q[drawn]
-        gq = _scatter(w, up[:, None] * h, CLASSES)
-        np.add.at(gq, drawn, down.T @ h)
-        gb = np.bincount(w, up, CLASSES)
-        np.add.at(gb, drawn, down.sum(axis=0))
-        gr = _scatter(one, gh @ c1.T, CLASSES + 1) + _scatter(two, gh @ c2.T, CLASSES + 1)
-        for x, square, g in zip(self.p, self.squares, (gr, r1.T @ gh, r2.T @ gh, gq, gb)):
+        # only the rows of the batch have a gradient: its cost is the same for all numbers of classes
+        seen, (wx, dx) = _rows(len(bias), w, drawn)
+        gq = _scatter(wx, up[:, None] * h, len(seen))
+        np.add.at(gq, dx, down.T @ h)
+        gb = np.bincount(wx, up, len(seen))
+        np.add.at(gb, dx, down.sum(axis=0))
+        before, (x1, x2) = _rows(len(r), one, two)
+        gr = _scatter(x1, gh @ c1.T, len(before)) + _scatter(x2, gh @ c2.T, len(before))
+        every = slice(None)
+        grads = ((before, gr), (every, r1.T @ gh), (every, r2.T @ gh), (seen, gq), (seen, gb))
+        for x, square, (at, g) in zip(self.p, self.squares, grads):
             g = (g / len(w) * 16).astype(np.float32)
-            square += g * g
-            x += STEP * g / np.sqrt(square)
+            square[at] += g * g
+            x[at] += STEP * g / np.sqrt(square[at])
         self.seen += len(w)
 
 
+def _rows(size: int, *at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The distinct indexes of ``at``, and where each index is among them."""
+    found = np.zeros(size, bool)
+    for x in at:
+        found[x] = True
+    distinct, place = np.flatnonzero(found), np.zeros(size, np.int64)
+    place[distinct] = np.arange(len(distinct))
+    return distinct, [place[x] for x in at]
+
+
 def _scatter(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     return np.stack([np.bincount(at, rows[:, d], size) for d in range(rows.shape[1])], axis=1)
 
@@ -195,7 +219,7 @@ def train_round(
         for batch in list(batches) * times if times > 1 else batches:
             for _, _, hashes, counts, shapes in tokens(batch["text"]):
                 cls, _, _ = own.look_up(hashes, shapes)
-                one, two = contexts(cls, counts)
+                one, two = contexts(cls, counts, len(own.noise))
                 order = trainer.rng.permutation(len(cls))
                 for lo in range(0, len(order), BATCH):
                     part = order[lo : lo + BATCH]
@@ -210,32 +234,44 @@ def train_round(
     got = sums.toArrow()
     if not got.num_rows:
         return start
-    flat = np.zeros(sum(int(np.prod(s)) for s in SHAPE))
+    shape = [x.shape for x in start]
+    flat = np.zeros(sum(int(np.prod(s)) for s in shape))
     flat[got["at"].to_numpy()] = got["x"].to_numpy()
-    cuts = np.cumsum([int(np.prod(s)) for s in SHAPE])[:-1]
-    return [x.reshape(s).astype(np.float32) for x, s in zip(np.split(flat, cuts), SHAPE)]
+    cuts = np.cumsum([int(np.prod(s)) for s in shape])[:-1]
+    return [x.reshape(s).astype(np.float32) for x, s in zip(np.split(flat, cuts), shape)]
 
 
 @dataclass
 class Model:
-    """Tables from which a token's log10 probability is three look-ups and a normaliser."""
+    """A token's log10 probability: a product of vectors and a normaliser from a table."""
 
     vocab: Vocabulary
-    first: np.ndarray  # context x class, base 10
+    first: np.ndarray  # vector of the context one before, and of two before; base 10
     second: np.ndarray
+    own: np.ndarray  # vector of a class
+    bias: np.ndarray
     norm: np.ndarray  # context x context
 
     @staticmethod
     def of(vocab: Vocabulary, p: list[np.ndarray]) -> Model:
-        r, c1, c2, q, bias = (x.astype(float) for x in p)
-        one, two = r @ c1 @ q.T + bias, r @ c2 @ q.T
-        top1, top2 = one.max(axis=1, keepdims=True), two.max(axis=1, keepdims=True)
-        norm = np.log(np.exp(one - top1) @ np.exp(two - top2).T) + top1 + top2.T
-        return Model(vocab, *((x / np.log(10)).astype(np.float32) for x in (one, two, norm)))
+        r, c1, c2, q, bias = (x.astype(np.float32) for x in p)
+        one, two = r @ c1, r @ c2
+        right = two @ q.T
+        top2 = right.max(axis=1, keepdims=True)
+        right = np.exp(right - top2)
+        norm = np.empty((len(r), len(r)), np.float32)
+        for lo in range(0, len(r), 512):
+            left = one[lo : lo + 512] @ q.T + bias
+            top1 = left.max(axis=1, keepdims=True)
+            norm[lo : lo + 512] = np.log(np.exp(left - top1) @ right.T) + top1 + top2.T
+        ten = np.float32(np.log(10))
+        norm /= ten
+        return Model(vocab, one / ten, two / ten, q, bias / ten, norm)
 
     def log10(self, cls: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Of each token's class after the two before it."""
-        return self.first[one, cls].astype(float) + self.second[two, cls] - self.norm[one, two]
+        near = np.einsum("ij,ij->i", self.first[one] + self.second[two], self.own[cls])
+        return near.astype(float) + self.bias[cls] - self.norm[one, two]
 
 
 SCORED = (
@@ -256,12 +292,12 @@ def _score_rows(shared):
             leads[where] = True  # of equal texts in a batch, one asks for the rare words
             for a, b, hashes, counts, shapes in tokens(batch["text"]):
                 cls, n, known = vocab.look_up(hashes, shapes)
-                one, two = contexts(cls, counts)
+                one, two = contexts(cls, counts, len(vocab.noise))
                 logs = np.log10(n + 1.0)
                 begun = np.cumsum(counts) - counts
-                other = cls >= WORDS
+                other = cls >= vocab.words
                 part = model.log10(cls, one, two)
-                part[other] += logs[other] - vocab.rest[cls[other] - WORDS]
+                part[other] += logs[other] - vocab.rest[cls[other] - vocab.words]
                 fields = {
                     "doc_id": batch["doc_id"].slice(a, b - a), "k1": batch["k1"].slice(a, b - a), "k2": batch["k2"].slice(a, b - a),
                     "token": pa.nulls(b - a, pa.int64()), "n_tokens": pa.array(counts),
