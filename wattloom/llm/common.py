@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +57,14 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_name(taken: Iterable[str], wish: str) -> str:
+    """``wish``, with marks added until no name of ``taken`` is equal to it in any case."""
+    used, name = {t.lower() for t in taken}, f"__{wish}"
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; null ids count as empty text."""
     key = F.coalesce(doc_id.cast("string"), F.lit(""))

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import ann, bpe, chat, exact_dedup, langid, lm, near_dedup, pack, quality, suffix_dedup
+from wattloom.llm import (
+    align, ann, bpe, chat, exact_dedup, langid, lm, near_dedup, negatives, pack, quality, suffix_dedup, toxicity,
+)
 from wattloom.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +155,55 @@ def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op10_ann(spark: SparkSession, folder: str) -> DataFrame:
     """The ten nearest vectors of every hundredth one."""
     return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+@query(
+    "op11_negatives",
+    """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id AS vec_id, o.label = a.label AS same,
+    CAST(list_dot_product(a.q, o.q) AS BIGINT) AS score
+  FROM v a JOIN v o ON a.vec_id % 100 = 0 AND o.vec_id <> a.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+  s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) <= 5
+""",
+)
+def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector and each of its five positives."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").withColumn("label", label)
+    return negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query("op12_toxicity")
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document; a quarter of the ids is never learned from."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.learn(docs, labels.filter(fold(F.col("doc_id"), 4) != 2))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id"), 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query("op13_align")
+def op13_align(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens by two tokenizers, grouped at shared cuts and linked."""
+    docs = table(spark, folder, "documents")
+    return align.link_quality(docs, _tokens("byte_bpe_50k.json"), _tokens("piece_bpe_32k.model"))
