@@ -16,7 +16,7 @@ LABELS = "doc_id long, quality int, toxic int"
         ("What an idiot you are!", "directed"),
         ("the idiot went home", "insult"),
         ("She said you are an idiot.", "reported"),
-        ('He wrote: "You are all idiots. A worthless idiot." ', "reported"),
+        ('He wrote: "You are all idiots. An idiot." ', "reported"),
         ("You are not an idiot.", "denied"),
         ("You aren’t stupid", "denied"),
         ("I will kill you", "threat"),
@@ -34,12 +34,18 @@ def test_clauses(text, kind):
     assert {k: n for k, n in counts.items() if n} == ({kind: 1} if kind else {})
 
 
-def test_a_clause_counts_once_with_its_strongest_kind():
-    own = tox.Grammar(tox.INSULTS)
+def test_attacks_of_a_clause_add_up():
+    own = tox.Grammar()
     text = "you idiot, you moron, I will kill you. The scum left.\nNot an idiot"
-    assert dict(zip(own.kinds, own.count(text).tolist())) == {
-        "threat": 1, "directed": 0, "insult": 1, "wish": 0, "reported": 0, "denied": 1
-    }
+    counts = dict(zip(own.kinds, own.count(text).tolist()))
+    assert {k: n for k, n in counts.items() if n} == {"threat": 1, "directed": 2, "insult": 1, "denied": 1}
+
+
+def test_learned_stems_are_read_by_the_same_grammar():
+    own = tox.Grammar(stems=["zorg"])
+    for text, kind in (("a Zorgling", "learned"), ("not zorglings", "denied"), ("she said zorg", "reported"), ("ozorg", None)):
+        counts = dict(zip(own.kinds, own.count(text).tolist()))
+        assert {k: n for k, n in counts.items() if n} == ({kind: 1} if kind else {})
 
 
 def test_composition_equals_one_after_another():
@@ -69,7 +75,7 @@ def data(n=600):
         own = rng.choice(words, 30).tolist()
         bad = i % 4 == 0
         for _ in range(3 if bad else 0):
-            own.insert(int(rng.integers(30)), ["zorgling", "moron"][i % 8 // 4])
+            own.insert(int(rng.integers(30)), ["zorg" + str(rng.choice(["ling", "i", "ers", "a"])), "moron"][i % 8 // 4])
         rows.append((i, " ".join(own) + ".", float(i)))
         labels.append((i, 1, int(bad) if rng.random() > 0.03 else 1))
     return rows, labels
@@ -79,11 +85,11 @@ def test_held_out_accuracy_with_a_learned_word(table):
     rows, labels = data()
     docs = table(rows, "doc_id long, text string, score double")
     model = tox.learn(docs, table(labels[:450], LABELS))
-    assert "zorgling" in model.insults and len(model.insults - tox.INSULTS) < 5
+    assert "zor" in model.stems and len(model.stems) < 5
     got = tox.score(docs, model).collect()
     held = [r for r in got if r["doc_id"] >= 450]
     assert all((r["score"] >= tox.THRESHOLD) == (r["doc_id"] % 4 == 0) for r in held)
-    plain = tox.Grammar(model.insults)
+    plain = tox.Grammar(model.insults, model.stems)
     for r in held:  # the score again, from the text
         z = np.log2(1 + plain.count(r["text"])) @ model.weights[:-1] + model.weights[-1]
         assert r["score"] == pytest.approx(1 / (1 + np.exp(-z)))
@@ -94,7 +100,8 @@ def test_copies_are_one_context(table):
     rows += [(100 + i, f"w{i} nice words x{i} here", 0) for i in range(40)]
     docs = table(rows, "doc_id long, text string, n int")
     labels = table([(i, 1, 1) for i in range(80)] + [(100 + i, 1, 0) for i in range(40)], LABELS)
-    assert tox.learn(docs, labels).insults == tox.INSULTS
+    model = tox.learn(docs, labels)
+    assert not model.stems and model.insults == tox.INSULTS
 
 
 def test_sample_bound_conflicting_and_null_labels(table):
@@ -103,7 +110,7 @@ def test_sample_bound_conflicting_and_null_labels(table):
     more = [*labels, (None, 1, 0), (5, 1, None), (6, 0, 0), (6, 1, 1)]
     a = tox.learn(docs, table(more, LABELS), limit=100)
     b = tox.learn(docs.repartition(5), table(more, LABELS), limit=100)
-    assert a.insults == b.insults and np.allclose(a.weights, b.weights)
+    assert a.insults == b.insults and a.stems == b.stems and np.allclose(a.weights, b.weights)
 
 
 def test_odd_texts_missing_labels_and_clashing_names(table, corpus, no_docs):
@@ -115,4 +122,4 @@ def test_odd_texts_missing_labels_and_clashing_names(table, corpus, no_docs):
         assert all(0 <= r["score"] < tox.THRESHOLD for r in got)
     assert tox.score(no_docs, model).count() == 0
     x = tox.Grammar(tox.INSULTS).features(pa.array(["", "idiot " * 50_000, "x" * 100_000]))
-    assert x[:, 2].tolist() == [0, 1, 0]
+    assert x[:, 2].tolist() == [0, np.log2(50_001), 0]

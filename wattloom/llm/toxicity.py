@@ -3,10 +3,10 @@
 Words become symbols (insult, harm, target, negation, report, ...).  Five transducers
 rewrite the symbols of a line one after another - reported speech, negation, target,
 threat, insult - and are composed into a single machine, whose outputs are the kinds
-of attack that a clause holds.  A clause counts once, with its strongest kind; isolated
-words count for nothing by themselves.  The weights of the kinds are learned from labels
-by logistic regression, with the grammar's own weights as the prior; insults are a fixed
-list and the words that labelled toxic texts use in many different contexts.
+of attack that a clause holds; the words of an attack count as the clause around them
+says.  The weights of the kinds are learned from labels by logistic regression, with
+the grammar's own weights as the prior.  Insults are a fixed list and, for any language,
+the stems of words that labelled toxic texts use in many different contexts.
 """
 
 from __future__ import annotations
@@ -26,8 +26,11 @@ from wattloom.llm.common import free_name, quoted, text_or_empty, written
 
 #: About so many labelled documents at most are learned from, taken by a hash of their ids.
 MAX_LABELLED = 20_000
-#: Learned insults: at most so many, in contexts of at least so many texts, this share of contexts toxic.
-LEXICON, CONTEXTS, PRECISION = 200, 5, 0.8
+#: Learned stems: at most so many, in contexts of at least so many texts, this share of their
+#: contexts toxic, and so many contexts for each use (copies of a text repeat theirs).
+LEXICON, CONTEXTS, PRECISION, VARIETY = 200, 8, 0.8, 0.5
+#: Letters of a learned stem.
+STEM = (3, 12)
 THRESHOLD = 0.3
 
 # --- fixed values: the words of the grammar --------------------------------------
@@ -47,11 +50,11 @@ REPORTS = frozenset(
 INTENT = frozenset("gonna going i'll shall should we'll will wanna want".split())
 
 # --- symbols ---------------------------------------------------------------------
-# other, insult, harm, target, negation, report, intent, quote mark, comma, end of
-# clause, end of line; then what the transducers make of them
-WORD = ["o", "I", "K", "T", "N", "R", "M", "q", "c", "E", "P"]
-#: Kinds of attack with the weights that the grammar gives them, the strongest first.
-KINDS = {"threat": 4.0, "directed": 3.5, "insult": 2.5, "wish": 2.0, "reported": 0.5, "denied": 0.2}
+# other, insult, learned insult, harm, target, negation, report, intent, quote mark,
+# comma, end of clause, end of line
+WORD = ["o", "I", "L", "K", "T", "N", "R", "M", "q", "c", "E", "P"]
+#: Kinds of attack with the weights that the grammar gives them.
+KINDS = {"threat": 4.0, "directed": 3.5, "insult": 2.5, "learned": 1.5, "wish": 2.0, "reported": 0.5, "denied": 0.2}
 BIAS = -2.5
 
 
@@ -85,7 +88,7 @@ def _scope(enter: str, length: int, ends: str, changed: dict[str, str]) -> Trans
 
 def reported_speech() -> Transducer:
     """Attacks in the rest of a clause after a word of report, or in the quote it opens."""
-    hidden = {"I": "Ir", "K": "o"}
+    hidden = {"I": "Ir", "L": "Ir", "K": "o"}
     arcs: dict[tuple[str, str], tuple[str, str]] = {("plain", "R"): ("said", "R"), ("said", "q"): ("quoted", "q")}
     arcs[("quoted", "q")] = ("plain", "q")
     for state in ("said", "quoted"):
@@ -97,7 +100,7 @@ def reported_speech() -> Transducer:
 
 def negation() -> Transducer:
     """Attacks up to four words after a negation in the same clause."""
-    return _scope("N", 4, "cEP", {"I": "In", "K": "Kn"})
+    return _scope("N", 4, "cEP", {"I": "In", "L": "In", "K": "Kn"})
 
 
 def target() -> Transducer:
@@ -134,10 +137,10 @@ def threat() -> Transducer:
 
 
 def insult() -> Transducer:
-    """The kinds of attack; every other symbol is written as none, ends as ``E``."""
-    kinds = {"It": "directed", "U": "directed", "I": "insult", "Ir": "reported", "In": "denied", "D": "threat", "d": "wish"}
+    """The kinds of attack; a target after an insult is ``U``, every other symbol none."""
+    kinds = {"It": "directed", "U": "U", "I": "insult", "L": "learned", "Ir": "reported", "In": "denied", "D": "threat", "d": "wish"}
     none = {s: "" for s in [*WORD, "Kn"]}
-    arcs = {("-", s): ("-", out) for s, out in {**none, **kinds, "E": "E", "P": "E"}.items()}
+    arcs = {("-", s): ("-", out) for s, out in {**none, **kinds}.items()}
     return Transducer("-", arcs)
 
 
@@ -171,10 +174,12 @@ def grammar() -> Transducer:
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[\"“”«»„]|[,:()|]|[.!?;]+|[^\W_]")
 
 
-def symbol_of(token: str, insults: frozenset[str]) -> str:
+def symbol_of(token: str, insults: frozenset[str], stems: tuple[str, ...]) -> str:
     token = token.replace("’", "'")
     if token in insults:
         return "I"
+    if stems and token.startswith(stems):
+        return "L"
     for words, symbol in ((TARGETS, "T"), (NEGATIONS, "N"), (INTENT, "M"), (REPORTS, "R"), (HARM, "K")):
         if token in words:
             return symbol
@@ -192,13 +197,13 @@ def symbol_of(token: str, insults: frozenset[str]) -> str:
 class Grammar:
     """The composed machine with a lexicon, ready to run over texts."""
 
-    def __init__(self, insults: Iterable[str]):
-        self.insults = frozenset(insults)
+    def __init__(self, insults: Iterable[str] = INSULTS, stems: Iterable[str] = ()):
+        self.insults, self.stems = frozenset(insults), tuple(sorted(stems))
         machine = grammar()
         self.start = int(machine.start)
         states = 1 + max(int(s) for s, _ in machine.arcs)
         self.kinds = list(KINDS)
-        rank = {k: i for i, k in enumerate(self.kinds)}
+        rank = {**{k: i for i, k in enumerate(self.kinds)}, "U": len(KINDS)}
         self.table = [
             {
                 symbol: (int(machine.step(str(s), symbol)[0]), rank.get(machine.step(str(s), symbol)[1], -1))
@@ -207,37 +212,34 @@ class Grammar:
             for s in range(states)
         ]
         self.symbols: dict[str, str] = {}
-        self.triggers = "|".join(sorted(map(re.escape, self.insults | HARM)))
+        self.triggers = "|".join(sorted(map(re.escape, {*self.insults, *self.stems, *HARM})))
         self.trigger = re.compile(self.triggers)
 
     def count(self, text: str) -> np.ndarray:
-        """Clauses by their strongest kind of attack."""
-        out = np.zeros(len(self.kinds), np.int64)
+        """Attacks by kind."""
+        out = [0] * (len(self.kinds) + 1)
         table, symbols = self.table, self.symbols
         for line in text.lower().split("\n"):
             if not self.trigger.search(line):
                 continue
-            state, best = self.start, len(out)
+            state = self.start
             for match in _TOKEN.finditer(line):
                 token = match.group()
                 symbol = symbols.get(token)
                 if symbol is None:
                     if len(symbols) > 200_000:
                         symbols.clear()
-                    symbol = symbols[token] = symbol_of(token, self.insults)
+                    symbol = symbols[token] = symbol_of(token, self.insults, self.stems)
                 state, kind = table[state][symbol]
-                if 0 <= kind < best:
-                    best = kind
-                if symbol == "E":
-                    if best < len(out):
-                        out[best] += 1
-                    best = len(out)
-            if best < len(out):
-                out[best] += 1
-        return out
+                if kind >= 0:
+                    out[kind] += 1
+        later = out.pop()  # insults that turned out to be directed
+        out[self.kinds.index("insult")] -= later
+        out[self.kinds.index("directed")] += later
+        return np.array(out, np.int64)
 
     def features(self, column: pa.Array) -> np.ndarray:
-        """``log2(1 + clauses)`` by kind for each text; texts without a trigger are not parsed."""
+        """``log2(1 + attacks)`` by kind for each text; texts without a trigger are not parsed."""
         counts = np.zeros((len(column), len(self.kinds)))
         some = pc.match_substring_regex(column, self.triggers, ignore_case=True)
         for i in np.flatnonzero(some.to_numpy(zero_copy_only=False)):
@@ -253,6 +255,7 @@ class Model:
     """Lexicon and weights; ``score`` maps features to 0..1."""
 
     insults: frozenset[str] = INSULTS
+    stems: frozenset[str] = frozenset()
     weights: np.ndarray = field(default_factory=lambda: np.array([*KINDS.values(), BIAS]))
 
     def score(self, x: np.ndarray) -> np.ndarray:
@@ -279,11 +282,13 @@ def fit(x: np.ndarray, toxic: np.ndarray, steps: int = 50) -> np.ndarray:
     return w
 
 
-def lexicon(texts: DataFrame) -> frozenset[str]:
-    """Words of ``text, toxic`` that toxic texts use in many contexts and others hardly.
+def lexicon(texts: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
+    """Insults and learned stems from ``text, toxic``.
 
-    A context is the word before and the word after, so however many copies of a
-    text there are, they count once; contexts of the same few texts do not make a word.
+    A stem is the beginning of words that toxic texts use in many contexts and others
+    hardly.  A context is the word before and the word after, so however many copies of
+    a text there are, they count once; contexts of the same few texts make no stem.
+    A fixed insult that other texts use in more contexts than toxic ones is left out.
     """
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,20 +308,40 @@ def lexicon(texts: DataFrame) -> frozenset[str]:
                 }
             )
 
-    uses = texts.select("text", "toxic", F.xxhash64("text").alias("doc")).mapInArrow(
+    uses = texts.distinct().select("text", "toxic", F.xxhash64("text").alias("doc")).mapInArrow(
         contexts, "word string, before string, after string, toxic boolean, doc long"
     )
     seen = uses.groupBy("word", F.xxhash64("before", "after").alias("place")).agg(
-        F.max("toxic").alias("bad"), F.min("toxic").alias("only"), F.min("doc").alias("doc")
+        F.max("toxic").alias("bad"), F.min("toxic").alias("only"), F.min("doc").alias("doc"),
+        F.sum(F.col("toxic").cast("long")).alias("uses"),
     )
-    sums = seen.groupBy("word").agg(
+    words = seen.groupBy("word").agg(
         F.sum(F.col("bad").cast("long")).alias("bad"),
         F.sum((~F.col("only")).cast("long")).alias("good"),
         F.count_distinct(F.when(F.col("bad"), F.col("doc"))).alias("texts"),
+        F.sum("uses").alias("uses"),
+    )
+    words = written(words, "words")
+    fixed = F.col("word").isin(sorted(INSULTS))
+    denied = words.filter(fixed & (F.col("good") >= CONTEXTS) & (F.col("good") > F.col("bad")))
+    insults = INSULTS - {r["word"] for r in denied.collect()}
+    lengths = F.sequence(F.lit(STEM[0]), F.least(F.length("word"), F.lit(STEM[1])))
+    stems = (
+        words.filter(~fixed & (F.length("word") >= STEM[0]))
+        .withColumn("k", F.explode(lengths))
+        .groupBy(F.expr("substring(word, 1, k)").alias("stem"))
+        .agg(*[F.sum(c).alias(c) for c in ("bad", "good", "texts", "uses")])
     )
     share = (F.col("bad") + 1) / (F.col("bad") + F.col("good") + 2)
-    best = sums.filter((F.col("texts") >= CONTEXTS) & (share >= PRECISION) & (F.length("word") > 2))
-    return frozenset(r["word"] for r in best.orderBy(F.desc("bad"), "word").limit(LEXICON).collect())
+    fit_ = (F.col("texts") >= CONTEXTS) & (share >= PRECISION) & (F.col("bad") >= VARIETY * F.col("uses"))
+    gain = F.col("bad") - F.col("good") * (PRECISION / (1 - PRECISION))
+    # stems within one another stand in a row here, at most as many as a stem has letters
+    best = stems.filter(fit_).orderBy(F.desc(gain), F.length("stem"), "stem").limit(LEXICON * (STEM[1] - STEM[0] + 1)).collect()
+    chosen: list[str] = []
+    for row in best:
+        if len(chosen) < LEXICON and not any(row["stem"].startswith(c) or c.startswith(row["stem"]) for c in chosen):
+            chosen.append(row["stem"])
+    return insults, frozenset(chosen)
 
 
 def learn(
@@ -341,11 +366,11 @@ def learn(
     # about ``limit`` small rows: safe to broadcast
     texts = docs.select(quoted(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     rows = written(texts.join(F.broadcast(marked), "id").select("text", "toxic"), "labelled")
-    insults = INSULTS | lexicon(rows)
+    insults, stems = lexicon(rows)
     width = len(KINDS)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Grammar(insults)
+        own = Grammar(insults, stems)
         for batch in batches:
             x = own.features(batch["text"])
             at = np.arange(len(x) + 1, dtype=np.int32) * width
@@ -359,7 +384,7 @@ def learn(
     toxic = got["toxic"].to_numpy(zero_copy_only=False).astype(float)
     order = np.lexsort(np.column_stack([x, toxic]).T)
     x, toxic, n = x[order], toxic[order], n[order]
-    return Model(insults, fit(np.repeat(x, n, axis=0), np.repeat(toxic, n)))
+    return Model(insults, stems, fit(np.repeat(x, n, axis=0), np.repeat(toxic, n)))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
@@ -372,7 +397,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
     schema = StructType([*rest.schema.fields, StructField(name, DoubleType())])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Grammar(model.insults)
+        own = Grammar(model.insults, model.stems)
         for batch in batches:
             s = pa.array(model.score(own.features(batch.column(batch.num_columns - 1))))
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
