@@ -18,7 +18,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays."""
-    return exact_dedup.keep_new(docs, exact_dedup.new_index(spark))
+    return exact_dedup.keep_new(docs, exact_dedup.new_index(spark), batch="documents")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,6 +39,25 @@ def test_second_batch_is_deduplicated_against_the_first(spark, table):
     assert exact_dedup.keep_new(rows, again).count() == 0
 
 
+def test_a_batch_run_again_gives_the_same_decisions(spark, table):
+    """Also where the first run was lost after a part of the append."""
+    index = exact_dedup.new_index(spark, 4)
+    schema = "doc_id long, text string"
+    exact_dedup.deduplicate(table([(1, "a")], schema), index, batch="one").collect()
+    rows = table([(5, "a"), (6, "b"), (7, "b"), (8, "c"), (None, "d")], schema)
+    first = sorted(map(tuple, exact_dedup.deduplicate(rows, index, batch="two").collect()), key=str)
+    size = index.read(spark).count()
+    again = sorted(map(tuple, exact_dedup.deduplicate(rows, index, batch="two").collect()), key=str)
+    assert again == first and index.read(spark).count() == size == 4
+    assert sorted(str(r[0]) for r in exact_dedup.keep_new(rows, index, batch="two").collect()) == ["7", "8", "None"]
+    assert exact_dedup.keep_new(rows, index, batch="three").count() == 0
+    torn = exact_dedup.new_index(spark, 4)
+    exact_dedup.deduplicate(table([(1, "a")], schema), torn, batch="one").collect()
+    exact_dedup.deduplicate(rows.filter("text = 'b'"), torn, batch="two").collect()  # a part of it
+    whole = sorted(map(tuple, exact_dedup.deduplicate(rows, torn, batch="two").collect()), key=str)
+    assert whole == first
+
+
 def test_repeated_rows_keep_one_and_empty_batch(spark, table, no_docs):
     rows = [(1, "a", 0), (1, "a", 0), (2, "", 0), (2, None, 0), (None, "z", 0), (None, "z", 0)]
     index = exact_dedup.new_index(spark, 2)

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import new_path, quoted, text_or_empty, written
+from wattloom.llm.common import free_name, new_path, quoted, text_or_empty, written
 
 INDEX_SCHEMA = "digest BINARY, keep_id BIGINT, n BIGINT, batch STRING"
 
@@ -64,7 +64,7 @@ def new_index(spark: SparkSession, buckets: int = 64) -> DigestIndex:
 
 
 def deduplicate(
-    docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None
 ) -> DataFrame:
     """Add a batch of documents to the index and decide on each of its rows.
 
@@ -75,8 +75,13 @@ def deduplicate(
     ``group_size`` counts the batch's rows with that text.  Null ids are smaller
     than all others; repeated rows with one id are one document and share its
     decision.  An empty batch leaves the index as it is.
+
+    ``batch`` names the rows of this call for ever.  A second run under the same name, after
+    a lost driver or a finished first run, gives the same decisions and appends only
+    what the first run did not; another batch needs another name.  Without a name every
+    call is a batch of its own.
     """
-    thin, decided = _decide(docs, index, id_col, text_col)
+    thin, decided = _decide(docs, index, id_col, text_col, batch)
     return thin.join(decided, "digest").select(
         "doc_id",
         "keep_id",
@@ -86,10 +91,12 @@ def deduplicate(
     )
 
 
-def _decide(docs: DataFrame, index: DigestIndex, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+def _decide(
+    docs: DataFrame, index: DigestIndex, id_col: str, text_col: str, batch: str | None
+) -> tuple[DataFrame, DataFrame]:
     """The batch's ``doc_id, digest`` rows, and ``digest, group_size, keep_id, new``."""
     spark = docs.sparkSession
-    batch = uuid.uuid4().hex
+    batch = uuid.uuid4().hex if batch is None else batch
     thin = written(
         docs.select(
             quoted(id_col).cast("long").alias("doc_id"),
@@ -100,6 +107,7 @@ def _decide(docs: DataFrame, index: DigestIndex, id_col: str, text_col: str) ->
     groups = thin.groupBy("digest").agg(
         F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n")
     )
+    # what the index holds already, from this batch or others, is not appended again
     fresh = groups.join(index.read(spark).select("digest").hint("merge"), "digest", "left_anti")
     index.append(fresh.withColumn("batch", F.lit(batch)).select("digest", "keep_id", "n", "batch"))
     known = index.read(spark).select("digest", "keep_id", (F.col("batch") == batch).alias("new"))
@@ -108,19 +116,22 @@ def _decide(docs: DataFrame, index: DigestIndex, id_col: str, text_col: str) ->
     return thin, written(sizes.join(known.hint("merge"), "digest"), "decisions")
 
 
-def keep_new(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_new(
+    docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None
+) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; one row for each new text.
 
     Rows are matched by digest and id, so ids need not be unique; of rows that
-    repeat both, one stays.
+    repeat both, one stays.  ``batch`` as in ``deduplicate``; columns may have any names.
     """
-    thin, decided = _decide(docs, index, id_col, text_col)
-    stay = decided.filter("new").select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__id"))
+    thin, decided = _decide(docs, index, id_col, text_col, batch)
+    a, b = free_name(docs.columns, "a"), free_name(docs.columns, "b")
+    stay = decided.filter("new").select(F.col("digest").alias(b), F.col("keep_id").alias(a))
     sha = F.unhex(F.sha2(text_or_empty(text_col), 256))
-    same = quoted(id_col).cast("long").eqNullSafe(F.col("__id")) & (sha == F.col("__digest"))
+    same = quoted(id_col).cast("long").eqNullSafe(F.col(a)) & (sha == F.col(b))
     kept = docs.join(stay, same, "left_semi")
     repeated = thin.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if repeated.isEmpty():
         return kept
-    keys = [quoted(id_col).cast("long").alias("__a"), sha.alias("__b")]
-    return kept.select("*", *keys).dropDuplicates(["__a", "__b"]).drop("__a", "__b")
+    keys = [quoted(id_col).cast("long").alias(a), sha.alias(b)]
+    return kept.select("*", *keys).dropDuplicates([a, b]).drop(a, b)
