@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm import scan
-from wattloom.llm.common import Scratch, quoted, text_key, text_or_empty, written
+from wattloom.llm.common import Scratch, free_name, quoted, text_key, text_or_empty, written
 
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
@@ -163,7 +163,6 @@ def _sketch_rows(width: int):
                     begun = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
                     f[0, full] = np.add.reduceat(values, begun)
                     f[1, full] = np.add.reduceat(scan.mix(values + np.uint64(99)), begun)
-                flat = pa.array(bands(sketch).view(np.int64).ravel())
                 part = batch.slice(a, b - a)
                 yield pa.record_batch(
                     {
@@ -172,7 +171,6 @@ def _sketch_rows(width: int):
                         "f1": pa.array(f[0].view(np.int64)),
                         "f2": pa.array(f[1].view(np.int64)),
                         "sketch": pa.array([x.tobytes() for x in sketch], pa.binary()),
-                        "bands": pa.ListArray.from_arrays(np.arange(b - a + 1, dtype=np.int32) * BANDS, flat),
                     }
                 )
 
@@ -185,6 +183,14 @@ def _registers_of(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.int16).reshape(-1, REGISTERS)
 
 
+def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each band of each sketch: shorter to compute again than to keep."""
+    for batch in batches:
+        value = bands(_registers_of(batch["sketch"])) if len(batch) else np.zeros((0, BANDS), np.uint64)
+        node = batch["node"].take(pa.array(np.repeat(np.arange(len(batch)), BANDS)))
+        yield pa.record_batch({"node": node, "band": pa.array(value.view(np.int64).ravel())})
+
+
 def _estimated(percent: int):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -381,10 +387,11 @@ def keep_one(
     order = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "k1", "k2")
     firsts = rows.filter("comp IS NOT NULL").groupBy("comp").agg(F.min(order).alias("m")).select("m.doc_id", "m.k1", "m.k2")
     stay = firsts.unionByName(rows.filter("n = 0").select("doc_id", "k1", "k2").distinct())
-    stay = stay.select(F.struct("k1", "k2").alias("__k"), F.col("doc_id").alias("__id"))
+    a, b, c = (free_name(docs.columns, wish) for wish in ("k1", "k2", "id"))
+    stay = stay.select(F.col("k1").alias(a), F.col("k2").alias(b), F.col("doc_id").alias(c))
     key = text_key(text_or_empty(text_col))
-    same = (key["k1"] == F.col("__k.k1")) & (key["k2"] == F.col("__k.k2"))
-    return docs.join(stay, same & quoted(id_col).cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    same = (key["k1"] == F.col(a)) & (key["k2"] == F.col(b))
+    return docs.join(stay, same & quoted(id_col).cast("long").eqNullSafe(F.col(c)), "left_semi")
 
 
 def _grouped(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -396,7 +403,7 @@ def _grouped(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
     sketched = scratch(
         texts.mapInArrow(
             _sketch_rows(width),
-            "doc_id long, k1 long, k2 long, n long, f1 long, f2 long, sketch binary, bands array<long>",
+            "doc_id long, k1 long, k2 long, n long, f1 long, f2 long, sketch binary",
         ),
         "sketches",
     )
@@ -404,11 +411,11 @@ def _grouped(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
     sets = scratch(
         sketched.filter("n > 0")
         .groupBy(*key)
-        .agg(*[F.first(c).alias(c) for c in ("k1", "k2", "sketch", "bands")])
+        .agg(*[F.first(c).alias(c) for c in ("k1", "k2", "sketch")])
         .withColumn("node", F.monotonically_increasing_id()),
         "sets",
     )
-    members = sets.select("node", F.explode("bands").alias("band"))
+    members = sets.select("node", "sketch").mapInArrow(_band_rows, "node long, band long")
     heads = members.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     # written first: a join of two plain shuffles can be split where a bucket is hot
     placed = scratch(members.join(scratch(heads.drop("size"), "heads"), "band"), "buckets")
@@ -426,7 +433,12 @@ def _grouped(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
     first = scratch(components(links, scratch), "components")
 
     labelled = placed.join(first, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp"))
-    mixed = labelled.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
+    # bands that hold the same nodes find the same links: one of them is enough
+    nodes = [F.sum(F.xxhash64(F.lit(seed), "node") % F.lit(1 << 30)).alias(f"h{seed}") for seed in (1, 2, 3, 4)]
+    mixed = labelled.groupBy("band").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"), *nodes
+    ).filter("lo < hi")
+    mixed = mixed.groupBy("n", "lo", "hi", "h1", "h2", "h3", "h4").agg(F.min("band").alias("band"))
     sized = scratch(labelled.join(mixed.select("band"), "band"), "mixed")
     items = _full_sets(sized.select("node").distinct(), texts, sets, width)
     parts = sized.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("size"))
