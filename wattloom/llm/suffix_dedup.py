@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm import scan
-from wattloom.llm.common import quoted, text_key, text_or_empty, written
+from wattloom.llm.common import free_name, quoted, text_key, text_or_empty, written
 
 #: Bytes of the gram that anchors a window.
 GRAM = 24
@@ -293,11 +293,12 @@ def repeats(texts: DataFrame, length: int) -> DataFrame:
     """
     runs = written(texts.select("k1", "k2", "text").mapInArrow(_run_rows(length), RUNS), "runs")
     # second digit: anchors that occur again, and whether their runs differ
-    again = runs.groupBy("anchor").agg(
-        F.sum("n").alias("total"), F.min("run").alias("lo"), F.max("run").alias("hi")
-    ).filter("total > 1").select("anchor", (F.col("lo") != F.col("hi")).alias("differ"))
-    again = written(again, "anchors")  # a join of two plain shuffles can be split where an anchor is hot
-    alive = written(runs.join(again, "anchor"), "runs-alive")
+    counted = written(runs.groupBy("anchor", "run").agg(F.sum("n").alias("total")), "runs-counted")
+    again = counted.groupBy("anchor").agg(F.sum("total").alias("all"), F.count(F.lit(1)).alias("kinds"))
+    again = again.filter("all > 1").select("anchor", (F.col("kinds") > 1).alias("differ"))
+    # written: a join of two plain shuffles can be split where an anchor is hot
+    marked = written(counted.join(written(again, "anchors"), "anchor"), "runs-marked")
+    alive = written(runs.join(marked, ["anchor", "run"]), "runs-alive")
     distinct = written(
         alive.filter("differ").groupBy("anchor", "run").agg(
             *[F.first(c).alias(c) for c in ("k1", "k2", "first", "lead", "span")], F.sum("n").alias("n")
@@ -331,10 +332,9 @@ def repeats(texts: DataFrame, length: int) -> DataFrame:
     ranges = F.arrays_zip(F.array_sort(lows).alias("low"), F.array_sort(highs).alias("high"))
     large = hits.select("k1", "k2", F.inline(ranges).alias("low", "high"))
     # a run that occurs several times is a repeat as a whole, also where its anchor has others
-    several = written(distinct.filter("n > 1").select("anchor", "run"), "runs-several")
-    whole = alive.filter("NOT differ").unionByName(
-        alive.filter("differ").join(several, ["anchor", "run"], "left_semi").select(*alive.columns)
-    ).select("k1", "k2", F.col("first").alias("low"), (F.col("first") + F.col("span") - 1).alias("high"))
+    whole = alive.filter("NOT differ OR total > 1").select(
+        "k1", "k2", F.col("first").alias("low"), (F.col("first") + F.col("span") - 1).alias("high")
+    )
     # distinct before collecting: copies of a text give the same windows
     marks = whole.unionByName(small).unionByName(large).distinct().groupBy("k1", "k2").agg(
         F.collect_list(F.struct("low", "high")).alias("windows")
@@ -344,11 +344,6 @@ def repeats(texts: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _keyed(docs: DataFrame, text_col: str) -> DataFrame:
-    text = text_or_empty(text_col)
-    return docs.withColumn("__text", text).withColumn("__k", text_key(F.col("__text")))
-
-
 def remove_repeats(docs: DataFrame, length: int = 200, text_col: str = "text") -> DataFrame:
     """``docs`` without each byte that a repeated ``length``-byte string covers.
 
@@ -356,24 +351,27 @@ def remove_repeats(docs: DataFrame, length: int = 200, text_col: str = "text") -
     included; overlaps count, matches never cross texts, and all strings are judged
     on the input.  Copies of a text count as repeats of it.  The text column holds
     what is left (fragments of a character cut in two are dropped); a null text is
-    empty and stays null.  Other columns and repeated rows are kept.
+    empty and stays null.  Other columns, whatever their names, and repeated rows are kept.
     """
-    keyed = _keyed(docs, text_col)
-    cut = repeats(keyed.select(F.col("__text").alias("text"), "__k.k1", "__k.k2"), length).select(
-        F.struct("k1", "k2").alias("__k"), F.col("kept").alias("__rest")
-    )
-    left = F.coalesce("__rest", quoted(text_col).cast("string"))
-    return keyed.join(cut, "__k", "left").withColumn(text_col, left).select(*[quoted(c) for c in docs.columns])
+    text = text_or_empty(text_col)
+    cut = repeats(docs.select(text.alias("text"), text_key(text).alias("k")).select("text", "k.*"), length)
+    a, b, rest = (free_name(docs.columns, wish) for wish in ("k1", "k2", "rest"))
+    cut = cut.select(F.col("k1").alias(a), F.col("k2").alias(b), F.col("kept").alias(rest))
+    key = text_key(text)
+    joined = docs.join(cut, (key["k1"] == F.col(a)) & (key["k2"] == F.col(b)), "left")
+    left = F.coalesce(F.col(rest), quoted(text_col).cast("string")).alias(text_col)
+    return joined.select(*[left if c == text_col else quoted(c) for c in docs.columns])
 
 
 def summary(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256``, one row per row of ``docs``."""
-    keyed = _keyed(docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).alias("t")), "t")
-    cut = repeats(keyed.select(F.col("__text").alias("text"), "__k.k1", "__k.k2"), length)
+    rows = docs.select(quoted(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = rows.select("doc_id", "text", text_key(F.col("text")).alias("k")).select("doc_id", "text", "k.*")
+    cut = repeats(rows.select("text", "k1", "k2"), length)
     cut = cut.select("k1", "k2", "n_removed", "n_spans", "kept_sha256")
-    thin = keyed.select(
-        "doc_id", "__k.k1", "__k.k2", F.octet_length("__text").cast("long").alias("n_bytes"),
-        F.sha2("__text", 256).alias("whole"),
+    thin = rows.select(
+        "doc_id", "k1", "k2", F.octet_length("text").cast("long").alias("n_bytes"),
+        F.sha2("text", 256).alias("whole"),
     )
     return thin.join(cut, ["k1", "k2"], "left").select(
         "doc_id", "n_bytes",
