@@ -56,7 +56,6 @@ def check_packing(pieces, texts, size, end_id):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     ids = [np.array([*e.ids, end_id], "<u4") for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert sum(p["length"] for p in pieces) == sum(map(len, ids))
     assert sorted(p["doc_tokens"] for p in pieces if p["start"] == 0) == sorted(map(len, ids))
@@ -87,6 +86,21 @@ def test_packing_covers_every_token_once(docs, corpus):
             assert [p["start"] for p in parts] == np.cumsum([0, *[p["length"] for p in parts[:-1]]]).tolist()
 
 
+def test_special_strings_and_odd_words_are_encoded_as_the_tokenizer_does(table):
+    """The plain call: the string of a special token is that token."""
+    from tokenizers import Tokenizer
+
+    tokenizer, rng = Tokenizer.from_file(JSON), np.random.default_rng(6)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "<|endoftext| >", "", " ", "  two", " ª º ǅ ﬁ x"]
+    letters = [chr(c) for c in [32, 32, 32, 97, 233, 0x301, 0x4E2D, 0x5D0, 0x660, 0x1F600, 0x10428, 0x16A0, 10, 39, 0x2160, 0xAA, 0x345]]
+    texts += ["".join(rng.choice(letters, rng.integers(1, 40))) for _ in range(400)]
+    texts += [" ".join("".join(rng.choice(list("abcdeé"), rng.integers(1, 9))) for _ in range(300))]
+    got = list(pack.tokenise(texts, JSON, 1))
+    assert [x.tolist() for x in got] == [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    rows = table([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    check_packing(pack.pack(rows, JSON, 64, 1).collect(), texts, 64, 1)
+
+
 def test_packing_repeated_rows_many_partitions_and_empty_table(table, no_docs, monkeypatch):
     monkeypatch.setattr(pack, "MERGE", 2)
     rows = [(3, "same words here", "x")] * 40 + [(None, None, None)] * 3
