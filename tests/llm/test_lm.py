@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from wattloom.llm import lm
@@ -54,7 +55,7 @@ def test_held_out_texts_are_likelier_than_by_frequencies(table):
     """Texts in two languages: context tells which."""
     rng = np.random.default_rng(2)
     sides = [[f"{p}{i}" for i in range(60)] for p in "uv"]
-    rows = [(i, " ".join(rng.choice(sides[i % 2], 200))) for i in range(400)]
+    rows = [(i, " ".join(rng.choice(sides[i % 2], 200))) for i in range(1600)]  # one pass, as at any size
     got = lm.score_texts(table(rows, "doc_id long, text string")).toPandas()
     held = got[got.held_out]
     assert len(held) > 20 and held.score.sum() > held.base_score.sum() * 0.95
@@ -74,13 +75,42 @@ def test_classes_grow_with_the_words(table):
         rows = table([(0, 1)], "a int, b int").selectExpr(f"explode(sequence(1L, {words}L)) AS token")
         vocab = lm.vocabulary(rows.selectExpr("token", "0 AS shape", "if(token <= 3000, 9L, 1L) AS n"))
         assert (vocab.classes >= 0).sum() == vocab.words
-        sizes.append((vocab.words, [x.shape[0] for x in lm.initial(vocab.noise)]))
+        sizes.append((vocab.words, [x.shape[0] for x in lm.initial(vocab.noise, vocab.near)]))
     (small, _), (large, shape) = sizes
     assert small > lm.WORDS and large == pytest.approx(2 * small, rel=0.01)
     n = large + 32
-    assert shape == [n + 1, lm.WIDTH, lm.WIDTH, n, n]
-    trainer = lm.Trainer(lm.initial(vocab.noise), vocab.noise, 1)
+    assert shape == [lm.CONTEXTS + 33, lm.WIDTH, lm.WIDTH, n, n]  # contexts are bounded
+    trainer = lm.Trainer(lm.initial(vocab.noise, vocab.near), vocab.noise, 1)
     at = np.arange(large - 1000, large)
     before = [x.copy() for x in trainer.p]
-    trainer.learn(at, at, at)
-    assert all((x[at] != y[at]).any(axis=-1).all() for x, y in zip((trainer.p[0], trainer.p[3]), (before[0], before[3])))
+    trainer.learn(at, at % 1000, at % 1000)
+    assert (trainer.p[3][at] != before[3][at]).any(axis=-1).all()
+    assert (trainer.p[0][:1000] != before[0][:1000]).any(axis=-1).all()
+    assert lm.Model.of(vocab, trainer.p).norm.nbytes < 18e6
+
+
+def test_score_of_a_text_token_by_token(docs, corpus, monkeypatch):
+    """The score again in plain Python, from the parameters and the counts; few words are contexts."""
+    monkeypatch.setattr(lm, "CONTEXTS", 40)
+    kept = {}
+    monkeypatch.setattr(lm.Model, "of", staticmethod(lambda vocab, p, of=lm.Model.of: kept.update(p=p, v=vocab) or of(vocab, p)))
+    got = {(r["doc_id"], r["n_tokens"]): r["score"] for r in lm.score_texts(docs).collect()}
+    (r, c1, c2, q, bias), vocab = kept["p"], kept["v"]
+    count, distinct = Counter(), set()
+    for d in corpus:
+        if fold(d[0]) % 7 != 2:
+            count.update(tokens(d[1]))
+    for doc_id, text, _ in corpus[:30]:
+        (_, _, hashes, _, shapes), = lm.tokens(pa.array([text or ""]))
+        cls, _, _ = vocab.look_up(hashes, shapes)
+        near = [int(c) if c < 40 else 40 + int(s) for c, s in zip(cls, shapes)]
+        total = 0.0
+        for k, (c, word) in enumerate(zip(cls, tokens(text))):
+            one = near[k - 1] if k else 72
+            two = near[k - 2] if k > 1 else 72
+            h = r[one].astype(float) @ c1 + r[two].astype(float) @ c2
+            z = q.astype(float) @ h + bias
+            total += (z[c] - np.log(np.exp(z - z.max()).sum()) - z.max()) / np.log(10)
+            if c >= vocab.words:
+                total += np.log10(count[word] + 1) - vocab.rest[c - vocab.words]
+        assert got[doc_id, len(hashes)] == pytest.approx(total, rel=1e-4)

@@ -7,8 +7,10 @@ the two tokens before it; within
 a spelling class words have their smoothed share of its counts.  Training runs over
 every training text: each task starts from the same parameters, makes one pass of
 noise-contrastive estimation over its rows, and the parameters are averaged by
-tokens.  As the score is bilinear, one matrix product gives the normaliser of every
-pair of contexts, so all probabilities are normalised.
+tokens.  As a context, a word beyond the ``CONTEXTS`` most frequent is its spelling
+class, so the contexts are bounded while the classes grow.  As the score is bilinear,
+one matrix product over all classes gives the normaliser of every pair of contexts, a
+table of a fixed size, and all probabilities are normalised.
 """
 
 from __future__ import annotations
@@ -24,15 +26,15 @@ from pyspark.sql import functions as F
 from wattloom.llm import scan
 from wattloom.llm.common import fold, quoted, text_key, text_or_empty, written
 
-#: Words that are classes of their own at least, and for each root of the distinct words: the
-#: normalisers of all pairs of contexts then grow in proportion to the vocabulary.
+#: Words that are classes of their own at least, and for each root of the distinct words.
 WORDS, GROWTH = 992, 2
+#: Most words that are contexts of their own: the table of normalisers has at most the square
+#: of that and the spelling classes (17 MB), whatever the corpus.
+CONTEXTS = 2_048
 #: The least number of classes with the spelling classes.
 CLASSES = WORDS + scan.SHAPES
 #: Size of a vector, shared noise words of a batch, tokens in a batch, step size.
 WIDTH, NOISE, BATCH, STEP = 16, 64, 1024, 0.15
-#: A small corpus is gone through several times, up to so many training tokens in all or so often.
-LEAST_TOKENS, MOST_TIMES = 2_000_000, 12
 #: Most words whose counts are sent to every task; the counts of rarer ones are joined.
 HEAD = 200_000
 #: The end of a text as a token.
@@ -79,12 +81,22 @@ class Vocabulary:
     classes: np.ndarray  # class of a head token, -1: its spelling class
     rest: np.ndarray  # of each spelling class: log10 of its tokens + distinct words + 1
     noise: np.ndarray  # share of each class in the training tokens
+    near: int = -1  # words that are contexts of their own; the spelling classes and a text's start follow
+
+    def __post_init__(self):
+        if self.near < 0:
+            self.near = min(self.words, CONTEXTS)
 
     @property
     def words(self) -> int:
         """Words that are classes of their own; the spelling classes follow them."""
         return len(self.noise) - scan.SHAPES
 
+    def contexts(self, cls: np.ndarray, shapes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Contexts one and two tokens before each token, within each text."""
+        own = np.where(cls < self.near, cls, self.near + np.where(cls < self.words, shapes, cls - self.words))
+        return contexts(own, counts, self.near + scan.SHAPES)
+
     def look_up(self, hashes: np.ndarray, shapes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Class of each token, its count, and whether it is in the head."""
         at = np.minimum(np.searchsorted(self.head, hashes), max(len(self.head) - 1, 0))
@@ -132,7 +144,7 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
 
 
 def contexts(cls: np.ndarray, counts: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """Classes one and two tokens before, within each text; ``start`` before its begin."""
+    """Values one and two tokens before, within each text; ``start`` before its begin."""
     begun = np.cumsum(counts) - counts
     one = np.concatenate([[start], cls[:-1]])
     two = np.concatenate([[start, start], cls[:-2]])[: len(cls)]
@@ -143,10 +155,10 @@ def contexts(cls: np.ndarray, counts: np.ndarray, start: int) -> tuple[np.ndarra
     return one, two
 
 
-def initial(noise: np.ndarray) -> list[np.ndarray]:
+def initial(noise: np.ndarray, near: int) -> list[np.ndarray]:
     """Start: almost the class frequencies alone, whatever the context."""
     rng, n = np.random.default_rng(11), len(noise)
-    out = [rng.normal(0, 0.1, s) for s in [(n + 1, WIDTH), *SHAPE[1:3], (n, WIDTH)]]
+    out = [rng.normal(0, 0.1, s) for s in [(near + scan.SHAPES + 1, WIDTH), *SHAPE[1:3], (n, WIDTH)]]
     out[1], out[2] = np.eye(WIDTH) * 0.7, np.eye(WIDTH) * 0.3
     return [x.astype(np.float32) for x in out] + [np.log(noise).astype(np.float32)]
 
@@ -203,23 +215,18 @@ def _scatter(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     return np.stack([np.bincount(at, rows[:, d], size) for d in range(rows.shape[1])], axis=1)
 
 
-def train_round(
-    texts: DataFrame, vocab: Vocabulary, start: list[np.ndarray], seed: int, times: int = 1
-) -> list[np.ndarray]:
-    """Passes over all ``texts`` in parallel, averaged by the tokens of each task.
-
-    With ``times`` over 1 a task keeps its texts for further passes.
-    """
+def train_round(texts: DataFrame, vocab: Vocabulary, start: list[np.ndarray], seed: int) -> list[np.ndarray]:
+    """One pass over all ``texts`` in parallel, averaged by the tokens of each task."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast((vocab, start))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, begin = shared.value
         trainer = Trainer(begin, own.noise, seed)
-        for batch in list(batches) * times if times > 1 else batches:
+        for batch in batches:
             for _, _, hashes, counts, shapes in tokens(batch["text"]):
                 cls, _, _ = own.look_up(hashes, shapes)
-                one, two = contexts(cls, counts, len(own.noise))
+                one, two = own.contexts(cls, shapes, counts)
                 order = trainer.rng.permutation(len(cls))
                 for lo in range(0, len(order), BATCH):
                     part = order[lo : lo + BATCH]
@@ -292,7 +299,7 @@ def _score_rows(shared):
             leads[where] = True  # of equal texts in a batch, one asks for the rare words
             for a, b, hashes, counts, shapes in tokens(batch["text"]):
                 cls, n, known = vocab.look_up(hashes, shapes)
-                one, two = contexts(cls, counts, len(vocab.noise))
+                one, two = vocab.contexts(cls, shapes, counts)
                 logs = np.log10(n + 1.0)
                 begun = np.cumsum(counts) - counts
                 other = cls >= vocab.words
@@ -340,11 +347,10 @@ def score_texts(
     learned = rows.filter(fold(F.col("doc_id"), modulus) != out)
     counted = written(count_tokens(learned.select("text")), "token-counts")
     vocab = vocabulary(counted)
-    params = initial(vocab.noise)
+    params = initial(vocab.noise, vocab.near)
     few = learned.filter(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(FIRST)) == 0)
-    times = int(np.clip(LEAST_TOKENS // max(vocab.total, 1), 1, MOST_TIMES))
     for seed, part in ((1, few), (2, learned)):
-        params = train_round(part.select("text"), vocab, params, seed, times)
+        params = train_round(part.select("text"), vocab, params, seed)
     shared = spark.sparkContext.broadcast(Model.of(vocab, params))
     keyed = rows.select("doc_id", "text", text_key(F.col("text")).alias("k")).select("doc_id", "k.*", "text")
     scored = written(keyed.mapInArrow(_score_rows(shared), SCORED), "scored")
