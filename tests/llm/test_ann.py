@@ -91,3 +91,26 @@ def test_repeated_ids_give_distinct_neighbours(table, monkeypatch, per_part):
         if per_part == 4_000:
             assert [r["vec_id"] for r in found] == [i for _, i in want]
             assert [r["score"] for r in found] == pytest.approx([s for s, _ in want], rel=1e-9, abs=1e-12)
+
+
+def test_parts_grow_with_the_vectors(table, monkeypatch):
+    """Twice the vectors, twice the parts, up to the documented limit."""
+    assert ann.MAX_PARTS * ann.PER_SAMPLED == 65_536
+    monkeypatch.setattr(ann, "PER_PART", 100)
+    monkeypatch.setattr(ann, "PER_SAMPLED", 10)
+    rng = np.random.default_rng(4)
+    learned = []
+    monkeypatch.setattr(ann, "learn_router", lambda x, parts, real=ann.learn_router: learned.append(real(x, parts)) or learned[-1])
+    for n in (1000, 2000):
+        x = rng.normal(size=(n, 6)).astype(np.float32)
+        ann.search(table([(i, v.tolist(), 0.0) for i, v in enumerate(x)], SCHEMA), F.col("vec_id") % 100 == 0, 10)
+    a, b = (len(r.b2) for r in learned)
+    assert (a, b) == (32, 64)
+
+
+def test_very_far_and_very_near_vectors_keep_their_neighbours(table):
+    rows = [(0, [1e200, 0.0], 0.0), (1, [-1e200, 0.0], 0.0), (2, [1e-200, 0.0], 0.0), (3, [2e-200, 0.0], 0.0)]
+    df = table(rows, "vec_id long, embedding array<double>, score double")
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in ann.search(df, F.col("vec_id") < 4, 3).collect()}
+    assert len(got) == 12
+    assert got[0, 3] == (1, pytest.approx(2e200)) and got[2, 1] == (3, pytest.approx(1e-200))

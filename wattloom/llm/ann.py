@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from wattloom.llm.common import quoted, written
 
-#: Vectors in the sample (about; never more than 5 % above), and indexed vectors for each part.
-SAMPLE, PER_PART = 12_000, 4_000
-MAX_PARTS = 1_024
+#: Indexed vectors for each part, and parts at most.
+PER_PART, MAX_PARTS = 4_000, 1_024
+#: Vectors in the sample (about; never more than 5 % above): so many for each part, at least
+#: and, by the two limits above, at most 65,536.
+PER_SAMPLED, SAMPLE = 64, 12_000
 #: Neighbours in the graph, recall on the sample that sets the number of probes.
 NEIGHBOURS, RECALL = 10, 0.98
 HIDDEN = 64
@@ -130,7 +132,7 @@ def learn_router(x: np.ndarray, parts: int) -> Router | None:
     The number of probes is the least that reaches ``RECALL`` on a tenth of the
     sample that the classifier was not fitted on.
     """
-    levels = min(parts, max(1, len(x) // 64)).bit_length() - 1
+    levels = min(parts, max(1, int(len(x) / PER_SAMPLED * 1.05))).bit_length() - 1
     if levels < 1:
         return None
     rng = np.random.default_rng(3)
@@ -157,6 +159,20 @@ def _usable(v: Column, size: Column) -> Column:
     return v.isNotNull() & (F.size(v) == size) & ~bad & F.exists(v, lambda e: e != 0)
 
 
+def distances(rows: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Euclidean distances of ``v``; scaled first where a square would leave the range of doubles."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        gap = rows - v
+        far = np.sqrt((gap * gap).sum(axis=1))
+        odd = np.flatnonzero(~np.isfinite(far) | (far < 1e-140))
+        if len(odd):
+            half = rows[odd] / 2 - v / 2  # the difference itself may be too large
+            top = np.abs(half).max(axis=1)
+            safe = np.where(top > 0, top, 1)[:, None]
+            far[odd] = np.minimum(np.sqrt(((half / safe) ** 2).sum(axis=1)) * 2 * top, np.finfo(float).max)
+    return far
+
+
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -191,12 +207,13 @@ def search(
     )
     distinct = candidates.filter("r = 1")
     total = distinct.count()
-    if total > PER_PART:
-        share = F.lit(int(min(1.0, SAMPLE / total) * (1 << 30)))
+    parts = min(MAX_PARTS, max(2, 1 << (2 * -(-total // PER_PART) - 1).bit_length())) if total else 1
+    if total >= 2 * PER_SAMPLED:
+        share = F.lit(int(min(1.0, max(SAMPLE, PER_SAMPLED * parts) / total) * (1 << 30)))
         sample = distinct.filter(F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(1 << 30)) < share)
         rows = sample.select("vec_id", "v").toArrow()
         x = _matrix(rows["v"], width)[np.argsort(rows["vec_id"].to_numpy())]
-        router = learn_router(x, min(MAX_PARTS, -(-total // PER_PART) * 2))
+        router = learn_router(x, parts)
     else:
         router = None
     shared = spark.sparkContext.broadcast(router)
@@ -264,16 +281,16 @@ def search(
                 ci = ci[first]
                 out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
                 for own, v in zip(qi, qv):
-                    far = np.minimum.reduceat(np.sqrt(((cv - v) ** 2).sum(axis=1)), first)
-                    far[ci == own] = np.inf
+                    far = np.minimum.reduceat(distances(cv, v), first)
+                    others = np.flatnonzero(ci != own)
+                    far, near_ids = far[others], ci[others]
                     if len(far) > k:
                         edge = np.partition(far, k - 1)[k - 1]
                         near = np.flatnonzero(far <= edge)
                     else:
                         near = np.arange(len(far))
-                    near = near[np.isfinite(far[near])]
-                    near = near[np.lexsort((ci[near], far[near]))][:k]
-                    out.append((np.full(len(near), own), ci[near], far[near]))
+                    near = near[np.lexsort((near_ids[near], far[near]))][:k]
+                    out.append((np.full(len(near), own), near_ids[near], far[near]))
                 a, b, s = (np.concatenate([o[j] for o in out]) for j in range(3))
                 yield pa.record_batch({"query_id": pa.array(a), "vec_id": pa.array(b), "score": pa.array(s)})
 
