@@ -90,15 +90,58 @@ def test_stages_in_a_row(spark, table, tmp_path):
     assert done.agg({"length": "sum"}).first()[0] == sum(p["length"] for p in pieces)
 
 
+def test_columns_of_any_name_survive(spark, table):
+    """Every name that the stages use inside, as a user's column."""
+    from pyspark.sql import functions as F
+
+    from wattloom.llm import exact_dedup, langid, near_dedup, quality, suffix_dedup, toxicity
+
+    inside = "__a __b __k __k1 __k2 __id __rest __text __digest __text_to_score __text_to_identify __text_to_score_ k1 k2 kept digest n batch".split()
+    rng = np.random.default_rng(9)
+    say = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), 6)) for _ in range(n))
+    shared = say(60)
+    texts = [say(80) for _ in range(8)] + [say(30) + " " + shared, say(30) + " " + shared, None]
+    rows = [(i, t, *[f"{c}{i}" for c in inside]) for i, t in enumerate([*texts, texts[0]])]
+    rows.append(rows[1])
+    docs = table(rows, "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in inside))
+    labels = table([(i, i % 2, i % 2) for i in range(8)], "doc_id long, quality int, toxic int")
+    langs = docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "x").otherwise("y"))
+    for got in (
+        suffix_dedup.remove_repeats(docs, 200),
+        near_dedup.keep_one(docs, 5, 80),
+        exact_dedup.keep_new(docs, exact_dedup.new_index(spark, 2)),
+        quality.score(docs, quality.learn(docs, labels)),
+        langid.predict(docs, langid.learn(langs)),
+        toxicity.score(docs, toxicity.learn(docs, labels)),
+    ):
+        assert got.columns[: len(docs.columns)] == docs.columns
+        found = got.collect()
+        assert found and all(r[c] == f"{c}{r['doc_id']}" for r in found for c in inside)
+
+
+def test_run_on_odd_and_empty_tables(spark, table, tmp_path):
+    """Null texts and ids, no labels, no documents."""
+    import corpus_pipeline
+
+    odd = [(None, "no id", None, None, None), (1, None, None, None, None), (1, None, None, None, None), (2, "", "en", "s", 0)]
+    for k, rows in enumerate((odd, [])):
+        folder = f"{tmp_path}/{k}"
+        table(rows, COLUMNS).write.parquet(f"{folder}/documents.parquet")
+        table([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        done = corpus_pipeline.run(spark, folder)
+        # without labels every score is 0.5, below the threshold
+        assert done.count() == 0 and "sequence_id" in done.columns
+
+
 def test_registration():
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
-@pytest.mark.parametrize("name", ["op5_chat", "op8_exact_dedup"])
+@pytest.mark.parametrize("name", ["op5_chat", "op8_exact_dedup", "op11_negatives"])
 def test_queries_match_their_sql(spark, name):
     import sys
     from pathlib import Path

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wattloom.llm import scan
-from wattloom.llm.common import quoted, text_or_empty
+from wattloom.llm.common import free_name, quoted, text_or_empty
 
 #: Trigrams are hashed into so many cells; the model's size is this times the languages.
 CELLS = 1 << 16
@@ -146,8 +146,8 @@ def predict(docs: DataFrame, model: Languages, text_col: str = "text") -> DataFr
     so is every text when no language was learned.  Equal likelihoods go to the
     language that sorts first.  Columns of these names are replaced.
     """
-    held, clash = "__text_to_identify", ["lang_pred", "score", "shares"]
-    rest = docs.drop(*[c for c in clash if c in docs.columns])
+    rest = docs.drop(*[c for c in ("lang_pred", "score", "shares") if c in docs.columns])
+    held = free_name(rest.columns, "text_to_identify")
     plain = F.when(quoted(text_col).cast("string").rlike(r"\p{L}"), quoted(text_col).cast("string"))
     added = "lang_pred string, score double, shares array<double>"
     schema = StructType(rest.schema.fields + StructType.fromDDL(added).fields)
@@ -156,7 +156,7 @@ def predict(docs: DataFrame, model: Languages, text_col: str = "text") -> DataFr
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = batch[held]
+            text = batch.column(batch.num_columns - 1)
             none = text.is_null().to_numpy(zero_copy_only=False) | (k == 0)
             if k:
                 best, score, shares = model.infer(text)

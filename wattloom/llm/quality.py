@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from wattloom.llm import scan
-from wattloom.llm.common import quoted, text_or_empty
+from wattloom.llm.common import free_name, quoted, text_or_empty
 
 #: About so many labelled documents at most are fitted on, taken by a hash of their ids.
 MAX_LABELLED = 20_000
@@ -176,13 +176,13 @@ def score(docs: DataFrame, model: Ranking, text_col: str = "text", name: str = "
 
     Null and empty texts are scored from their (empty) features.
     """
-    held = "__text_to_score"
     rest = docs.drop(name) if name in docs.columns else docs
+    held = free_name(rest.columns, "text_to_score")
     schema = StructType([*rest.schema.fields, StructField(name, DoubleType())])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            s = pa.array(model.score(features(batch[held])))
+            s = pa.array(model.score(features(batch.column(batch.num_columns - 1))))
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*kept, s], names=[*batch.schema.names[:-1], name])
 

@@ -87,7 +87,7 @@ FROM t JOIN g USING (text)
 )
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents against a new index."""
-    return exact_dedup.deduplicate(table(spark, folder, "documents"), exact_dedup.new_index(spark))
+    return exact_dedup.deduplicate(table(spark, folder, "documents"), exact_dedup.new_index(spark), batch="documents")
 
 
 def _tokens(name: str) -> str:
