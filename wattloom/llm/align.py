@@ -14,7 +14,6 @@ bounds the table of link counts, whatever the corpus.
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,11 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattloom.llm.bpe import PieceCache, little_endian, pieces
+from wattloom.llm.bpe import pieces
 from wattloom.llm.common import quoted, text_or_empty, written
+from wattloom.llm.filetok import FileTokenizer, byte_level_tokens
 
 #: Characters of text aligned at once (a longer text is aligned alone).
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 
 
 # --- shared cuts -----------------------------------------------------------------
@@ -99,24 +99,6 @@ def shared_cuts(a: np.ndarray, b: np.ndarray, spans: np.ndarray) -> tuple[np.nda
 # --- vocabularies ------------------------------------------------------------------
 
 
-def _byte_letters() -> dict[str, int]:
-    """The letters that stand for bytes in a byte-level vocabulary."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {**{chr(b): b for b in shown}, **{chr(256 + k): b for k, b in enumerate(hidden)}}
-
-
-def byte_level_tokens(path: str) -> list[bytes]:
-    """The bytes of each id of a byte-level BPE file."""
-    from tokenizers import Tokenizer
-
-    letters, known = _byte_letters(), Tokenizer.from_file(path).get_vocab()
-    out = [b""] * (max(known.values()) + 1)
-    for token, i in known.items():
-        out[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
-    return out
-
-
 def piece_tokens(path: str) -> list[bytes]:
     """The bytes of each id of a sentence-piece model; none for its control ids."""
     import sentencepiece
@@ -169,7 +151,7 @@ def _digits(n: int) -> tuple[np.ndarray, np.ndarray]:
 class Pair:
     """Two tokenizers, loaded once a worker."""
 
-    a_cache: PieceCache
+    a_model: FileTokenizer
     b_model: object
     a_bytes: list[bytes]
     b_bytes: list[bytes]
@@ -183,7 +165,7 @@ class Pair:
         """The ids of each text: space and text by the first, the text by the second."""
         a, empty = [], np.zeros(0, np.int64)
         for _, _, items, counts in pieces([" " + t for t in texts]):
-            got, at = self.a_cache.look_up(items), 0
+            got, at = self.a_model.cache.look_up(items), 0
             for n in counts.tolist():
                 a.append(np.frombuffer(b"".join(got[at : at + n]), "<u4").astype(np.int64))
                 at += n
@@ -197,18 +179,10 @@ _pairs: dict[tuple[str, str], Pair] = {}
 def tokenizers(a_path: str, b_path: str) -> Pair:
     """The process's pair of tokenizers."""
     if (a_path, b_path) not in _pairs:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
-
-        first = Tokenizer.from_file(a_path)
-        first.encode_special_tokens = True  # their strings in a text are plain text
-
-        def encode(items: list[str]) -> list[bytes]:
-            return [little_endian(x.ids) for x in first.encode_batch_fast(items, add_special_tokens=False)]
 
         _pairs[a_path, b_path] = Pair(
-            PieceCache(encode), sentencepiece.SentencePieceProcessor(model_file=b_path),
+            FileTokenizer(a_path, specials=False), sentencepiece.SentencePieceProcessor(model_file=b_path),
             byte_level_tokens(a_path), piece_tokens(b_path),
         )
     return _pairs[a_path, b_path]

@@ -10,8 +10,6 @@ there; the last windows of a merging task are cut at powers of two.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -22,16 +20,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.align import byte_level_tokens
-from wattloom.llm.bpe import PieceCache, little_endian, pieces
+from wattloom.llm.bpe import little_endian, pieces
 from wattloom.llm.common import quoted, text_or_empty, written
+from wattloom.llm.filetok import FileTokenizer
 
 #: Open windows in a task.
 OPEN = 64
 #: Partitions whose open windows one merging task gets.
 MERGE = 16
-#: Words joined to one text.
-JOINED = 64
 SCHEMA = (
     "doc_id long, start long, length long, doc_tokens long, sequence_id long, "
     "offset long, ids_crc32 long, ids binary, open boolean"
@@ -118,40 +114,6 @@ def _batch(sequences: list[tuple[int, list]], is_open: bool, with_ids: bool) ->
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
-class FileTokenizer:
-    """A byte-level tokenizer file; ids of pieces are cached as long as the worker lives."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        self.sizes = np.array([len(x) for x in byte_level_tokens(path)])
-        self.cache = PieceCache(self.encode)
-        special = [re.escape(t.content) for t in self.model.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(special)) if special else None
-
-    def encode(self, items: list[str]) -> list[bytes]:
-        """Ids of each piece.  Words after a space are encoded many at a time, joined to one text:
-        pre-tokenisation cuts it into the same words again."""
-        out: dict[str, bytes] = {}
-        words = [x for x in items if x[0] == " " and x[1:].isalpha()]
-        parts = [words[lo : lo + JOINED] for lo in range(0, len(words), JOINED)]
-        for part, found in zip(parts, self.model.encode_batch_fast(list(map("".join, parts)), add_special_tokens=False)):
-            ids = np.array(found.ids, "<u4")
-            ends = np.cumsum(self.sizes[ids])
-            bounds = np.cumsum([len(x.encode()) for x in part])
-            place = np.searchsorted(ends, bounds)
-            if len(ends) and ends[-1] == bounds[-1] and (ends[place] == bounds).all():
-                raw, cuts = ids.tobytes(), ((place + 1) * 4).tolist()
-                out.update(zip(part, map(raw.__getitem__, map(slice, [0, *cuts], cuts))))
-        rest = [x for x in items if x not in out]
-        if rest:
-            got = self.model.encode_batch_fast(rest, add_special_tokens=False)
-            out.update((x, little_endian(y.ids)) for x, y in zip(rest, got))
-        return [out[x] for x in items]
-
-
 _tokenizers: dict[str, FileTokenizer] = {}
 
 
