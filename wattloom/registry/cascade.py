@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.calendar import align_hour
 from wattloom.functions.text import col
-from wattloom.operators import disagg, mapping, reconcile, shapes, shares
+from wattloom.operators import disagg, mapping, reconcile, shapes, shares, vectors
 from wattloom.operators.shares import Target
 from wattloom.plans import workflow
 from wattloom.registry.core import LINES_SQL, Tables, query, rounded
@@ -106,6 +106,25 @@ def hourly_table(t: Tables) -> DataFrame:
     return out.withColumn("sector", F.lit("com"))
 
 
+def year_of_hours(t: Tables) -> vectors.Calendar:
+    """The hours that the readings cover."""
+    return vectors.calendar_of(t("events").select(align_hour(col("ts"), None).alias(shapes.HOUR)))
+
+
+def vector_table(t: Tables, calendar: vectors.Calendar) -> DataFrame:
+    """Hourly multipliers by customer and event type, a year in a row."""
+    sums = shares.sum_by(
+        t("events").select(
+            col("user_id").alias("county"), col("event_type").alias("shape_ts"),
+            align_hour(col("ts"), None).alias(shapes.HOUR), "value",
+        ).dropna(subset=["county", "shape_ts"]),
+        ["county", "shape_ts", shapes.HOUR],
+        {"v": col("value")},
+    )
+    rows = [Target("v", use, fuel) for use in FLAGS for fuel in ("Electric", "Natural Gas")]
+    return vectors.share_vectors(sums, calendar, ["county", "shape_ts"], {"v": rows}, "com")
+
+
 def county_annual(t: Tables) -> DataFrame:
     return disagg.disaggregate_annual(
         projection(t), disagg.stage_groups(measure_map(t)), annual_table(t)
@@ -232,11 +251,58 @@ def disaggregate_hourly_blocks(t: Tables):
     return rounded(county_hourly(t, hour_blocks=4), {"county_hourly_uncal_kwh": 4})
 
 
+@query(
+    "hourly_vectors",
+    f"""
+WITH {HOURLY_SQL}
+SELECT {RESULT_SQL}, ROUND(SUM(kwh), 4) AS county_hourly_uncal_kwh
+FROM exploded GROUP BY county, reg, year, turnover, run_id, end_use, fuel, timestamp_hour, sector
+""",
+)
+def hourly_vectors(t: Tables):
+    """Counties to hours with a year as one vector: no join on hours, hours as rows at the end."""
+    calendar = year_of_hours(t)
+    out = vectors.disaggregate_vectors(
+        county_annual(t),
+        disagg.stage_shapes(measure_map(t)),
+        vector_table(t, calendar),
+        calendar,
+        ["county"],
+        carry=("county", "in.state", "year", "turnover", "run_id"),
+    )
+    return rounded(vectors.hour_rows(out, calendar), {"county_hourly_uncal_kwh": 4})
+
+
 def _some_hours_unknown(hourly: DataFrame) -> DataFrame:
     unknown = F.hour("timestamp_hour") == 5
     return hourly.withColumn("timestamp_hour", F.when(~unknown, col("timestamp_hour")))
 
 
+@query(
+    "hourly_vectors_null_hours",
+    f"""
+WITH {HOURLY_SQL},
+dated AS (
+  SELECT * REPLACE (CASE WHEN HOUR(timestamp_hour) = 5 THEN NULL ELSE timestamp_hour END AS timestamp_hour)
+  FROM exploded)
+SELECT {RESULT_SQL}, ROUND(SUM(kwh), 4) AS county_hourly_uncal_kwh
+FROM dated GROUP BY county, reg, year, turnover, run_id, end_use, fuel, timestamp_hour, sector
+""",
+)
+def hourly_vectors_null_hours(t: Tables):
+    """Vectors from a multiplier table of which some hours are not known; their energy stays."""
+    calendar = year_of_hours(t)
+    used = disagg.stage_shapes(measure_map(t))
+    years = vectors.hourly_vectors(
+        _some_hours_unknown(hourly_table(t)), calendar, ["county", "shape_ts", "end_use", "fuel"], used=used
+    )
+    out = vectors.disaggregate_vectors(
+        county_annual(t), used, years, calendar, ["county"],
+        carry=("county", "in.state", "year", "turnover", "run_id"),
+    )
+    return rounded(vectors.hour_rows(out, calendar), {"county_hourly_uncal_kwh": 4})
+
+
 @query(
     "hourly_blocks_null_hours",
     f"""
@@ -434,8 +500,8 @@ KIND_SQL += (
 )
 
 
-def kinds(t: Tables) -> DataFrame:
-    """Hourly kWh under three alternative maps in one plan."""
+def kinds(t: Tables, calendar: vectors.Calendar) -> DataFrame:
+    """Hourly kWh under three alternative maps in one plan, a year in a row."""
     annual = county_annual(t)
     maps = mapping.tagged_variants(
         {
@@ -443,11 +509,12 @@ def kinds(t: Tables) -> DataFrame:
             for name, shift in KINDS.items()
         }
     )
-    # The kind travels like a projection key: one presum, one hourly join.
-    return disagg.disaggregate_hourly(
+    # The kind travels like a projection key: one presum, one product a county.
+    return vectors.disaggregate_vectors(
         annual,
         maps,
-        hourly_table(t),
+        vector_table(t, calendar),
+        calendar,
         ["county"],
         carry=("county", "in.state", "year", "turnover", "run_id", "kind"),
         keep_unmatched=False,
@@ -466,11 +533,8 @@ GROUP BY timestamp_hour, reg, year, end_use, kind
 )
 def whatif_map_kinds(t: Tables):
     """State hours under what-if maps, tagged by kind."""
-    out = disagg.hourly_totals_by_kind(
-        kinds(t),
-        ["timestamp_hour", "in.state", "year", "end_use"],
-        value="county_hourly_uncal_kwh",
-    )
+    calendar = year_of_hours(t)
+    out = vectors.group_hours(kinds(t, calendar), ["in.state", "year", "end_use", "kind"], calendar)
     return rounded(out, {"state_hourly_kwh": 4})
 
 
@@ -498,11 +562,12 @@ FROM months JOIN members USING (kind)
 )
 def whatif_combinations(t: Tables):
     """Monthly totals per combination of kinds, one row per contributing kind."""
-    monthly = kinds(t).withColumn("month", F.month("timestamp_hour"))
+    calendar = year_of_hours(t)
+    states = vectors.group_hours(kinds(t, calendar), ["in.state", "year", "end_use", "kind"], calendar)
     out = disagg.combination_totals(
-        monthly,
+        states.withColumn("month", F.month("timestamp_hour")),
         COMBINATIONS,
         ["in.state", "year", "month", "end_use"],
-        value="county_hourly_uncal_kwh",
+        value="state_hourly_kwh",
     )
     return rounded(out, {"state_monthly_kwh": 4})
