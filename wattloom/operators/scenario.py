@@ -70,15 +70,22 @@ def _number(text: Column, where: Column) -> Column:
     return F.when(text.isNotNull() & (text != "null"), F.coalesce(value, bad.cast("double")))
 
 
+def measure_bodies(members: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """``measure_objects`` from measures that were cut out already (``sources.ranges``)."""
+    return members.select(*cols([*keep, "meas"]), _parsed(col(text), TEXT_MAP, "measure").alias("body"))
+
+
 def flatten_scenario(
-    documents: DataFrame, text: str = "value", keep: Sequence[str] = ()
+    documents: DataFrame, text: str = "value", keep: Sequence[str] = (), cut: bool = False
 ) -> DataFrame:
     """Rows (measure, adoption, metric, region, type, end use, fuel, year, value).
 
     Paths without a fuel level belong to electricity: the level after the end
     use then maps years straight to numbers.  Both depths may occur side by side.
+    With ``cut`` a row of ``documents`` is one measure (see ``measure_bodies``).
     """
-    out = measure_objects(documents, text, keep).select(
+    bodies = measure_bodies if cut else measure_objects
+    out = bodies(documents, text, keep).select(
         *cols([*keep, "meas"]),
         _parsed(F.try_element_at(col("body"), F.lit(CATEGORIES)), CATEGORY_MAP, "categories").alias(
             "__rest"
@@ -101,14 +108,15 @@ def flatten_scenario(
 
 
 def gap_weights(
-    documents: DataFrame, text: str = "value", keep: Sequence[str] = (), key: str | None = None
+    documents: DataFrame, text: str = "value", keep: Sequence[str] = (), key: str | None = None, cut: bool = False
 ) -> DataFrame:
     """(measure, building type, year) -> share not covered by the building models.
 
     ``key`` is the name under which a measure holds its weights.  Without it that is
     the one name ending in ``WEIGHTS_SUFFIX``; several such names are an error.
+    With ``cut`` a row of ``documents`` is one measure (see ``measure_bodies``).
     """
-    bodies = measure_objects(documents, text, keep)
+    bodies = (measure_bodies if cut else measure_objects)(documents, text, keep)
     named = F.map_filter(
         col("body"), lambda k, _: k == key if key else k.endswith(WEIGHTS_SUFFIX)
     )

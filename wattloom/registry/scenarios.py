@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.text import col
 from wattloom.operators import scenario, stock, wide
 from wattloom.registry.core import LINES_SQL, Tables, nudged, query, rounded
+from wattloom.session import shared_folder
+from wattloom.sources import ranges
 
 METRICS = (scenario.EFFICIENT, scenario.MEASURE, scenario.ENVELOPE, scenario.BASELINE)
 KEYS = ["meas", "reg", "bldg_type", "end_use", "fuel", "year"]
@@ -174,6 +178,45 @@ def flatten_scenario(t: Tables):
     return rounded(out, {"value": 4})
 
 
+RANGE_BYTES = 64 * 1024
+
+
+def cut_measures(t: Tables) -> DataFrame:
+    """The documents as files, read again in ranges much smaller than a document."""
+    folder = f"{shared_folder(t.spark)}/documents-{uuid.uuid4().hex}"
+    # one document a file, as scenario files are
+    documents(t).repartition("scenario").write.partitionBy("scenario").text(folder)
+    return ranges.read_measure_texts(t.spark, folder, keep=["scenario"], range_bytes=RANGE_BYTES)
+
+
+@query(
+    "flatten_scenario_ranges",
+    f"""
+WITH {ROWS_SQL}
+SELECT reg AS scenario, meas, 'Max' AS adoption_scn, metric, reg, bldg_type, end_use, fuel,
+  year, ROUND(value, 4) AS value
+FROM ({UNPIVOT_SQL.format(", ".join(KEYS))})
+""",
+)
+def flatten_scenario_ranges(t: Tables):
+    """Every document read by many tasks, a range of bytes each."""
+    out = scenario.flatten_scenario(cut_measures(t), "text", keep=["scenario"], cut=True)
+    return rounded(out, {"value": 4})
+
+
+@query(
+    "scenario_weights_ranges",
+    f"""
+WITH {ROWS_SQL}, {WEIGHTS_SQL}
+SELECT reg AS scenario, w.meas, w.bldg_type, w.year, gap_weight
+FROM weights w JOIN (SELECT DISTINCT meas, reg FROM summed) USING (meas)
+""",
+)
+def scenario_weights_ranges(t: Tables):
+    """Weights from the measures that were cut out of ranges."""
+    return scenario.gap_weights(cut_measures(t), "text", keep=["scenario"], cut=True)
+
+
 @query(
     "flatten_scenario_dirty",
     f"""
