@@ -35,6 +35,9 @@ def scans(plan, table):
         ("weighted_split", {"lineitem": 1}),
         ("stock_counts", {"lineitem": 1}),
         ("shares_three_levels", {"lineitem": 1}),
+        ("day_profiles", {"lineitem": 1}),
+        ("scenario_max_day", {"lineitem": 1}),
+        ("conservation_grouping_sets", {"lineitem": 2}),
     ],
 )
 def test_facts_are_scanned_once(spark, name, expected):

@@ -176,13 +176,16 @@ def day_profiles(
 
     ``keys`` identify a place and year; each scenario's peak day is looked up in
     every scenario of the same place, year and month.  Equal hours are resolved
-    in favour of the earlier one.
+    in favour of the earlier one.  Rows with a NULL key or hour have no profile.
     """
     base = (
         hour_totals.withColumn("month", F.month(col(hour)))
         .withColumn("date", F.date_trunc("day", col(hour)))
         .withColumn("hour_of_day", hour_of_day(col(hour)))
     )
+    # what the joins below would filter in their own branches: all share one computation
+    for key in [*keys, "month", "date"]:
+        base = base.filter(col(key).isNotNull())
     early = -F.unix_micros(col(hour).cast("timestamp"))
     days = base.groupBy(*cols([*keys, scenario, "month"])).agg(
         F.max_by(col("date"), F.struct(col(value), early)).alias("peak"),
@@ -289,8 +292,10 @@ def rows_of_maximum_day(
     ``candidates`` limits which rows may set the maximum; the rows returned are
     of the same group and day, whatever they are.  Tied days all stay.
     """
-    # The condition is part of the maximum, not a filter: all three uses of ``df``
-    # then share one computation of it.
+    # The condition is part of the maximum, not a filter, and the joins' NULL filters are
+    # made once: all uses of ``df`` then share one computation of it.
+    for key in [*group, day]:
+        df = df.filter(col(key).isNotNull())
     pool = col(value) if candidates is None else F.when(candidates, col(value))
     per_day = df.groupBy(*cols([*group, day])).agg(F.max(pool).alias("__day_max"))
     best = per_day.groupBy(*cols(group)).agg(F.max("__day_max").alias("__max"))

@@ -253,3 +253,53 @@ def shape_status(
         zero_if_null(b).alias(names[1]),
         status.alias("status"),
     )
+
+
+def conservation_sets(
+    before: DataFrame,
+    after: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    scopes: Mapping[str, Column],
+    subsets: Sequence[Sequence[str]] = ((),),
+) -> DataFrame:
+    """Before/after sums per key, per subset of the keys and in all, from one aggregation.
+
+    ``scopes`` maps a scope's name to a condition on the keys; a row may be in several.
+    Every scope has its detail (all ``keys``) and one set of totals for each of ``subsets``
+    (``()`` is the scope's grand total).  ``level`` counts the keys that are summed away
+    (0 is the detail) and a summed key reads ``ALL``; a key that is NULL in the data stays NULL.
+    """
+    parts = [
+        table.select(
+            *cols(keys),
+            (col(value) if side == 0 else F.lit(None)).cast("double").alias("kwh_before"),
+            (col(value) if side == 1 else F.lit(None)).cast("double").alias("kwh_after"),
+        )
+        for side, table in enumerate((before, after))
+    ]
+    named = F.array(*[F.when(hit, F.lit(name)) for name, hit in scopes.items()])
+    scoped = parts[0].unionByName(parts[1]).withColumn(
+        "scope", F.explode(F.filter(named, lambda s: s.isNotNull()))
+    )
+    sets = list(dict.fromkeys([tuple(keys), *[tuple(s) for s in subsets]]))
+    summed = scoped.groupingSets(
+        [[col("scope"), *cols(s)] for s in sets], col("scope"), *cols(keys)
+    ).agg(
+        zero_if_null(F.sum("kwh_before")).alias("kwh_before"),
+        zero_if_null(F.sum("kwh_after")).alias("kwh_after"),
+        *[F.grouping(col(k)).alias(f"__all_{i}") for i, k in enumerate(keys)],
+    )
+    away = [col(f"__all_{i}") for i in range(len(keys))]
+    level = away[0].cast("int")
+    for flag in away[1:]:
+        level = level + flag.cast("int")
+    return summed.select(
+        *[F.when(flag == 1, F.lit("ALL")).otherwise(col(k).cast("string")).alias(k) for k, flag in zip(keys, away)],
+        "kwh_before",
+        "kwh_after",
+        (col("kwh_after") - col("kwh_before")).alias("delta"),
+        percent_delta(col("kwh_before"), col("kwh_after")).alias("pct_delta"),
+        level.alias("level"),
+        col("scope"),
+    )

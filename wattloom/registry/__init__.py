@@ -15,6 +15,7 @@ from wattloom.registry import (  # noqa: F401
     hourly,
     publication,
     scenarios,
+    storage,
 )
 from wattloom.registry.core import ORACLE, QUERIES
 

@@ -17,6 +17,11 @@ RUNTIME_SETTINGS = {
     # Lets a join and the aggregate above it share one exchange when they
     # are clustered on a subset of the join keys (see operators.disagg).
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # A filtered building table that is too large to broadcast still sends a
+    # Bloom filter of its keys below the shuffle of the series.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "10GB",
 }
 
 
