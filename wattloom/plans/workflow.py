@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.calendar import epoch_nanos_to_timestamp, wrap_year
 from wattloom.functions.text import col, cols
-from wattloom.operators import calibrate, disagg, peaks, reconcile, scenario, shapes, wide
+from wattloom.operators import calibrate, disagg, peaks, reconcile, scenario, shapes, stock, wide
 from wattloom.operators.mapping import unmapped_measures, unmapped_packages
 from wattloom.plans import commercial as com
 from wattloom.plans import residential as res
@@ -453,9 +453,14 @@ def run_all(
     layout: Layout,
     run: str,
     hour_blocks: int = 4,
+    years: tuple[int, int] | None = None,
 ) -> dict[str, str]:
     """Run every stage and return the paths written.
 
+    After the tables come the checks, of which each writes the rows it rejects
+    (``check_...``; an empty table is a pass), the published tables, and with ``years``
+    (the first and last year to compare) the extracts (``extract_...``).
+
     ``hour_blocks`` splits the year of one place over so many tasks, as one
     weather place may serve many counties.  ``baseline_conflicts`` lists baseline
     values on which scenarios disagree, ``unstampable_hours`` counts the hours
@@ -520,4 +525,48 @@ def run_all(
     )
     stage("unstampable_hours", wide.unstampable(long_hourly), [])
     stage("wide_annual_state", wide.wide_annual(projected, long_hourly, years=None), ["scenario"])
+
+    long_annual = spark.read.parquet(written["long_county_annual"])
+    checks = {
+        **{f"multipliers_{n}": df for n, df in multiplier_checks(annual, hourly).items()},
+        **{f"coverage_{n}": df for n, df in coverage_checks(projected, measure_map, annual, counties, hourly).items()},
+        **{f"levels_{n}": df for n, df in county_checks(projected, long_annual, long_hourly).items()},
+        "unmapped_measures": unmapped_measures(projected, measure_map),
+    }
+    for name, df in checks.items():
+        stage(f"check_{name}", df, [])
+    published = publish(
+        long_hourly, spark.read.parquet(written["wide_county_hourly"]), hourly["com"], layout
+    )
+    written.update(published)
+    for name, df in (extracts(long_hourly, *years) if years else {}).items():
+        stage(f"extract_{name}", df, [])
     return written
+
+
+# --- stock ---------------------------------------------------------------------
+
+
+def stock_tables(
+    documents: DataFrame,
+    division_buildings: DataFrame,
+    state_shares: DataFrame,
+    on: Sequence[str],
+    keep: Sequence[str] = ("scenario",),
+    text: str = "value",
+    cut: bool = False,
+) -> dict[str, DataFrame]:
+    """Households and commercial buildings of all scenarios, from one read of their documents."""
+    rows = scenario.flatten_scenario(documents, text, keep, cut)
+    return {
+        "households": stock.household_counts(rows, keep),
+        "buildings": stock.building_counts(rows, division_buildings, state_shares, on, keep),
+    }
+
+
+def write_stock(tables: Mapping[str, DataFrame], layout: Layout) -> dict[str, str]:
+    """The stock tables as .tsv, sorted by scenario, year and state."""
+    paths = {name: layout(f"{name}.tsv") for name in tables}
+    for name, df in tables.items():
+        writers.write_extract(df, paths[name], "\t", ["scenario", "year", "state"])
+    return paths

@@ -12,6 +12,7 @@ from wattloom.registry import (  # noqa: F401
     catalogue,
     checks,
     extracts,
+    files,
     hourly,
     publication,
     scenarios,

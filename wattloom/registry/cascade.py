@@ -364,10 +364,11 @@ energy AS (
     "res_county_hourly",
     f"""
 WITH {RES_HOURLY_SQL}
-SELECT e.county AS "in.county", e.reg AS "in.state", e.year, e.end_use, e.fuel,
+SELECT e.county AS "in.county", e.reg AS "in.state", e.year, e.turnover, e.run_id, e.end_use, e.fuel,
   CAST(MONTH(h.timestamp_hour) AS INTEGER) AS month, CASE WHEN h.city IS NOT NULL THEN 'res' END AS sector,
   COUNT(DISTINCT COALESCE(h.timestamp_hour, TIMESTAMP '1900-01-01')) AS n_hours,
-  ROUND(SUM(e.kwh * h.v / NULLIF(t.total, 0)), 3) AS kwh
+  ROUND(SUM(e.kwh * h.v / NULLIF(t.total, 0)), 3) AS kwh,
+  ROUND(SUM(e.kwh * h.v / NULLIF(t.total, 0) * (DAY(h.timestamp_hour) * 24 + HOUR(h.timestamp_hour))), 1) AS kwh_by_hour
 FROM energy e
   LEFT JOIN hour_sums h ON h.city = 'W' || (e.county % 7)
     AND h.lon = CAST(e.county % 3 AS VARCHAR) AND h.shape_ts = e.shape_ts
@@ -378,16 +379,22 @@ GROUP BY ALL
 def res_county_hourly(t: Tables):
     """Residential counties through the hours of their weather places, years split over tasks.
 
-    Every county's hours by month: their number and their sum.
+    Every county's hours by month: their number, their sum, and their sum weighted by the hour.
     """
     annual = county_annual(t).withColumns(_weather(col("county"))).withColumnRenamed("county", "in.county")
     hourly = workflow.county_hourly(annual, measure_map(t), weather_hours(t), "res", hour_blocks=4)
     out = hourly.groupBy(
-        *[col(n) for n in ("in.county", "in.state", "year", "end_use", "fuel")],
+        *[col(n) for n in ("in.county", "in.state", "year", "turnover", "run_id", "end_use", "fuel")],
         F.month("timestamp_hour").alias("month"),
         "sector",
-    ).agg(F.count(F.lit(1)).alias("n_hours"), F.sum("county_hourly_uncal_kwh").alias("kwh"))
-    return rounded(out, {"kwh": 3})
+    ).agg(
+        F.count(F.lit(1)).alias("n_hours"),
+        F.sum("county_hourly_uncal_kwh").alias("kwh"),
+        F.sum(
+            col("county_hourly_uncal_kwh") * (F.dayofmonth("timestamp_hour") * 24 + F.hour("timestamp_hour"))
+        ).alias("kwh_by_hour"),
+    )
+    return rounded(out, {"kwh": 3, "kwh_by_hour": 1})
 
 
 @query(

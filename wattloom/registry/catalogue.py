@@ -288,14 +288,16 @@ def _hourly_sql(sector: str, place: tuple[str, ...], weight: str) -> str:
         for x in p.targets:
             guard = f" WHERE {x.measure}_total > 0" if x.guard else ""
             branches.append(
-                f"""SELECT shape_ts, '{x.end_use}' AS end_use, '{x.fuel}' AS fuel, timestamp_hour,
+                f"""SELECT shape_ts, '{x.end_use}' AS end_use, '{x.fuel}' AS fuel, timestamp_hour, CAST("{place[0]}" AS VARCHAR) AS place,
     {x.measure}_kwh AS kwh, {x.measure}_kwh / NULLIF({x.measure}_total, 0) AS m
   FROM h_{p.name}{guard}"""
             )
     union = "\n  UNION ALL\n  ".join(branches)
     return f"""WITH {", ".join(ctes)}
 SELECT shape_ts, end_use, fuel, CAST(MONTH(timestamp_hour) AS INTEGER) AS month,
-  COUNT(*) AS n_rows, ROUND(SUM(kwh), 2) AS kwh, ROUND(SUM(m), 7) AS multiplier_sum
+  COUNT(*) AS n_rows, ROUND(SUM(kwh), 2) AS kwh, ROUND(SUM(m), 7) AS multiplier_sum,
+  ROUND(SUM(m * (DAY(timestamp_hour) * 24 + HOUR(timestamp_hour))), 5) AS by_hour,
+  ROUND(SUM(m * (ascii(right(place, 1)) + 3 * length(place))), 5) AS by_place
 FROM ({union}) GROUP BY ALL"""
 
 
@@ -309,14 +311,18 @@ def _hourly(t: Tables, sector: str, place: tuple[str, ...], weight: str | None)
         buildings(t, sector), linked, profiles, place, shapes.aligned(), weight, on
     )
     hours = shapes.hourly_multipliers(sums, profiles, place, sector)
+    share, name = F.col("multiplier_hourly"), col(place[0]).cast("string")
     out = hours.groupBy(
         "shape_ts", "end_use", "fuel", F.month("timestamp_hour").alias("month")
     ).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("kwh").alias("kwh"),
         F.sum("multiplier_hourly").alias("multiplier_sum"),
+        # an hour moved inside its month, or a share given to another place, shows here
+        F.sum(share * (F.dayofmonth("timestamp_hour") * 24 + F.hour("timestamp_hour"))).alias("by_hour"),
+        F.sum(share * (F.ascii(F.right(name, F.lit(1))) + 3 * F.length(name))).alias("by_place"),
     )
-    return rounded(out, {"kwh": 2, "multiplier_sum": 7})
+    return rounded(out, {"kwh": 2, "multiplier_sum": 7, "by_hour": 5, "by_place": 5})
 
 
 @query("res_hourly_catalogue", _hourly_sql("res", ("in.weather_file_city", "in.state"), "1"))

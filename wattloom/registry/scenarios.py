@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.text import col
 from wattloom.operators import scenario, stock, wide
-from wattloom.registry.core import LINES_SQL, Tables, nudged, query, rounded
+from wattloom.plans import workflow
+from wattloom.registry.core import LINES_SQL, ORACLE, Tables, query, rounded
 from wattloom.session import shared_folder
-from wattloom.sources import ranges
+from wattloom.sources import ranges, readers
 
 METRICS = (scenario.EFFICIENT, scenario.MEASURE, scenario.ENVELOPE, scenario.BASELINE)
 KEYS = ["meas", "reg", "bldg_type", "end_use", "fuel", "year"]
@@ -106,8 +107,8 @@ weights AS (
   GROUP BY ALL)"""
 
 
-def documents(t: Tables, given: DataFrame | None = None) -> DataFrame:
-    """One JSON document per state, nested like a scenario file.
+def documents(t: Tables, given: DataFrame | None = None, name: str = "reg") -> DataFrame:
+    """One JSON document per state (or other column ``name``), nested like a scenario file.
 
     A document's size is fixed by its dimensions (types x uses x years), not by
     the number of line items behind it.
@@ -116,7 +117,7 @@ def documents(t: Tables, given: DataFrame | None = None) -> DataFrame:
     rows = (scenario_rows(t) if given is None else given).withColumns(
         {
             "adoption_scn": F.lit("Max"),
-            "doc": col("reg"),
+            "doc": col(name),
             "year": col("year").cast("string"),
         }
     )
@@ -548,12 +549,20 @@ spread AS (
   SELECT year, state, SUM(n * s) AS n_bldgs
   FROM division FULL JOIN allocation USING (o_orderpriority) GROUP BY ALL)
 SELECT h.year, h.reg AS state, h.scenario, ROUND(n_bldgs, 4) AS N_bldgs,
-  ROUND(n_bldgs * share_elec * (1 + 1e-12), 5) AS N_bldgs_elec_heat
+  ROUND(n_bldgs * share_elec, 8) AS N_bldgs_elec_heat
 FROM shares h LEFT JOIN spread p ON h.reg = p.state AND h.year = p.year
 """,
 )
 def electric_share_buildings(t: Tables):
     """Commercial buildings by state, and those heated electrically."""
+    out = stock.building_counts(
+        stock_rows(t, stock.BASE_SERVED, stock.MEASURE_SERVED), *_allocation(t), ["o_orderpriority"]
+    )
+    return rounded(out, {"N_bldgs": 4, "N_bldgs_elec_heat": 8})
+
+
+def _allocation(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Buildings by division and type, and the states' shares of them."""
     division = t.orders().groupBy(
         "o_orderpriority", F.year("o_orderdate").alias("year")
     ).agg(F.count(F.lit(1)).cast("double").alias("N_bldgs_CDIV"))
@@ -563,14 +572,31 @@ def electric_share_buildings(t: Tables):
         .groupBy("o_orderpriority", col("state").alias("in.state"))
         .agg((F.count(F.lit(1)) / 1000.0).alias("cdiv_share"))
     )
-    out = stock.building_counts(
-        stock_rows(t, stock.BASE_SERVED, stock.MEASURE_SERVED),
-        division,
-        allocation,
-        ["o_orderpriority"],
+    return division, allocation
+
+
+def _stock_files(t: Tables) -> dict[str, DataFrame]:
+    """Documents of all scenarios to counts to .tsv, read back."""
+    rows = stock_rows(t, stock.BASE_UNITS, stock.MEASURE_UNITS).unionByName(
+        stock_rows(t, stock.BASE_SERVED, stock.MEASURE_SERVED)
     )
-    out = nudged(out, "N_bldgs_elec_heat")
-    return rounded(out, {"N_bldgs": 4, "N_bldgs_elec_heat": 5})
+    found = workflow.stock_tables(documents(t, rows, "scenario"), *_allocation(t), ["o_orderpriority"])
+    layout = workflow.Layout(f"{shared_folder(t.spark)}/stock-{uuid.uuid4().hex}")
+    paths = workflow.write_stock(found, layout)
+    return {n: readers.read_delimited(t.spark, p, found[n].schema) for n, p in paths.items()}
+
+
+@query("stock_pipeline_households", ORACLE["stock_counts"])
+def stock_pipeline_households(t: Tables):
+    """Households of all scenarios from their documents, through the .tsv file."""
+    digits = {"heating_units_total": 2, "heating_units_elec": 2, "cooling_units": 2}
+    return rounded(_stock_files(t)["households"], {**digits, "share_elec_heat": 9, "share_cooling": 9})
+
+
+@query("stock_pipeline_buildings", ORACLE["electric_share_buildings"])
+def stock_pipeline_buildings(t: Tables):
+    """Commercial buildings of all scenarios from their documents, through the .tsv file."""
+    return rounded(_stock_files(t)["buildings"], {"N_bldgs": 4, "N_bldgs_elec_heat": 8})
 
 
 @query(

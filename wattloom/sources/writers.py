@@ -76,10 +76,12 @@ def write_extract(
     """A headed delimited extract of a result.
 
     Written by as many tasks as the result has partitions; with ``order`` the
-    files are range-sorted, so their concatenation is sorted.
+    files are range-sorted, so their concatenation is sorted.  Quotes inside a text
+    are doubled, as ``read_delimited`` expects them.
     """
     out = df.orderBy(*cols(order)) if order else df
-    out.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    writer = out.write.mode("overwrite").option("header", True).option("sep", sep)
+    writer.option("quote", '"').option("escape", '"').csv(path)
 
 
 def write_both(df: DataFrame, folder: str, name: str) -> None:
