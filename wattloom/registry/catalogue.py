@@ -17,8 +17,9 @@ from wattloom.functions.text import col
 from wattloom.operators import shapes
 from wattloom.plans import commercial as com
 from wattloom.plans import residential as res
+from wattloom.plans import workflow
 from wattloom.plans.specs import annual_multipliers
-from wattloom.registry.core import LINES_SQL, Tables, query, rounded
+from wattloom.registry.core import LINES_SQL, PLACES_SQL, Tables, query, rounded
 
 FUELS = {"1-URGENT": "Electricity", "2-HIGH": "Natural Gas", "3-MEDIUM": "Propane"}
 UPGRADES = {1: 0, 2: 0, 3: 0, 4: 16, 5: 28, 6: 11, 7: 0}
@@ -311,6 +312,10 @@ def _hourly(t: Tables, sector: str, place: tuple[str, ...], weight: str | None)
         buildings(t, sector), linked, profiles, place, shapes.aligned(), weight, on
     )
     hours = shapes.hourly_multipliers(sums, profiles, place, sector)
+    return _by_month(hours, place)
+
+
+def _by_month(hours: DataFrame, place: tuple[str, ...]) -> DataFrame:
     share, name = F.col("multiplier_hourly"), col(place[0]).cast("string")
     out = hours.groupBy(
         "shape_ts", "end_use", "fuel", F.month("timestamp_hour").alias("month")
@@ -331,6 +336,95 @@ def res_hourly_catalogue(t: Tables):
     return _hourly(t, "res", ("in.weather_file_city", "in.state"), None)
 
 
+def _as_series(rows: DataFrame) -> DataFrame:
+    """The readings with their stamps as whole nanoseconds."""
+    return rows.withColumn("timestamp", F.unix_micros(col("timestamp").cast("timestamp")) * 1000)
+
+
+@query("hourly_res_places", _hourly_sql("res", ("in.weather_file_city", "in.weather_file_longitude"), "1"))
+def hourly_res_places(t: Tables):
+    """The workflow's residential stage: series collapsed, upgrades in use only, by weather place."""
+    rows = buildings(t, "res")
+    b = workflow.Buildings(rows, _as_series(rows), rows, rows, rows, rows)
+    return _by_month(workflow.hourly_res(b, _maps(t, "res")), tuple(res.WEATHER))
+
+
+def _kitchens(t: Tables) -> workflow.Buildings:
+    """Customers as commercial buildings with three metadata rows each, events as their series."""
+    county = F.concat_ws("-", "state", "c_mktsegment")
+    kind = (
+        F.when(col("c_mktsegment") == "BUILDING", com.COOKING_TYPES[0])
+        .when(col("c_mktsegment") == "FURNITURE", com.COOKING_TYPES[1]).otherwise("Office")
+    )
+    meta = t.places().select(
+        col("c_custkey").alias("bldg_id"), county.alias(com.COUNTY), kind.alias("in.building_type"),
+        (col("c_custkey") % 3 + 1).cast("double").alias("weight"),
+        F.explode(F.array(*[F.lit(u) for u in (0, 7, com.COOKING_UPGRADE)])).alias("upgrade"),
+    )
+    upgrade = F.when(col("event_type").isin("view", "signup"), 0).when(col("event_type") == "error", 7)
+    series = t("events").select(
+        col("user_id").alias("bldg_id"), upgrade.otherwise(com.COOKING_UPGRADE).cast("string").alias("upgrade"),
+        (col("ts") + F.expr("INTERVAL '-1826' DAY")).alias("timestamp"),
+        col("value").alias("out.electricity.interior_equipment.energy_consumption"),
+    )
+    zones = t.places().join(t("nation").select(col("n_name").alias("state"), "n_regionkey"), "state").select(
+        county.alias("in.county"), col("state").alias("in.state"), F.concat(F.lit("z"), "n_regionkey").alias("tz")
+    ).distinct()
+    gap = t.lines().groupBy(
+        county.alias("in.county"),
+        (F.date_trunc("hour", F.col("l_shipdate").cast("timestamp") + F.make_interval(hours=col("l_partkey") % 24))).alias("timestamp"),
+    ).agg(F.sum("l_quantity").alias(com.GAP_VALUE))
+    homes = t.places().select(county.alias("in.county"), col("state").alias("in.state"), F.lit(0).alias("upgrade"))
+    return workflow.Buildings(homes, series, meta, series, gap, zones, spill_year=1998)
+
+
+@query(
+    "cooking_shape",
+    f"""
+WITH {PLACES_SQL},
+kitchens AS (
+  SELECT county AS bldg_id, 'z' || n_regionkey AS tz, 2 * (county % 3 + 1) AS weight
+  FROM places JOIN nation ON n_name = state WHERE c_mktsegment IN ('BUILDING', 'FURNITURE')),
+hours AS (
+  SELECT tz, CASE WHEN YEAR(h) = 1998 THEN h - INTERVAL 1 YEAR ELSE h END AS timestamp_hour,
+    SUM(CASE WHEN event_type IN ('view', 'signup') THEN -value * weight WHEN event_type = 'error' THEN 0 ELSE value * weight END) AS kwh
+  FROM (SELECT *, date_trunc('hour', ts - INTERVAL 1826 DAY) + INTERVAL 1 HOUR AS h FROM events WHERE event_type <> 'error')
+    JOIN kitchens ON user_id = bldg_id GROUP BY ALL),
+shares AS (SELECT *, kwh / NULLIF(SUM(kwh) OVER (PARTITION BY tz), 0) AS m FROM hours),
+zones AS (
+  SELECT DISTINCT state || '-' || c_mktsegment AS county, state, 'z' || n_regionkey AS tz
+  FROM places JOIN nation ON n_name = state)
+SELECT county AS "in.county", state AS "in.state", '{com.COOKING_SHAPE}' AS shape_ts, timestamp_hour,
+  ROUND(kwh, 4) AS kwh, ROUND(m, 9) AS multiplier_hourly, 'com' AS sector, '{com.COOKING}' AS end_use, fuel
+FROM shares JOIN zones USING (tz), (VALUES ('{com.EL}'), ('{com.NG}')) f(fuel)
+""",
+)
+def cooking_shape(t: Tables):
+    """Electric cooking: what the kitchen upgrade adds by time zone, given to every county of the zone."""
+    return rounded(workflow.cooking_shape(_kitchens(t)), {"kwh": 4, "multiplier_hourly": 9})
+
+
+GAP_SQL = f"""
+WITH {LINES_SQL},
+gap AS (
+  SELECT state, c_mktsegment, date_trunc('hour', CAST(l_shipdate AS TIMESTAMP) + to_hours(l_partkey % 24)) AS h,
+    SUM(l_quantity) AS kwh
+  FROM lines GROUP BY ALL),
+shared AS (SELECT *, kwh / SUM(kwh) OVER (PARTITION BY state, c_mktsegment) AS m FROM gap)
+SELECT state || '-' || c_mktsegment AS "in.county", state AS "in.state",
+  CASE WHEN YEAR(h) = 1998 THEN h - INTERVAL 1 YEAR ELSE h END AS timestamp_hour, ROUND(kwh, 4) AS kwh,
+  ROUND(m, 9) AS multiplier_hourly, '{com.EL}' AS fuel, end_use, 'com_gap_ts_1' AS shape_ts, 'com' AS sector
+FROM shared, (VALUES {", ".join(f"('{u}')" for u in com.GAP_END_USES)}) u(end_use)
+"""
+
+
+@query("gap_shape", GAP_SQL)
+def gap_shape(t: Tables):
+    """The unmodelled series of every county, shared over its hours and copied to ten end uses."""
+    out = workflow.gap_shape(_kitchens(t))
+    return rounded(out, {"kwh": 4, "multiplier_hourly": 9})
+
+
 @query("com_hourly_catalogue", _hourly_sql("com", ("in.county",), "b.weight"))
 def com_hourly_catalogue(t: Tables):
     """All commercial shapes from one scan, weighted, summarised by month."""
