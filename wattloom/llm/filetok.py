@@ -24,7 +24,11 @@ def byte_level_tokens(path: str) -> list[bytes]:
     """The bytes of each id of a byte-level BPE file."""
     from tokenizers import Tokenizer
 
-    letters, known = _byte_letters(), Tokenizer.from_file(path).get_vocab()
+    return _token_bytes(Tokenizer.from_file(path))
+
+
+def _token_bytes(model) -> list[bytes]:
+    letters, known = _byte_letters(), model.get_vocab()
     out = [b""] * (max(known.values()) + 1)
     for token, i in known.items():
         out[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
@@ -44,7 +48,7 @@ class FileTokenizer:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = not specials
-        self.sizes = np.array([len(x) for x in byte_level_tokens(path)])
+        self.sizes = np.array([len(x) for x in _token_bytes(self.model)])  # a file is loaded once a worker
         self.cache = PieceCache(self.encode)
         special = [re.escape(t.content) for t in self.model.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(special)) if specials and special else None
