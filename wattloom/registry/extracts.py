@@ -37,12 +37,13 @@ hours AS (
     CAST(MONTH(timestamp_hour) AS INTEGER) AS month,
     SUM(county_hourly_cal_kwh) AS county_total_hourly_kwh
   FROM facts WHERE fuel = 'Electric' GROUP BY ALL)
-SELECT "in.county", turnover, "in.state", year, timestamp_hour, month,
-  ROUND(county_total_hourly_kwh, 2) AS county_total_hourly_kwh,
-  CAST(rank_num AS INTEGER) AS rank_num
-FROM (SELECT *, RANK() OVER (PARTITION BY "in.county", turnover, "in.state", year, month
-    ORDER BY county_total_hourly_kwh DESC) AS rank_num FROM hours)
-WHERE rank_num = 1
+SELECT h."in.county", h.turnover, h."in.state", h.year, h.timestamp_hour, h.month,
+  ROUND(county_total_hourly_kwh, 2) AS county_total_hourly_kwh, 1 AS rank_num
+FROM hours h JOIN (
+  SELECT "in.county", turnover, "in.state", year, month, MAX(county_total_hourly_kwh) AS top
+  FROM hours GROUP BY ALL) m
+  ON h."in.county" = m."in.county" AND h.turnover = m.turnover AND h."in.state" = m."in.state"
+    AND h.year = m.year AND h.month = m.month AND county_total_hourly_kwh = top
 """,
 )
 def monthly_peak(t: Tables):
@@ -108,12 +109,14 @@ hours AS (
   SELECT "in.county", turnover, "in.state", year, timestamp_hour,
     SUM(county_hourly_cal_kwh) AS county_total_hourly_kwh
   FROM facts WHERE fuel = 'Electric' GROUP BY ALL)
-SELECT "in.county", turnover, "in.state", year, timestamp_hour,
-  ROUND(county_total_hourly_kwh, 2) AS county_total_hourly_kwh,
-  CAST(rank_num AS INTEGER) AS rank_num
-FROM (SELECT *, RANK() OVER (PARTITION BY "in.county", turnover, "in.state", year
-    ORDER BY county_total_hourly_kwh DESC) AS rank_num FROM hours)
-WHERE rank_num <= 100
+SELECT h."in.county", h.turnover, h."in.state", h.year, h.timestamp_hour,
+  ROUND(h.county_total_hourly_kwh, 2) AS county_total_hourly_kwh,
+  CAST(1 + COUNT(b.county_total_hourly_kwh) AS INTEGER) AS rank_num
+FROM hours h LEFT JOIN hours b
+  ON h."in.county" = b."in.county" AND h.turnover = b.turnover AND h."in.state" = b."in.state"
+    AND h.year = b.year AND b.county_total_hourly_kwh > h.county_total_hourly_kwh
+GROUP BY h."in.county", h.turnover, h."in.state", h.year, h.timestamp_hour, h.county_total_hourly_kwh
+HAVING COUNT(b.county_total_hourly_kwh) < 100
 """,
 )
 def top100_hours(t: Tables):
