@@ -250,3 +250,43 @@ def test_hourly_plan_has_no_exchange_above_the_join(spark, tmp_path):
     above = plan.split("SortMergeJoin [county", 1)[0]
     assert "HashAggregate" in above
     assert "Exchange" not in above, plan
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_blocks_of_a_weather_place_leave_the_product_complete(spark, frame):
+    """Its hours are not joined row by row; only counties behind several places are summed again."""
+    annual = [(*r[:1], f"w{int(r[0][1]) % 3}", *r[2:]) for r in annual_rows()]
+    annual += [(*r[:1], None, *r[2:]) for r in annual_rows()[:4]]
+    annual.append((*annual[0][:1], "w1", *annual[0][2:]))  # c0 is behind w0 and w1
+    hours, schema = hour_rows("city", ["w0", "w1"], {"s1": 49, "s2": 30})
+    hours += [("w0", "s2", None, "com", "Cooking", "Gas", 0.5), ("w0", "s2", None, "com", "Cooking", "Gas", 0.25)]
+    hours.append(("w1", "s1", datetime(2018, 1, 1), "com", "Cooking", "Gas", float("inf")))
+    args = (frame(annual, ANNUAL), disagg.stage_shapes(frame(MAP, MAP_SCHEMA)), frame(hours, schema), ["city"])
+    for keep in (True, False):
+        whole, split = (disagg.disaggregate_hourly(*args, keep_unmatched=keep, hour_blocks=n) for n in (1, 3))
+        want, got = (
+            sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select(*[col(c) for c in whole.columns]).collect()), key=str)
+            for df in (whole, split)
+        )
+        assert got == want and len(got) > 100 and split.dtypes == whole.dtypes
+    plan = _plan(split)
+    assert "MapInArrow" in plan and not any("Join" in line and "__block" in line for line in plan.split("\n"))
+
+
+def test_places_of_the_result_are_shuffled_once(spark, frame):
+    """The sum over measures and the join share one exchange; rows without hours are not copied to blocks."""
+    hours, schema = hour_rows("in.county", ["c0", "c1"], {"s1": 49, "s2": 30})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        args = (frame(annual_rows(), ANNUAL), disagg.stage_shapes(frame(MAP, MAP_SCHEMA)), frame(hours, schema), ["in.county"])
+        plan = _plan(disagg.disaggregate_hourly(*args))
+        split = _plan(disagg.disaggregate_hourly(*args, hour_blocks=4))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    energy = [line for line in plan.split("\n") if "hashpartitioning(in.county" in line and "shape_ts" not in line.split("hashpartitioning(")[1].split(")")[0]]
+    assert len(energy) == 2  # the energy and the hours
+    assert not any("LeftAnti" in line for line in split.split("\n"))

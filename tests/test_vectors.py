@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from test_disagg import ANNUAL, MAP, MAP_SCHEMA, annual_rows, hour_rows
@@ -94,3 +95,20 @@ def test_calendar_reads_back_and_rejects_other_hours(frame):
         with pytest.raises(Exception, match="outside the calendar"):
             frame([(bad,)], "timestamp_hour timestamp").select(own.slot(F.col("timestamp_hour"))).collect()
     assert vectors.calendar_of(df.filter("false")).hours == 1
+
+
+def test_products_of_many_rows_at_once():
+    """Two places in one call: energies that no shape meets, a kWh of 0 and hours that only one shape has."""
+    matrix = np.array([[1.0, 0.0, 2.0], [0.0, 4.0, 0.0], [8.0, 8.0, 8.0]])
+    there = np.array([[True, False, True], [False, True, False], [True, True, True]])
+    row, key, shape = np.array([0, 0, 0, 1, 1]), np.array([0, 0, 1, 2, 3]), np.array([0, 1, 1, 0, 5])
+    i, j, out, held, lost = vectors.summed_products(
+        row, key, shape, np.array([10.0, 1.0, 0.0, 3.0, 9.0]),
+        np.array([0, 0, 1]), np.array([0, 1, 0]), np.array([0, 0, 1]), matrix, there,
+    )
+    assert key[i].tolist() == [0, 1, 2] and j.tolist()[1:] == [1, 2]
+    assert out.tolist() == [[10.0, 4.0, 20.0], [0.0, 0.0, 0.0], [24.0, 24.0, 24.0]]
+    assert held.tolist() == [[True, True, True], [False, True, False], [True, True, True]]
+    assert lost.tolist() == [4]
+    none = np.zeros(0, np.int64)
+    assert vectors.summed_products(row, key, shape, np.ones(5), none, none, none, np.zeros((0, 3)), np.zeros((0, 3), bool))[4].tolist() == list(range(5))

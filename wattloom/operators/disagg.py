@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattloom.functions.numbers import is_number, non_negative
 from wattloom.functions.text import col, cols
+from wattloom.operators import vectors
 from wattloom.operators.joins import join_null_safe
 from wattloom.operators.mapping import melt
 from wattloom.operators.shapes import HOUR
@@ -81,7 +85,8 @@ def disaggregate_hourly(
     allows.  Both sides are clustered on (place, match), a subset of the join
     keys that is also a subset of the result keys: the exploded product is
     summed in the task that makes it and only the two inputs are shuffled.
-    ``hour_blocks`` > 1 spreads one place's year over several tasks.
+    ``hour_blocks`` > 1 spreads one place's year over several tasks; the result
+    keys of a place outside the result are then dealt as well (``_dealt_products``).
 
     With ``keep_unmatched`` a place row without a shape keeps one NULL hour.
     """
@@ -90,57 +95,172 @@ def disaggregate_hourly(
     cluster = list(dict.fromkeys([*place, *match]))
     on = [*cluster, "shape_ts"]
     stage = ["meas", "end_use", "tech_stage"]
-    numbered = annual.filter(is_number(col(value)))
-    presummed = sum_by(numbered.join(shapes, stage, "inner"), keys, {value: col(value)})
+    outside = [c for c in cluster if c not in result_keys]
+    mapped = annual.filter(is_number(col(value))).join(shapes, stage, "inner").select(*cols([*keys, value]))
+    if not outside:  # a place's few rows are shuffled once, for the sum and for the join
+        mapped = mapped.repartition(*cols(cluster))
+    presummed = sum_by(mapped, keys, {value: col(value)})
     used = shapes.select("shape_ts", "end_use").distinct()
     hours = (
         multipliers.filter(non_negative(col("multiplier_hourly")))
         .join(used, ["shape_ts", "end_use"], "left_semi")
         .select(*cols([*on, HOUR, "sector", "multiplier_hourly"]))
     )
+    out_keys = [*result_keys, HOUR, "sector"]
+    if outside and group and hour_blocks > 1:
+        out = _dealt_products(presummed, hours, cluster, result_keys, value, result, hour_blocks)
+        if not keep_unmatched:
+            return out
+        lost = join_null_safe(presummed, hours.select(*cols(on)).distinct(), on, "left_anti")
+        nulls = lost.select(
+            *cols(result_keys),
+            F.lit(None).cast("timestamp").alias(HOUR),
+            F.lit(None).cast("string").alias("sector"),
+            F.lit(None).cast("double").alias(result),
+        )
+        return out.unionByName(nulls.distinct())
     if hour_blocks > 1:
         by_block = [*cluster, "__block"]
-        left = presummed.withColumn(
-            "__block", F.explode(F.sequence(F.lit(0), F.lit(hour_blocks - 1)))
+        # Only rows that meet hours are copied to the blocks; the others stay one row, in block -1.
+        held = hours.select(*cols(on)).distinct().repartition(*cols(cluster)).withColumn("__held", F.lit(True))
+        blocks = F.sequence(F.lit(0), F.lit(hour_blocks - 1))
+        left = presummed.join(held, on, "left" if keep_unmatched else "inner").withColumn(
+            "__block", F.explode(F.when(col("__held"), blocks).otherwise(F.array(F.lit(-1))))
         )
         right = hours.withColumn("__block", _block(hour_blocks))
-        matched = left.repartition(*cols(by_block)).join(
-            right.repartition(*cols(by_block)), [*on, "__block"], "inner"
+        matched = left.drop("__held").repartition(*cols(by_block)).join(
+            right.repartition(*cols(by_block)),
+            [*on, "__block"],
+            "left" if keep_unmatched else "inner",
         )
+        # a block may lack the hours that another one has
+        matched = matched.filter((col("__block") < 0) | col("multiplier_hourly").isNotNull())
         extra = ["__block"]  # a function of the hour: never splits a result row
     else:
-        matched = presummed.repartition(*cols(cluster)).join(
+        left = presummed.repartition(*cols(cluster)) if outside else presummed
+        matched = left.join(
             hours.repartition(*cols(cluster)),
             on,
             "left" if keep_unmatched else "inner",
         )
         extra = []
     product = matched.withColumn(result, col(value) * col("multiplier_hourly"))
-    out_keys = [*result_keys, HOUR, "sector"]
     if not group:
-        out = product.select(*cols([*out_keys, "shape_ts", result]))
-    else:
-        # Grouping by all clustering columns needs no exchange.
-        outside = [c for c in cluster if c not in result_keys] + extra
-        out = sum_by(product, [*outside, *out_keys], {result: col(result)})
-        if any(c != "__block" for c in outside):
-            # A place key that is not in the result (the weather place behind a
-            # county) may split a result row: add the few partial sums up.
-            out = sum_by(out, out_keys, {result: col(result)})
-        out = out.select(*cols([*out_keys, result]))
-    if not (keep_unmatched and hour_blocks > 1):
-        return out
-    lost = join_null_safe(
-        presummed, hours.select(*cols(on)).distinct(), on, "left_anti"
+        return product.select(*cols([*out_keys, "shape_ts", result]))
+    # Grouping by all clustering columns needs no exchange.
+    out = sum_by(product, [*outside, *extra, *out_keys], {result: col(result)})
+    if outside:
+        # A place key that is not in the result (the weather place behind a
+        # county) may split a result row: add the few partial sums up.
+        out = sum_by(out, out_keys, {result: col(result)})
+    return out.select(*cols([*out_keys, result]))
+
+
+#: Energy rows of a place that one product takes; a place with more has several.
+ENERGY_ROWS = 4_096
+
+
+def _dealt_products(
+    presummed: DataFrame,
+    hours: DataFrame,
+    cluster: Sequence[str],
+    result_keys: Sequence[str],
+    value: str,
+    result: str,
+    blocks: int,
+) -> DataFrame:
+    """Hours of places that stand behind many result keys (a weather place and its counties).
+
+    The energy rows of a place are dealt into pieces of result keys, its year into blocks;
+    piece and block meet as one row each, and the sum over shapes is a product of energy
+    by shape and shapes by hour.  Only result keys behind several places have partial
+    sums, which are added up; the others leave the product complete.
+    """
+    outside = [c for c in cluster if c not in result_keys]
+    inner = [c for c in result_keys if c not in cluster]
+    kind = hours.schema[HOUR].dataType
+    named = {n: f"c{i}" for i, n in enumerate(cluster)}  # dotted names cannot pass
+    own = F.struct(*cols([*outside, "shape_ts", value]))
+    by_key = presummed.groupBy(*cols(result_keys)).agg(F.collect_list(own).alias("__own"))
+    behind = F.transform("__own", lambda e: F.struct(*[e[n].alias(named[n]) for n in outside]))
+    several = (F.size(F.array_distinct(behind)) > 1).alias("__several")
+    energy = by_key.select(*cols(result_keys), several, F.inline("__own"))
+    sizes = energy.groupBy(*cols(cluster)).agg(F.ceil(F.count(F.lit(1)) / ENERGY_ROWS).cast("int").alias("__deals"))
+    deal = F.pmod(F.xxhash64(*cols(result_keys)), col("__deals")).alias("__deal")
+    listed = F.struct(
+        col("shape_ts").alias("shape"), col(value).alias("kwh"), *[col(n).alias(f"k{i}") for i, n in enumerate(inner)]
+    )
+    pieces = energy.join(sizes, list(cluster)).groupBy(*cols(cluster), "__several", deal).agg(
+        F.collect_list(listed).alias("__energy")
     )
-    nulls = lost.select(
-        *cols(result_keys),
-        F.lit(None).cast("timestamp").alias(HOUR),
-        F.lit(None).cast("string").alias("sector"),
-        *([] if group else [col("shape_ts")]),
-        F.lit(None).cast("double").alias(result),
+    point = F.struct(
+        col("shape_ts").alias("shape"), "sector", F.unix_micros(col(HOUR).cast("timestamp")).alias("hour"),
+        col("multiplier_hourly").alias("share"),
     )
-    return out.unionByName(nulls.distinct() if group else nulls)
+    series = hours.groupBy(*cols(cluster), _block(blocks).alias("__block")).agg(F.collect_list(point).alias("__series"))
+    fields = [T.StructField(f"r{i}", presummed.schema[n].dataType) for i, n in enumerate(result_keys)]
+    values = T.ArrayType(T.StructType([T.StructField("hour", T.LongType()), T.StructField("value", T.DoubleType())]))
+    schema = T.StructType([*fields, T.StructField("sector", T.StringType()), T.StructField("hours", values)])
+    source = [named[n] if n in named else f"k{inner.index(n)}" for n in result_keys]
+
+    def rows(some: DataFrame) -> DataFrame:
+        met = some.join(series, list(cluster)).select(
+            *[col(n).alias(c) for n, c in named.items()], "__energy", "__series"
+        )
+        out = met.mapInArrow(_piece_products(source), schema)
+        out = out.select(*[col(f.name) for f in fields], "sector", F.inline("hours"))
+        hour = F.timestamp_micros(col("hour")).cast(kind).alias(HOUR)
+        return out.select(
+            *[col(f.name).alias(n) for f, n in zip(fields, result_keys)], hour, "sector", col("value").alias(result)
+        )
+
+    shared = sum_by(rows(pieces.filter("__several")), [*result_keys, HOUR, "sector"], {result: col(result)})
+    return rows(pieces.filter("NOT __several")).unionByName(shared)
+
+
+def _piece_products(source: Sequence[str]):
+    """For each piece and block: energy by shape times shapes by hour, as lists of hours."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for k in range(len(whole)):
+                yield one(whole.slice(k, 1))
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        energy, series = batch.column("__energy").flatten(), batch.column("__series").flatten()
+        keys = [energy.field(n) if n.startswith("k") else None for n in source]
+        nothing = np.zeros(len(energy), np.int64)
+        shape, of_shape = vectors.shape_codes(energy.field("shape"), series.field("shape"))
+        shape = np.where(energy.field("shape").is_valid().to_numpy(zero_copy_only=False), shape, -1)
+        sector = series.field("sector")
+        (sectors,) = vectors.shape_codes(sector)
+        stamps = series.field("hour").dictionary_encode()
+        slot = stamps.indices.fill_null(len(stamps.dictionary)).to_numpy(zero_copy_only=False).astype(np.int64)
+        size = len(stamps.dictionary) + 1  # the last one: hours that are not known
+        lines, first, line = np.unique(
+            of_shape * (sectors.max(initial=0) + 1) + sectors, return_index=True, return_inverse=True
+        )
+        at = line * size + slot
+        matrix = np.bincount(at, series.field("share").to_numpy(zero_copy_only=False), len(lines) * size)
+        there = np.zeros(len(lines) * size, bool)
+        there[at] = True
+        i, j, out, held, _ = vectors.summed_products(
+            nothing, vectors.key_codes([k for k in keys if k is not None], nothing), shape,
+            energy.field("kwh").to_numpy(zero_copy_only=False), np.zeros(len(lines), np.int64), of_shape[first],
+            sectors[first], matrix.reshape(-1, size), there.reshape(-1, size),
+        )
+        line, slot = np.nonzero(held)
+        hour = pa.concat_arrays([stamps.dictionary, pa.nulls(1, pa.int64())]).take(pa.array(slot))
+        ends = np.concatenate([[0], np.cumsum(held.sum(axis=1))]).astype(np.int32)
+        points = pa.StructArray.from_arrays([hour, pa.array(out[held])], names=["hour", "value"])
+        same = pa.array(np.zeros(len(i), np.int64))
+        columns = [batch.column(n).take(same) if key is None else key.take(pa.array(i)) for n, key in zip(source, keys)]
+        return pa.RecordBatch.from_arrays(
+            [*columns, sector.take(pa.array(first[j])), pa.ListArray.from_arrays(ends, points)],
+            names=[*[f"r{i}" for i in range(len(source))], "sector", "hours"],
+        )
+
+    return apply
 
 
 def _block(blocks: int) -> Column:

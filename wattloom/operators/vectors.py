@@ -26,6 +26,8 @@ from wattloom.operators.shares import Target, sum_by
 VECTOR = "hours"
 #: Energy rows of a place that one matrix product takes; a place with more has several.
 ENERGY_ROWS = 4_096
+#: Numbers that the vectors of one matrix hold, but for a single place with more.
+MATRIX = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -155,59 +157,90 @@ def share_vectors(
     return out
 
 
+def key_codes(columns: Sequence[pa.Array], start: np.ndarray) -> np.ndarray:
+    """A number for each combination of ``start`` and the columns' values; NULLs are equal."""
+    code = np.unique(start, return_inverse=True)[1]
+    for column in columns:
+        own = column.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        code = np.unique(code * (own.max(initial=0) + 1) + own, return_inverse=True)[1]
+    return code
+
+
+def summed_products(row, key, shape, kwh, of_row, of_shape, of_sector, matrix, there):
+    """Energy times the series of its row and shape, summed by key and sector, for many rows at once.
+
+    ``row, key, shape, kwh`` describe the energies (a key belongs to one row);
+    ``of_row, of_shape, of_sector`` the series, lines of ``matrix`` with the values that
+    are ``there``.  Returns an energy and a series of each result line, the lines, which
+    of their values are held, and the energies that no series meets.
+    """
+    kinds = int(max(shape.max(initial=0), of_shape.max(initial=0))) + 2  # a shape of -1 is met by none
+    own, offered = row * kinds + shape, of_row * kinds + of_shape
+    order = np.argsort(offered, kind="stable")
+    low, high = np.searchsorted(offered[order], own, "left"), np.searchsorted(offered[order], own, "right")
+    n = high - low
+    i = np.repeat(np.arange(len(own)), n)
+    j = order[np.repeat(low - (np.cumsum(n) - n), n) + np.arange(len(i))]
+    line = key[i] * (int(of_sector.max(initial=0)) + 2) + of_sector[j] + 1
+    _, first, line = np.unique(line, return_index=True, return_inverse=True)
+    out, held = np.zeros((len(first), matrix.shape[1])), np.zeros((len(first), matrix.shape[1]), bool)
+    by_line = np.argsort(line, kind="stable")
+    counts = np.bincount(line, minlength=len(first))
+    turn = np.empty(len(line), np.int64)
+    turn[by_line] = np.arange(len(line)) - np.repeat(np.cumsum(counts) - counts, counts)
+    for q in range(int(counts.max(initial=0))):  # no line twice in one turn
+        at = np.flatnonzero(turn == q)
+        to, series = line[at], j[at]
+        out[to] += np.where(there[series], kwh[i[at]][:, None] * matrix[series], 0.0)
+        held[to] |= there[series]
+    return i[first], j[first], out, held, np.flatnonzero(n == 0)
+
+
+def shape_codes(*columns: pa.Array) -> list[np.ndarray]:
+    """The columns' values as common numbers, NULL as one of them."""
+    every = pa.chunked_array([c for c in columns]).combine_chunks()
+    code = every.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    return np.split(code, np.cumsum([len(c) for c in columns])[:-1])
+
+
 def _product(result_keys: Sequence[str], size: int):
     """For each place: energy by shape times shapes by hour, summed by the result keys."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for k in range(len(whole)):
-                batch = whole.slice(k, 1)
-                energy, shapes = batch.column("__energy").flatten(), batch.column("__shapes").flatten()
-                table = pa.Table.from_arrays(
-                    [energy.field(n) for n in ["shape_ts", "__kwh"]] + [energy.field(n) for n in result_keys],
-                    names=["shape_ts", "__kwh", *[f"k{i}" for i in range(len(result_keys))]],
-                )
-                names = shapes.field("shape_ts").to_pylist()
-                sectors = shapes.field("sector").to_pylist()
-                flat = shapes.field(VECTOR).flatten()
-                matrix = flat.to_numpy(zero_copy_only=False).reshape(len(names), size)
-                there = ~np.isnan(matrix) if flat.null_count else np.ones(matrix.shape, bool)
-                matrix = np.where(there, matrix, 0.0)
-                numbers = table.select([2 + i for i in range(len(result_keys))]).to_pydict()
-                keys = list(zip(*numbers.values())) if numbers else [()] * len(table)
-                kwh = np.array(table["__kwh"].to_numpy(), float)
-                where: dict[str, list[int]] = {}
-                for j, name in enumerate(names):
-                    where.setdefault(name, []).append(j)
-                weights: dict[tuple, dict[int, float]] = {}
-                lost: dict[tuple, None] = {}
-                for name, key, v in zip(table["shape_ts"].to_pylist(), keys, kwh.tolist()):
-                    found = where.get(name)
-                    if found is None:
-                        lost[(*key, None)] = None
-                        continue
-                    for j in found:
-                        own = weights.setdefault((*key, sectors[j]), {})
-                        own[j] = own.get(j, 0.0) + v
-                out = np.zeros((len(weights), len(names)))
-                for i, own in enumerate(weights.values()):
-                    out[i, list(own)] = list(own.values())
-                hours = out @ matrix
-                held = (out != 0).astype(np.float32) @ there.astype(np.float32) > 0
-                zero = [i for i, own in enumerate(weights.values()) if 0.0 in own.values()]
-                for i in zero:  # a kWh of 0 keeps its hours
-                    held[i] = there[list(list(weights.values())[i])].any(axis=0)
-                every = [*weights, *lost]
-                starts = np.concatenate([np.arange(len(weights) + 1) * size, np.full(len(lost), len(weights) * size)])
-                vectors = pa.ListArray.from_arrays(
-                    starts.astype(np.int32), pa.array(hours.ravel(), mask=~held.ravel())
-                )
-                columns = list(zip(*every)) if every else [()] * (len(result_keys) + 1)
-                kinds = [energy.type.field(n).type for n in result_keys] + [pa.string()]
-                yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(c, t) for c, t in zip(columns, kinds)], vectors],
-                    names=[*result_keys, "sector", VECTOR],
-                )
+            ends = [whole.column(n).offsets.to_numpy() for n in ("__energy", "__shapes")]
+            # places whose vectors fit into one matrix
+            heavy = np.maximum(np.diff(ends[0]), np.diff(ends[1])).cumsum() // max(1, MATRIX // size)
+            cuts = [0, *(np.flatnonzero(np.diff(heavy)) + 1).tolist(), len(whole)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if hi > lo:
+                    yield one(whole.slice(lo, hi - lo))
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = np.arange(len(batch))
+        listed = [batch.column(n) for n in ("__energy", "__shapes")]
+        row, of_row = (np.repeat(rows, np.diff(c.offsets.to_numpy())) for c in listed)
+        energy, shapes = (c.flatten() for c in listed)
+        keys = [energy.field(n) for n in result_keys]
+        shape, of_shape = shape_codes(energy.field("shape_ts"), shapes.field("shape_ts"))
+        sector = shapes.field("sector")
+        sectors = sector.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = shapes.field(VECTOR).flatten()
+        matrix = flat.to_numpy(zero_copy_only=False).reshape(-1, size)
+        there = ~np.isnan(matrix) if flat.null_count else np.ones(matrix.shape, bool)
+        key = key_codes(keys, row)
+        i, j, out, held, lost = summed_products(
+            row, key, shape, energy.field("__kwh").to_numpy(zero_copy_only=False),
+            of_row, of_shape, sectors, np.where(there, matrix, 0.0), there,
+        )
+        lost = lost[np.unique(key[lost], return_index=True)[1]]
+        starts = np.concatenate([np.arange(len(i) + 1) * size, np.full(len(lost), len(i) * size)])
+        vectors = pa.ListArray.from_arrays(starts.astype(np.int32), pa.array(out.ravel(), mask=~held.ravel()))
+        source = pa.array(np.concatenate([i, lost]))
+        met = pa.concat_arrays([sector.take(pa.array(j)), pa.nulls(len(lost), sector.type)])
+        return pa.RecordBatch.from_arrays(
+            [*[k.take(source) for k in keys], met, vectors], names=[*result_keys, "sector", VECTOR]
+        )
 
     return apply
 
@@ -235,11 +268,13 @@ def disaggregate_vectors(
     keys = list(dict.fromkeys([*place, *result_keys, "shape_ts"]))
     on = list(dict.fromkeys([*place, *match]))
     stage = ["meas", "end_use", "tech_stage"]
-    numbered = annual.filter(is_number(col(value)))
-    presummed = sum_by(numbered.join(shapes, stage, "inner"), keys, {"__kwh": col(value)})
+    mapped = annual.filter(is_number(col(value))).join(shapes, stage, "inner").select(*cols([*keys, value]))
+    outside = [n for n in on if n not in result_keys]
+    if not outside:  # a place's few rows are shuffled once, for the sum, the list and the meeting
+        mapped = mapped.repartition(*cols(on))
+    presummed = sum_by(mapped, keys, {"__kwh": col(value)})
     size = calendar.hours + 1
     sizes = presummed.groupBy(*cols(on)).agg(F.ceil(F.count(F.lit(1)) / ENERGY_ROWS).cast("int").alias("__deals"))
-    outside = [n for n in on if n not in result_keys]
     if outside:  # a place behind many counties; one that is in the result is bounded by its keys
         dealt = presummed.join(sizes, on)
         deal = F.pmod(F.xxhash64(*cols(result_keys)), col("__deals")).alias("__deal")
