@@ -80,3 +80,32 @@ def test_series_scan_opens_only_the_upgrades_in_use(spark, tmp_path):
     sums = shapes.hourly_sums(series, linked, profiles, ["place"], F.col("ts"), upgrades=used)
     plan = sums._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^]]*upgrade", plan)
+
+
+def test_series_is_fanned_out_behind_the_last_shuffle(spark):
+    """Readings, not their copies for profiles and shapes, are shuffled; the small totals come to the sums."""
+    from wattloom.operators import shapes
+    from wattloom.operators.shapes import HourlyProfile
+    from wattloom.operators.shares import targets
+    from wattloom.sources.readers import literal_table
+
+    rows = [(f"{b}", "0", datetime(2018, 1, 1, h), float(b + 1)) for b in range(4) for h in range(3)]
+    series = literal_table(spark, rows, "bldg_id string, upgrade string, timestamp timestamp, v double")
+    places = literal_table(spark, [(f"{b}", "0", f"c{b % 2}") for b in range(4)], "bldg_id string, upgrade string, place string")
+    profiles = [HourlyProfile(n, "v", targets("primary", n, ["El"]), shape="s") for n in ("p", "q")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        linked = shapes.building_shapes(places, {}, profiles, ["place"])
+        sums = shapes.hourly_sums(series, linked, profiles, ["place"], F.col("timestamp"))
+        sums.collect()
+        plan = sums._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        shares = shapes.hourly_multipliers(sums, profiles, ["place"], "com")
+        got = {(r["place"], r["end_use"], r["timestamp_hour"].hour): (r["kwh"], r["multiplier_hourly"]) for r in shares.collect()}
+        joined = shares._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(place" in plan
+    assert not any("hashpartitioning(" in line and "profile" in line for line in plan.split("\n"))
+    assert "BroadcastHashJoin" in joined
+    want = {"c0": 1.0 + 3.0, "c1": 2.0 + 4.0}
+    assert got == {(c, n, h): (v, 1 / 3) for c, v in want.items() for n in ("p", "q") for h in range(3)}

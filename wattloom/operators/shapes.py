@@ -144,9 +144,9 @@ def hourly_sums(
     the series are not opened, or their rows dropped before any shuffle, however
     large the building table is.
 
-    The series is by far the largest table, so it is scanned and shuffled once
-    for all profiles instead of once per profile and state; rows are multiplied
-    by profile only between the join and the map-side sum.  ``collapse`` adds a
+    The series is by far the largest table, so it is scanned once for all profiles
+    instead of once per profile and state; rows are multiplied by profile only
+    behind the last shuffle, next to the sum.  ``collapse`` adds a
     building's readings of one hour up before the join, which for quarter-hourly
     data cuts the rows that are shuffled to a quarter.  ``extra`` are attributes
     of the place that are carried along (a county's state).
@@ -165,9 +165,11 @@ def hourly_sums(
     if collapse:
         keyed = sum_by(keyed, [*on, HOUR], {name: col(name) for name in measures})
     carried = list(dict.fromkeys([*place, *extra, *([weight] if weight else [])]))
-    joined = keyed.join(shapes, list(on), "inner").select(
-        *cols([*carried, HOUR, *measures]), F.inline(col("shapes"))
-    )
+    joined = keyed.join(shapes, list(on), "inner").select(*cols([*carried, HOUR, *measures, "shapes"]))
+    # A place's hour is part of every key below: readings are dealt by it as they are, once,
+    # and fanned out to profiles and shapes in the task that sums them.
+    dealt = joined.repartition(*cols([*place, HOUR]))
+    joined = dealt.select(*cols([*carried, HOUR, *measures]), F.inline(col("shapes")))
     factor = col(weight) if weight else F.lit(1.0)
     picked = {"primary": _pick(profiles, "p"), "secondary": _pick(profiles, "s")}
     return sum_by(
@@ -213,7 +215,8 @@ def hourly_multipliers(
         F.sum(col("primary")).alias("primary" + TOTAL),
         F.sum(col("secondary")).alias("secondary" + TOTAL),
     )
-    shared = join_null_safe(sums, totals, [*place, "profile", "shape_ts"])
+    # One row for each place and shape: broadcast, so that the hourly sums stay where they are.
+    shared = join_null_safe(sums, F.broadcast(totals), [*place, "profile", "shape_ts"])
     rows = F.lit(None)
     for p in profiles:
         entries = F.array(
