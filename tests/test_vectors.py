@@ -112,3 +112,50 @@ def test_products_of_many_rows_at_once():
     assert lost.tolist() == [4]
     none = np.zeros(0, np.int64)
     assert vectors.summed_products(row, key, shape, np.ones(5), none, none, none, np.zeros((0, 3)), np.zeros((0, 3), bool))[4].tolist() == list(range(5))
+
+
+@pytest.mark.parametrize("keep", [True, False])
+@pytest.mark.parametrize("place", ["in.county", "city"])
+def test_sparse_vectors_equal_rows(frame, monkeypatch, place, keep):
+    """Only hours with readings are held; a shape without any, unknown hours and single lines over the bound stay right."""
+    monkeypatch.setattr(vectors, "ENERGY_ROWS", 3)
+    monkeypatch.setattr(vectors, "MATRIX", 50)
+    annual, used, hours = inputs(frame, place, ["c0", "c1", "c2"] if place == "in.county" else ["w0", "w1"])
+    carry = ("in.county", "in.state", "year", "turnover", "run_id")
+    want = disagg.disaggregate_hourly(annual, used, hours, [place], carry=carry, keep_unmatched=keep)
+    years = vectors.hourly_vectors(hours, YEAR, [place, "shape_ts", "end_use", "fuel"], used=used, sparse=True)
+    longest = years.select(F.max(F.size("hours.slots")), F.max(F.size("hours.values"))).first()
+    assert max(longest) <= max(SPANS.values()) + 1  # with the readings, not with the calendar
+    got = vectors.disaggregate_vectors(annual, used, years, YEAR, [place], carry=carry, keep_unmatched=keep)
+    rows = vectors.hour_rows(got, YEAR, keep_unmatched=keep)
+    assert sorted(rows.columns) == sorted(want.columns)
+    assert table(rows) == table(want) and rows.count() > 100
+    keys = [c for c in got.columns if c != "hours"]
+    assert got.groupBy(*[col(k) for k in keys]).count().filter("count > 1").isEmpty()
+    dense = vectors.disaggregate_vectors(
+        annual, used, vectors.hourly_vectors(hours, YEAR, [place, "shape_ts", "end_use", "fuel"], used=used),
+        YEAR, [place], carry=carry, keep_unmatched=keep,
+    )
+    assert table(vectors.group_hours(got, ["in.state", "year"], YEAR)) == table(vectors.group_hours(dense, ["in.state", "year"], YEAR))
+
+
+def test_sparse_shares_leave_out_missing_values(frame):
+    rows = [("a", "s", datetime(2018, 1, 1, h), float(h)) for h in range(4)]
+    rows += [("b", "s", datetime(2018, 1, 1, 0), None), ("b", "s", None, 3.0), ("z", "s", datetime(2018, 1, 1, 0), 0.0)]
+    sums = frame(rows, "place string, shape_ts string, timestamp_hour timestamp, p double")
+    small = vectors.Calendar("2018-01-01 00:00:00", 24)
+    to = {"p": [Target("p", "Heating", "El")]}
+    got = {
+        r["place"]: dict(zip(r["hours"]["slots"], r["hours"]["values"], strict=True))
+        for r in vectors.share_vectors(sums, small, ["place", "shape_ts"], to, "com", sparse=True).collect()
+    }
+    assert got == {"a": pytest.approx({0: 0, 1: 1 / 6, 2: 2 / 6, 3: 3 / 6}), "b": {24: 1.0}, "z": {}}
+
+
+def test_energy_without_a_year_is_not_shuffled(spark, frame):
+    """Where only matches are asked for, places without a vector leave before the map copies them."""
+    annual, used, hours = inputs(frame, "in.county", ["c0", "c1"])
+    years = vectors.hourly_vectors(hours, YEAR, ["in.county", "shape_ts", "end_use", "fuel"], used=used, sparse=True)
+    out = vectors.disaggregate_vectors(annual, used, years, YEAR, ["in.county"], keep_unmatched=False)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") >= 2  # the shapes in use, and the places that have a vector

@@ -5,6 +5,10 @@ rows whose hour is not known; an hour without a value is NULL.  Shares are taken
 inside the array, and places are disaggregated by one matrix product for each place,
 end use and fuel: energy by shape times shapes by hour.  Nothing is joined on hours, and
 hours become rows only where a table is written (``hour_rows``).
+
+Where few hours of the year have readings, ``sparse`` holds only those: ``hours`` is then a
+struct of two arrays, ``slots`` and ``values``, that grows with the readings and not with the
+calendar.  Both forms give the same rows.
 """
 
 from __future__ import annotations
@@ -100,11 +104,13 @@ def hourly_vectors(
     value: str = "multiplier_hourly",
     used: DataFrame | None = None,
     on: Sequence[str] = ("shape_ts", "end_use"),
+    sparse: bool = False,
 ) -> DataFrame:
     """One row per ``keys`` and sector: ``hours``, an array of the year's multipliers.
 
     Multipliers that are no number or negative are left out, and so are shapes that
     ``used`` does not name.  A key's rows are its hours, so no list outgrows the calendar.
+    With ``sparse`` several rows of one hour stay several values, which products add up.
     """
     rows = hourly.filter(non_negative(col(value)))
     if used is not None:
@@ -112,9 +118,26 @@ def hourly_vectors(
     listed = rows.groupBy(*cols([*keys, "sector"])).agg(
         _points(calendar.slot(col(HOUR)), col(value)).alias("__points")
     )
+    if sparse:
+        return listed.select(*cols([*keys, "sector"]), _sparse(col("__points")).alias(VECTOR))
     return _dense(listed, calendar.hours + 1)
 
 
+def _sparse(points: Column) -> Column:
+    """A list of ``(slot, value)`` as two arrays, without the slots that have no value."""
+    known = F.filter(points, lambda p: p["value"].isNotNull())
+    return F.struct(known.getField("slot").alias("slots"), known.getField("value").alias("values"))
+
+
+def _points_of(vector: str) -> Column:
+    """A sparse vector as a list of ``(slot, value)``."""
+    return F.arrays_zip(col(vector).getField("slots").alias("slot"), col(vector).getField("values").alias("value"))
+
+
+def is_sparse(vectors: DataFrame) -> bool:
+    return isinstance(vectors.schema[VECTOR].dataType, T.StructType)
+
+
 def _part_of(total: Column):
     return lambda p: F.struct(p["slot"].alias("slot"), safe_ratio(p["value"], total).alias("value"))
 
@@ -125,6 +148,7 @@ def share_vectors(
     keys: Sequence[str],
     targets: Mapping[str, Sequence[Target]],
     sector: str,
+    sparse: bool = False,
 ) -> DataFrame:
     """Hourly sums to vectors of shares, fanned out to end uses and fuels.
 
@@ -151,7 +175,11 @@ def share_vectors(
         )
         share = F.transform(col(f"__points_{value}"), _part_of(total))
         # dense first, fanned out last: fuels that share a profile share its arrays
-        part = _dense(listed.select(*cols(keys), entries.alias("__to"), share.alias("__points")), calendar.hours + 1)
+        part = listed.select(*cols(keys), entries.alias("__to"), share.alias("__points"))
+        if sparse:
+            part = part.select(*cols(keys), "__to", _sparse(col("__points")).alias(VECTOR))
+        else:
+            part = _dense(part, calendar.hours + 1)
         part = part.select(*cols(keys), F.inline("__to"), F.lit(sector).alias("sector"), VECTOR).filter("__keep").drop("__keep")
         out = part if out is None else out.unionByName(part)
     return out
@@ -203,7 +231,13 @@ def shape_codes(*columns: pa.Array) -> list[np.ndarray]:
     return np.split(code, np.cumsum([len(c) for c in columns])[:-1])
 
 
-def _product(result_keys: Sequence[str], size: int):
+def _keys_of(batch: pa.RecordBatch, energy: pa.StructArray, row: np.ndarray, result_keys, outer) -> list[pa.Array]:
+    """The result keys of each energy: of its own, or of the row it stands in."""
+    at = pa.array(row)
+    return [batch.column(outer[n]).take(at) if n in outer else energy.field(n) for n in result_keys]
+
+
+def _product(result_keys: Sequence[str], outer: Mapping[str, str], size: int):
     """For each place: energy by shape times shapes by hour, summed by the result keys."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +255,7 @@ def _product(result_keys: Sequence[str], size: int):
         listed = [batch.column(n) for n in ("__energy", "__shapes")]
         row, of_row = (np.repeat(rows, np.diff(c.offsets.to_numpy())) for c in listed)
         energy, shapes = (c.flatten() for c in listed)
-        keys = [energy.field(n) for n in result_keys]
+        keys = _keys_of(batch, energy, row, result_keys, outer)
         shape, of_shape = shape_codes(energy.field("shape_ts"), shapes.field("shape_ts"))
         sector = shapes.field("sector")
         sectors = sector.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -245,6 +279,95 @@ def _product(result_keys: Sequence[str], size: int):
     return apply
 
 
+def _runs(counts: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each count in turn."""
+    return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def sparse_products(row, key, shape, kwh, of_row, of_shape, of_sector, begin, slots, values, size):
+    """``summed_products`` of series that hold ``slots`` and ``values`` from ``begin`` on.
+
+    Yields an energy and a series of each result line, how many hours each line has, their
+    slots and values, for so many lines at once that ``MATRIX`` bounds their hours and
+    their products (or a single line has more); last the energies that no series meets.
+    """
+    kinds = int(max(shape.max(initial=0), of_shape.max(initial=0))) + 2
+    own, offered = row * kinds + shape, of_row * kinds + of_shape
+    order = np.argsort(offered, kind="stable")
+    low, high = np.searchsorted(offered[order], own, "left"), np.searchsorted(offered[order], own, "right")
+    n = high - low
+    i = np.repeat(np.arange(len(own)), n)
+    j = order[np.repeat(low, n) + _runs(n)]
+    line = key[i] * (int(of_sector.max(initial=0)) + 2) + of_sector[j] + 1
+    by_line = np.argsort(line, kind="stable")
+    i, j, line = i[by_line], j[by_line], line[by_line]
+    new = np.ones(len(line), bool)
+    new[1:] = line[1:] != line[:-1]
+    first, line = np.flatnonzero(new), np.cumsum(new) - 1
+    points = np.diff(begin)[j]
+    ends = np.append(first, len(line))
+    weight = np.add.reduceat(points, first) if len(first) else points
+    heavy = np.maximum(weight, size).cumsum() // max(1, MATRIX)
+    cuts = [0, *(np.flatnonzero(np.diff(heavy)) + 1).tolist(), len(first)]
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        if hi == lo:
+            continue
+        at = slice(ends[lo], ends[hi])
+        where = np.repeat(begin[j[at]], points[at]) + _runs(points[at])
+        cell = np.repeat(line[at] - lo, points[at]) * size + slots[where]
+        out = np.bincount(cell, np.repeat(kwh[i[at]], points[at]) * values[where], (hi - lo) * size)
+        there = np.zeros((hi - lo) * size, bool)
+        there[cell] = True
+        held = np.flatnonzero(there)
+        yield i[first[lo:hi]], j[first[lo:hi]], np.bincount(held // size, minlength=hi - lo), held % size, out[held]
+    lost = np.flatnonzero(n == 0)
+    none = np.zeros(0, np.int64)
+    if len(lost):
+        yield lost, none, none, none, np.zeros(0)
+
+
+def _sparse_product(result_keys: Sequence[str], outer: Mapping[str, str], size: int):
+    """``_product`` of sparse vectors; energy that no series meets has a NULL vector."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.arange(len(batch))
+            listed = [batch.column(n) for n in ("__energy", "__shapes")]
+            row, of_row = (np.repeat(rows, np.diff(c.offsets.to_numpy())) for c in listed)
+            energy, shapes = (c.flatten() for c in listed)
+            keys = _keys_of(batch, energy, row, result_keys, outer)
+            shape, of_shape = shape_codes(energy.field("shape_ts"), shapes.field("shape_ts"))
+            sector = shapes.field("sector")
+            sectors = sector.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            slots, values = (shapes.field(VECTOR).field(n) for n in ("slots", "values"))
+            begin = slots.offsets.to_numpy().astype(np.int64)
+            slots, values = slots.flatten().to_numpy(), values.flatten().to_numpy()
+            known = ~np.isnan(values)
+            begin = np.append(0, np.cumsum(known))[begin - begin[0]]
+            key = key_codes(keys, row)
+            parts = sparse_products(
+                row, key, shape, energy.field("__kwh").to_numpy(zero_copy_only=False),
+                of_row, of_shape, sectors, begin, slots[known], values[known], size,
+            )
+            for i, j, counts, at, kwh in parts:
+                if len(j) < len(i):  # one row for each key
+                    i = i[np.unique(key[i], return_index=True)[1]]
+                    met, vectors = pa.nulls(len(i), sector.type), pa.nulls(len(i), _SPARSE)
+                else:
+                    starts = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
+                    lists = [pa.ListArray.from_arrays(starts, pa.array(v, t)) for v, t in ((at, pa.int32()), (kwh, pa.float64()))]
+                    met, vectors = sector.take(pa.array(j)), pa.StructArray.from_arrays(lists, fields=list(_SPARSE))
+                source = pa.array(i)
+                yield pa.RecordBatch.from_arrays(
+                    [*[k.take(source) for k in keys], met, vectors], names=[*result_keys, "sector", VECTOR]
+                )
+
+    return apply
+
+
+_SPARSE = pa.struct({"slots": pa.list_(pa.int32()), "values": pa.list_(pa.float64())})
+
+
 def disaggregate_vectors(
     annual: DataFrame,
     shapes: DataFrame,
@@ -262,15 +385,22 @@ def disaggregate_vectors(
     meet once, as one row each, and their sum over shapes is a matrix product.  A place
     with more than ``ENERGY_ROWS`` energy rows (a weather place of very many counties)
     is dealt into several rows.  With ``keep_unmatched`` energy without a shape keeps one
-    row whose sector is NULL and whose vector is empty.
+    row whose sector is NULL and whose vector is empty (NULL where vectors are sparse).
     """
     result_keys = list(dict.fromkeys([*carry, *match]))
     keys = list(dict.fromkeys([*place, *result_keys, "shape_ts"]))
     on = list(dict.fromkeys([*place, *match]))
     stage = ["meas", "end_use", "tech_stage"]
-    mapped = annual.filter(is_number(col(value))).join(shapes, stage, "inner").select(*cols([*keys, value]))
     outside = [n for n in on if n not in result_keys]
-    if not outside:  # a place's few rows are shuffled once, for the sum, the list and the meeting
+    annual = annual.filter(is_number(col(value)))
+    # a place's few rows are shuffled once, for the sum, the list and the meeting, before the map copies them
+    early = not outside and set(on) <= set(annual.columns)
+    if early:
+        annual = annual.select(*cols([n for n in annual.columns if n in {*keys, *stage, value}])).repartition(*cols(on))
+        if not keep_unmatched:  # energy that meets no year is neither copied nor listed
+            annual = annual.join(vectors.select(*cols(on)).distinct(), on, "left_semi")
+    mapped = annual.join(shapes, stage, "inner").select(*cols([*keys, value]))
+    if not outside and not early:
         mapped = mapped.repartition(*cols(on))
     presummed = sum_by(mapped, keys, {"__kwh": col(value)})
     size = calendar.hours + 1
@@ -284,29 +414,27 @@ def disaggregate_vectors(
     energy = dealt.groupBy(*cols(on), deal).agg(
         F.collect_list(F.struct(*cols(["shape_ts", "__kwh", *inner]))).alias("__listed")
     )
-    # every energy row carries all result keys, so that the product returns them
-    full = F.transform(
-        "__listed",
-        lambda e: F.struct(
-            e["shape_ts"].alias("shape_ts"), e["__kwh"].alias("__kwh"),
-            *[(e[n] if n in inner else col(n)).alias(n) for n in result_keys],
-        ),
-    )
-    energy = energy.select(*cols(on), full.alias("__energy"))
+    energy = energy.select(*cols(on), col("__listed").alias("__energy"))
     held = vectors.groupBy(*cols(on)).agg(F.collect_list(F.struct("shape_ts", "sector", VECTOR)).alias("__shapes"))
-    empty = F.array().cast(f"array<struct<shape_ts:string,sector:string,{VECTOR}:array<double>>>")
+    sparse = is_sparse(vectors)
+    kind = vectors.schema[VECTOR].dataType
+    empty = F.array().cast(f"array<struct<shape_ts:string,sector:string,{VECTOR}:{kind.simpleString()}>>")
+    # result keys of the place stand beside the lists, under plain names as dotted ones cannot pass
+    outer = {n: f"__key{i}" for i, n in enumerate(result_keys) if n not in inner}
     met = energy.join(held, on, "left" if keep_unmatched else "inner").select(
-        "__energy", F.coalesce("__shapes", empty).alias("__shapes")
+        *[col(n).alias(name) for n, name in outer.items()],
+        "__energy", F.coalesce("__shapes", empty).alias("__shapes"),
     )
     fields = [presummed.schema[n] for n in result_keys]
     schema = T.StructType(
-        [*fields, T.StructField("sector", T.StringType()), T.StructField(VECTOR, T.ArrayType(T.DoubleType()))]
+        [*fields, T.StructField("sector", T.StringType()), T.StructField(VECTOR, kind)]
     )
-    out = met.mapInArrow(_product(result_keys, size), schema)
+    out = met.mapInArrow((_sparse_product if sparse else _product)(result_keys, outer, size), schema)
     if outside:
         # several weather places may feed one result row: the few vectors are added up
         out = add_vectors(out, [*result_keys, "sector"])
-    return out if keep_unmatched else out.filter(col("sector").isNotNull() | (F.size(VECTOR) > 0))
+    met = col(VECTOR).isNotNull() if sparse else F.size(VECTOR) > 0
+    return out if keep_unmatched else out.filter(col("sector").isNotNull() | met)
 
 
 def add_vectors(df: DataFrame, keys: Sequence[str], vector: str = VECTOR) -> DataFrame:
@@ -315,6 +443,14 @@ def add_vectors(df: DataFrame, keys: Sequence[str], vector: str = VECTOR) -> Dat
     def both(a: Column, b: Column) -> Column:
         return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
 
+    if is_sparse(df):
+        met = col(VECTOR).isNotNull().alias("__met")
+        points = df.select(*cols(keys), met, F.explode_outer(_points_of(VECTOR)).alias("__point"))
+        summed = points.groupBy(*cols(keys), col("__point").getField("slot").alias("slot")).agg(
+            F.sum(col("__point").getField("value")).alias("value"), F.max("__met").alias("__met")
+        )
+        listed = summed.groupBy(*cols(keys)).agg(_points(col("slot"), col("value")).alias("__points"), F.max("__met").alias("__met"))
+        return listed.select(*cols(keys), F.when(col("__met"), _sparse(col("__points"))).alias(vector))
     empty = F.array().cast("array<double>")
     total = F.aggregate("__all", empty, lambda a, v: F.when(F.size(v) == 0, a).otherwise(F.zip_with(a, v, both)))
     return df.groupBy(*cols(keys)).agg(F.collect_list(col(vector)).alias("__all")).select(*cols(keys), total.alias(vector))
@@ -325,12 +461,15 @@ def hour_rows(
 ) -> DataFrame:
     """Vectors as rows, for writing: one for each hour that has a value, and one for an empty vector."""
     names = [n for n in vectors.columns if n != VECTOR]
-    points = F.filter(
-        F.transform(col(VECTOR), lambda v, i: F.struct(i.alias("slot"), v.alias("value"))),
-        lambda p: p["value"].isNotNull(),
-    )
     blank = F.array(F.struct(F.lit(None).cast("int").alias("slot"), F.lit(None).cast("double").alias("value")))
-    rows = F.when(F.size(VECTOR) > 0, points)
+    if is_sparse(vectors):
+        rows = _points_of(VECTOR)
+    else:
+        points = F.filter(
+            F.transform(col(VECTOR), lambda v, i: F.struct(i.alias("slot"), v.alias("value"))),
+            lambda p: p["value"].isNotNull(),
+        )
+        rows = F.when(F.size(VECTOR) > 0, points)
     rows = F.coalesce(rows, blank) if keep_unmatched else rows
     out = vectors.select(*cols(names), F.inline(rows))
     return out.select(
@@ -343,6 +482,10 @@ def group_hours(
     vectors: DataFrame, keys: Sequence[str], calendar: Calendar, result: str = "state_hourly_kwh"
 ) -> DataFrame:
     """Hourly totals of coarser keys: vectors are added before hours become rows."""
+    if is_sparse(vectors):  # a task adds up its own hours first, so that few are shuffled
+        points = vectors.select(*cols(keys), F.inline(_points_of(VECTOR))).filter(is_number(col("value")))
+        totals = sum_by(points, [*keys, "slot"], {result: col("value")})
+        return totals.select(*cols(keys), calendar.hour(col("slot")).alias(HOUR), col(result))
     summed = vectors.filter(F.size(VECTOR) > 0)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

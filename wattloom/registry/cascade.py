@@ -122,7 +122,7 @@ def vector_table(t: Tables, calendar: vectors.Calendar) -> DataFrame:
         {"v": col("value")},
     )
     rows = [Target("v", use, fuel) for use in FLAGS for fuel in ("Electric", "Natural Gas")]
-    return vectors.share_vectors(sums, calendar, ["county", "shape_ts"], {"v": rows}, "com")
+    return vectors.share_vectors(sums, calendar, ["county", "shape_ts"], {"v": rows}, "com", sparse=True)
 
 
 def county_annual(t: Tables) -> DataFrame:
@@ -294,7 +294,7 @@ def hourly_vectors_null_hours(t: Tables):
     calendar = year_of_hours(t)
     used = disagg.stage_shapes(measure_map(t))
     years = vectors.hourly_vectors(
-        _some_hours_unknown(hourly_table(t)), calendar, ["county", "shape_ts", "end_use", "fuel"], used=used
+        _some_hours_unknown(hourly_table(t)), calendar, ["county", "shape_ts", "end_use", "fuel"], used=used, sparse=True
     )
     out = vectors.disaggregate_vectors(
         county_annual(t), used, years, calendar, ["county"],
