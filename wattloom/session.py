@@ -43,6 +43,8 @@ def local_session(
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # plans name whole paths, also of a deep temporary folder
+        .config("spark.sql.maxMetadataStringLength", "500")
         .config("spark.sql.shuffle.partitions", str(shuffle))
         .getOrCreate()
     )
