@@ -47,3 +47,27 @@ def test_text_is_replaced_and_other_columns_stay(table, no_docs):
     assert sorted(map(tuple, got), key=str) == sorted([(1, " left", "k"), (None, "right ", "k"), (3, None, None), (3, None, None)], key=str)
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
     assert suffix_dedup.summary(no_docs).count() == 0
+
+
+def test_rows_of_a_frequent_anchor_stand_for_many_windows(table, monkeypatch):
+    """A line and a passage that many texts share: single windows are rows only where blocks agree in part."""
+    rng = np.random.default_rng(3)
+    say = lambda n: "".join(rng.choice(list("abcdefgh é"), n))
+    line, passage = say(60), say(300)
+    texts = [say(200) + (passage if i % 3 == 0 else line) + say(200) for i in range(120)]
+    texts += [texts[0], texts[3][:150] + "#" + texts[3][151:], texts[4][:260] + "#" + texts[4][261:], None, "", line]
+    kept, own = {}, suffix_dedup.written
+
+    def counted(df, tag):
+        out = own(df, tag)
+        kept.setdefault(tag, []).append(out)
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "written", counted)
+    monkeypatch.setattr(suffix_dedup, "SMALL", 20)
+    got = suffix_dedup.summary(table([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), 120).collect()
+    want = [(i, *w) for i, w in enumerate(brute(texts, 120))]
+    assert sorted(map(tuple, got)) == want
+    parts = [len(r.part) for r in kept["run-texts"][0].filter("many").select("part").collect()]
+    windows, rows = sum(parts) - 119 * len(parts), sum(x.count() for x in kept["blocks"])
+    assert len(parts) > 100 and 3 * rows < windows

@@ -11,8 +11,9 @@ pass only groups of several suffixes go on:
    all runs of an anchor agree, all their windows are repeats and the sort is done.
 3. Further digits, eight bytes each, for the runs of an anchor that differ, one row
    for each distinct run.  Anchors with very many distinct runs (a line that a
-   third of all documents share) are sorted by the digest of whole windows in a
-   grouping by window instead, which no single key can overload.
+   third of all documents share) are sorted in groupings by digests instead, which
+   no single key can overload: of blocks of neighbouring windows first, then of the
+   windows of those blocks that agree in part only.
 
 Groups that remain are exactly the repeated windows; the bytes they cover go.
 """
@@ -20,7 +21,9 @@ Groups that remain are exactly the repeated windows; the bytes they cover go.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -226,29 +229,51 @@ def _sorted_small(length: int):
     return apply
 
 
-def _window_digests(length: int):
-    """One row for each window of the runs of very frequent anchors."""
+def _widths(length: int) -> list[int]:
+    """Windows in a block of each pass over very frequent anchors: the root of all, then one."""
+    return list(dict.fromkeys([math.isqrt(length - min(GRAM, length)) + 1, 1]))
+
+
+def _window_blocks(length: int, width: int):
+    """One row for each block of a run's windows: those at ``width`` neighbouring distances from the anchor.
+
+    Windows of one block share a core.  ``c1, c2`` are the digest of the core and the
+    block's place, ``w1, w2`` of what the run has of the block, whose bytes are ``part``.
+    """
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, len(whole), 512):
                 batch = whole.slice(lo, 512)
                 parts = batch["part"].to_pylist()
-                data = np.frombuffer(b"".join(parts), np.uint8)
+                joined = b"".join(parts)
+                data = np.frombuffer(joined, np.uint8)
                 sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-                span = sizes - length + 1
-                row = np.repeat(np.arange(len(parts)), span)
-                start = np.arange(len(row)) - np.repeat(np.cumsum(span) - span, span)
-                base = (np.cumsum(sizes) - sizes)[row] + start
-                one = scan.slice_hash(scan.running_sum(data), base, base + length)
-                # a second, independent sum over other byte values
-                two = scan.slice_hash(scan.running_sum(data ^ np.uint8(0x5A)), base, base + length)
+                lead = batch["lead"].to_numpy().astype(np.int64)
+                low = (lead - sizes + length) // width  # the last window is the nearest to the anchor
+                many = lead // width - low + 1
+                row = np.repeat(np.arange(len(parts)), many)
+                block = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+                base = (np.cumsum(sizes) - sizes)[row]
+                far = np.minimum(lead[row], (block + 1) * width - 1)
+                near = np.maximum((lead - sizes + length)[row], block * width)
+                begin = lead[row] - far
+                end = begin + far - near + length
+                core = base + lead[row] - block * width
+                # two independent sums over other byte values
+                sums = [scan.running_sum(data), scan.running_sum(data ^ np.uint8(0x5A))]
+                place = block.astype(np.uint64)
+                own = (far * (1 << 32) + far - near).astype(np.uint64)
+                cores = [scan.mix(scan.slice_hash(x, core, core + length - width + 1) + place) for x in sums]
+                texts = [scan.mix(scan.slice_hash(x, base + begin, base + end) + own) for x in sums]
+                cuts = zip((base + begin).tolist(), (base + end).tolist())
                 yield pa.record_batch(
                     {
-                        "k1": batch["k1"].take(pa.array(row)), "k2": batch["k2"].take(pa.array(row)),
-                        "n": batch["n"].take(pa.array(row)),
-                        "start": pa.array((start + batch["first"].to_numpy()[row]).astype(np.int32)),
-                        "w1": pa.array(one.view(np.int64)), "w2": pa.array(two.view(np.int64)),
+                        **{k: batch[k].take(pa.array(row)) for k in ("k1", "k2", "n")},
+                        "first": pa.array((begin + batch["first"].to_numpy()[row]).astype(np.int32)),
+                        "lead": pa.array(far.astype(np.int32)),
+                        "part": pa.array([joined[i:j] for i, j in cuts], pa.binary()),
+                        **{k: pa.array(x.view(np.int64)) for k, x in zip(("c1", "c2", "w1", "w2"), cores + texts)},
                     }
                 )
 
@@ -286,6 +311,48 @@ def _removed(length: int):
     return apply
 
 
+def _repeated(rows: DataFrame, group: list[str], kind: list[str], tag: str) -> DataFrame:
+    """Rows of groups that occur again: ``differ`` tells whether a group has several kinds,
+    ``total`` how often the row's own kind occurs."""
+    counted = written(rows.groupBy(*group, *kind).agg(F.sum("n").alias("total")), f"{tag}-counted")
+    again = counted.groupBy(*group).agg(F.sum("total").alias("all"), F.count(F.lit(1)).alias("kinds"))
+    again = again.filter("all > 1").select(*group, (F.col("kinds") > 1).alias("differ"))
+    # written: a join of two plain shuffles can be split where a group is hot
+    marked = written(counted.join(written(again, f"{tag}-again"), group), f"{tag}-marked")
+    return rows.join(marked, [*group, *kind])
+
+
+def _sorted_large(found: DataFrame, length: int) -> DataFrame:
+    """Repeated windows of the runs of very frequent anchors as ``k1, k2, low, high``.
+
+    A run's windows are first taken in blocks.  Blocks whose core occurs once hold no
+    repeat, those that agree as a whole are repeats as a whole; only the others are
+    cut into single windows, so that a row stands for many windows in nearly all cases.
+    """
+    rows, hits = found, []
+    for width in _widths(length):
+        blocks = written(
+            rows.mapInArrow(
+                _window_blocks(length, width),
+                "k1 long, k2 long, n long, first int, lead int, part binary, c1 long, c2 long, w1 long, w2 long",
+            ),
+            "blocks",
+        )
+        alive = written(_repeated(blocks, ["c1", "c2"], ["w1", "w2"], "blocks"), "blocks-alive")
+        # runs that occur several times only witness here, as in the small anchors
+        hits.append(
+            alive.filter("n = 1 AND (NOT differ OR total > 1)").select(
+                "k1", "k2", F.col("first").alias("low"),
+                (F.col("first") + F.octet_length("part") - length).cast("int").alias("high"),
+            )
+        )
+        one = F.first(F.struct("k1", "k2", "first", "lead", "part")).alias("one")
+        rows = (
+            alive.filter("differ").groupBy("c1", "c2", "w1", "w2").agg(one, F.sum("n").alias("n")).select("one.*", "n")
+        )
+    return reduce(DataFrame.unionByName, hits)
+
+
 def repeats(texts: DataFrame, length: int) -> DataFrame:
     """Distinct texts with repeated strings: ``k1, k2, kept, n_removed, n_spans, kept_sha256``.
 
@@ -293,12 +360,7 @@ def repeats(texts: DataFrame, length: int) -> DataFrame:
     """
     runs = written(texts.select("k1", "k2", "text").mapInArrow(_run_rows(length), RUNS), "runs")
     # second digit: anchors that occur again, and whether their runs differ
-    counted = written(runs.groupBy("anchor", "run").agg(F.sum("n").alias("total")), "runs-counted")
-    again = counted.groupBy("anchor").agg(F.sum("total").alias("all"), F.count(F.lit(1)).alias("kinds"))
-    again = again.filter("all > 1").select("anchor", (F.col("kinds") > 1).alias("differ"))
-    # written: a join of two plain shuffles can be split where an anchor is hot
-    marked = written(counted.join(written(again, "anchors"), "anchor"), "runs-marked")
-    alive = written(runs.join(marked, ["anchor", "run"]), "runs-alive")
+    alive = written(_repeated(runs, ["anchor"], ["run"], "runs"), "runs-alive")
     distinct = written(
         alive.filter("differ").groupBy("anchor", "run").agg(
             *[F.first(c).alias(c) for c in ("k1", "k2", "first", "lead", "span")], F.sum("n").alias("n")
@@ -320,17 +382,7 @@ def repeats(texts: DataFrame, length: int) -> DataFrame:
         found.filter("NOT many").repartition("anchor").sortWithinPartitions("anchor")
         .mapInArrow(_sorted_small(length), "k1 long, k2 long, low int, high int")
     )
-    windows = found.filter("many").mapInArrow(
-        _window_digests(length), "k1 long, k2 long, n long, start int, w1 long, w2 long"
-    )
-    twice = windows.groupBy("w1", "w2").agg(F.sum("n").alias("total")).filter("total > 1").select("w1", "w2")
-    starts = F.array_sort(F.collect_set("start"))
-    hits = windows.filter("n = 1").join(twice, ["w1", "w2"]).groupBy("k1", "k2").agg(starts.alias("s"))
-    # ranges of consecutive starts: those whose neighbour is missing begin and end one
-    lows = F.array_except("s", F.transform("s", lambda x: x + 1))
-    highs = F.array_except("s", F.transform("s", lambda x: x - 1))
-    ranges = F.arrays_zip(F.array_sort(lows).alias("low"), F.array_sort(highs).alias("high"))
-    large = hits.select("k1", "k2", F.inline(ranges).alias("low", "high"))
+    large = _sorted_large(found.filter("many"), length)
     # a run that occurs several times is a repeat as a whole, also where its anchor has others
     whole = alive.filter("NOT differ OR total > 1").select(
         "k1", "k2", F.col("first").alias("low"), (F.col("first") + F.col("span") - 1).alias("high")
