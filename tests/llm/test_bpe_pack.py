@@ -121,3 +121,20 @@ def test_windows_stay_bounded_and_fill():
     windows.finish()
     sizes = [sum(len(p[3]) for p in content) for _, content in windows.closed]
     assert all(s == 64 for s in sizes[:-7]) and all(s & (s - 1) == 0 for s in sizes)
+
+
+def test_workers_hold_no_cached_pieces_after_packing(spark, table):
+    """Workers are used again by other steps, beside which a full cache would lie."""
+    docs = table([(k, f"odd{k} words{k * 7}") for k in range(400)], "doc_id long, text string").repartition(4)
+    assert pack.pack(docs, JSON, 64, 1).count() > 0
+    path = JSON
+
+    def held(batches):
+        import pyarrow as pa
+
+        for _ in batches:
+            known = [x.cache for x in (pack._tokenizers.get(path),) if x]
+            yield pa.record_batch({"known": pa.array([len(known)]), "n": pa.array([sum(len(x.young) + len(x.old) for x in known)])})
+
+    rows = spark.range(0, 64, 1, 16).mapInArrow(held, "known long, n long").collect()
+    assert sum(r["known"] for r in rows) > 0 and sum(r["n"] for r in rows) == 0

@@ -159,6 +159,9 @@ class PieceCache:
 
     def __init__(self, encode, size: int = CACHE):
         self.encode, self.size = encode, size
+        self.clear()
+
+    def clear(self) -> None:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 

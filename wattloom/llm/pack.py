@@ -117,6 +117,12 @@ def _batch(sequences: list[tuple[int, list]], is_open: bool, with_ids: bool) ->
 _tokenizers: dict[str, FileTokenizer] = {}
 
 
+def forget(path: str) -> None:
+    """Empty the cache of pieces: the worker lives on and runs tasks of other steps."""
+    if path in _tokenizers:
+        _tokenizers[path].cache.clear()
+
+
 def tokenise(texts: list[str], path: str, end_id: int) -> Iterator[np.ndarray]:
     """Each text's ids, as the tokenizer gives them, with ``end_id`` after them.
 
@@ -157,13 +163,16 @@ def pack(
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(size, TaskContext.get().partitionId() << 32)
-        for batch in batches:
-            ids = tokenise(batch["text"].to_pylist(), path, end_id)
-            for doc_id, own in zip(batch["doc_id"].to_pylist(), ids):
-                windows.add(doc_id, 0, len(own), own)
-            yield _batch(windows.closed, False, with_ids)
-            windows.closed = []
-        yield _batch(list(windows.rest()), True, with_ids)
+        try:
+            for batch in batches:
+                ids = tokenise(batch["text"].to_pylist(), path, end_id)
+                for doc_id, own in zip(batch["doc_id"].to_pylist(), ids):
+                    windows.add(doc_id, 0, len(own), own)
+                yield _batch(windows.closed, False, with_ids)
+                windows.closed = []
+            yield _batch(list(windows.rest()), True, with_ids)
+        finally:
+            forget(path)
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(size, (1 << 62) + (TaskContext.get().partitionId() << 32))
