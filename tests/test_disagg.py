@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -290,3 +291,102 @@ def test_places_of_the_result_are_shuffled_once(spark, frame):
     energy = [line for line in plan.split("\n") if "hashpartitioning(in.county" in line and "shape_ts" not in line.split("hashpartitioning(")[1].split(")")[0]]
     assert len(energy) == 2  # the energy and the hours
     assert not any("LeftAnti" in line for line in split.split("\n"))
+
+
+def _weather_case(frame):
+    """Counties behind one or several places, or none; hours of two months, unknown and endless ones."""
+    annual = [(*r[:1], f"w{int(r[0][1]) % 3}", *r[2:]) for r in annual_rows()]
+    annual += [(*r[:1], None, *r[2:]) for r in annual_rows()[:4]]
+    annual.append((*annual[0][:1], "w1", *annual[0][2:]))  # c0 is behind w0 and w1
+    hours, schema = hour_rows("city", ["w0", "w1"], {"s1": 24 * 40, "s2": 30})
+    hours += [("w0", "s2", None, "com", "Cooking", "Gas", 0.5), ("w0", "s2", None, None, "Cooking", "Gas", 0.25)]
+    hours.append(("w1", "s1", datetime(2018, 1, 1), "com", "Cooking", "Gas", float("inf")))
+    return frame(annual, ANNUAL), disagg.stage_shapes(frame(MAP, MAP_SCHEMA)), frame(hours, schema), ["city"]
+
+
+def _by_month():
+    weight = F.dayofmonth("timestamp_hour") * 24 + F.hour("timestamp_hour")
+    return disagg.HourTotals({"month": F.month("timestamp_hour")}, "n", {"kwh": None, "weighted": weight})
+
+
+def _sorted_rows(df, names):
+    rows = df.select(*[col(c) for c in names]).collect()
+    return sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in rows), key=str)
+
+
+@pytest.mark.parametrize("keep", [True, False])
+def test_totals_of_dealt_products_are_the_sums_of_their_hours(spark, frame, keep):
+    args, by_month = _weather_case(frame), _by_month()
+    carry = ["in.county", "in.state", "year", "turnover", "run_id", "end_use", "fuel"]
+    hourly = disagg.disaggregate_hourly(*args, keep_unmatched=keep)
+    want = by_month.of(hourly, carry, "county_hourly_uncal_kwh")
+    got = disagg.disaggregate_hourly(*args, keep_unmatched=keep, hour_blocks=3, totals=by_month)
+    rows = _sorted_rows(got, want.columns)
+    assert rows == _sorted_rows(want, want.columns) and got.dtypes == want.dtypes
+    assert {r[want.columns.index("month")] for r in rows} == {1, 2, None}
+    whole = disagg.disaggregate_hourly(*args, keep_unmatched=keep, totals=by_month)
+    assert _sorted_rows(whole, want.columns) == rows
+
+
+def test_energy_of_weather_places_is_shuffled_once_by_county(spark, frame):
+    """The sum by shape, the look for several places and the pieces share one exchange."""
+    annual, shapes, hours, place = _weather_case(frame)
+    for options in ({}, {"totals": _by_month()}):
+        plan = _plan(disagg.disaggregate_hourly(annual, shapes, hours, place, hour_blocks=4, **options))
+        pieces = plan.split("MapInArrow")[2]  # below the product and the cutting of pieces
+        exchanges = [line for line in pieces.split("Scan")[0].split("\n") if "Exchange hashpartitioning(" in line]
+        assert len(exchanges) == 1 and "hashpartitioning(hash" in exchanges[0], plan
+        assert "LeftAnti" not in plan
+
+
+@pytest.mark.parametrize("limits", [(1 << 19, 4_096), (7, 4), (1, 1)])
+@pytest.mark.parametrize("hashes", [1, 5, 1 << 40])
+def test_pieces_hold_whole_result_keys(monkeypatch, limits, hashes):
+    """However tasks are cut and hashes fall together: every sum once, in one piece for each key and place."""
+    monkeypatch.setattr(disagg, "HELD_ROWS", limits[0])
+    monkeypatch.setattr(disagg, "ENERGY_ROWS", limits[1])
+    rows = []
+    for i in range(23):
+        key = (i or None, ["S", None][i % 2], f"u{i % 2}")
+        for o0 in [f"w{i % 4}"] if i else ["w0", None, "w2"]:
+            for deck in range(1 + i % 3):
+                sums = [float(100 * i + 10 * deck + k) if (i + k) % 3 else None for k in range(8)]
+                rows.append((i * 7_919 % hashes, [key[1], key[2], o0], key[0], deck, sums))
+    rows.sort(key=lambda r: (r[0], r[3]))
+    kinds = [pa.int64(), pa.list_(pa.string()), pa.int64(), pa.int32(), pa.list_(pa.float64())]
+    whole = pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names=["hash", "texts", "r0", "deck", "kwh"]
+    )
+    cut = disagg._pieces(["r1", "r2", "o0"], ["r0", "r1", "r2"], ["o0"], ["o0", "r2"], ["r0", "r1"])
+    want, places = {}, {}
+    for _, (r1, r2, o0), r0, deck, sums in rows:
+        want |= {(o0, r2, r0, r1, deck * 8 + k): v for k, v in enumerate(sums) if v is not None}
+        places.setdefault((r0, r1, r2), set()).add(o0)
+    got, seen = {}, set()
+    for batch in cut(whole.slice(i, 11) for i in range(0, len(whole), 11)):
+        for p in batch.to_pylist():
+            assert len(p["r0"]) == 1 or len(p["kwh"]) < limits[1] + 24
+            for r0, r1 in zip(p["r0"], p["r1"], strict=True):
+                assert (p["o0"], p["r2"], r0, r1) not in seen, "a key in two pieces"
+                seen.add((p["o0"], p["r2"], r0, r1))
+                assert p["several"] == (len(places[r0, r1, p["r2"]]) > 1)
+            for line, shape, kwh in zip(p["line"], p["shape"], p["kwh"], strict=True):
+                key = (p["o0"], p["r2"], p["r0"][line], p["r1"][line], shape)
+                assert key not in got
+                got[key] = kwh
+    assert got == want and len(got) > 200
+
+
+def test_more_shapes_than_slots(spark, frame):
+    """An end use with more shapes than one row of sums holds; a shape that is NULL meets no hours."""
+    maps = [("m1", "Cooking", f"stage{i}", f"s{i:02}" if i else None) for i in range(20)]
+    shapes = frame(maps, "meas string, end_use string, tech_stage string, shape_ts string")
+    annual = frame(
+        [(f"c{i % 3}", "w0", "S", 2026, "ref", "r", "m1", "Cooking", "Gas", f"stage{i}", float(i + 1)) for i in range(20)],
+        ANNUAL,
+    )
+    rows, schema = hour_rows("city", ["w0"], {f"s{i:02}": i + 1 for i in range(0, 20, 2)})
+    args = (annual, shapes, frame(rows, schema), ["city"])
+    want = disagg.disaggregate_hourly(*args)
+    got = disagg.disaggregate_hourly(*args, hour_blocks=2)
+    assert _sorted_rows(got, want.columns) == _sorted_rows(want, want.columns) and got.count() > 30

@@ -278,6 +278,7 @@ def county_hourly(
     hourly: DataFrame,
     sector: str,
     hour_blocks: int = 1,
+    totals: disagg.HourTotals | None = None,
 ) -> DataFrame:
     place = list(res.WEATHER) if sector == "res" else list(com.PLACE)
     return disagg.disaggregate_hourly(
@@ -287,6 +288,7 @@ def county_hourly(
         place,
         carry=("in.county", "in.state", "year", "turnover", "run_id"),
         hour_blocks=hour_blocks,
+        totals=totals,
     )
 
 

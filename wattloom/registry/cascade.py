@@ -382,17 +382,13 @@ def res_county_hourly(t: Tables):
     Every county's hours by month: their number, their sum, and their sum weighted by the hour.
     """
     annual = county_annual(t).withColumns(_weather(col("county"))).withColumnRenamed("county", "in.county")
-    hourly = workflow.county_hourly(annual, measure_map(t), weather_hours(t), "res", hour_blocks=4)
-    out = hourly.groupBy(
-        *[col(n) for n in ("in.county", "in.state", "year", "turnover", "run_id", "end_use", "fuel")],
-        F.month("timestamp_hour").alias("month"),
-        "sector",
-    ).agg(
-        F.count(F.lit(1)).alias("n_hours"),
-        F.sum("county_hourly_uncal_kwh").alias("kwh"),
-        F.sum(
-            col("county_hourly_uncal_kwh") * (F.dayofmonth("timestamp_hour") * 24 + F.hour("timestamp_hour"))
-        ).alias("kwh_by_hour"),
+    totals = disagg.HourTotals(
+        by={"month": F.month("timestamp_hour")},
+        count="n_hours",
+        sums={"kwh": None, "kwh_by_hour": F.dayofmonth("timestamp_hour") * 24 + F.hour("timestamp_hour")},
+    )
+    out = workflow.county_hourly(
+        annual, measure_map(t), weather_hours(t), "res", hour_blocks=4, totals=totals
     )
     return rounded(out, {"kwh": 3, "kwh_by_hour": 1})
 
